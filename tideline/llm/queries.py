@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from tideline.llm import bpe, decontamination, token_counts, url_filters
+from tideline.llm import bpe, decontamination, html_extraction, token_counts, toxicity, url_filters, warc
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
     "op4_token_counts": token_counts.op4_token_counts,
+    "op5_html_extraction": html_extraction.op5_html_extraction,
     "op6_decontamination": decontamination.op6_decontamination,
     "op7_bpe": bpe.op7_bpe,
     "op8_url_filters": url_filters.op8_url_filters,
+    "op9_warc": warc.op9_warc,
 }
-ORACLES = {"op6_decontamination": decontamination.ORACLE, "op8_url_filters": url_filters.ORACLE}
+ORACLES = {"op6_decontamination": decontamination.ORACLE, "op8_url_filters": url_filters.ORACLE, "op9_warc": warc.ORACLE}
