@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tideline.llm import bpe, decontamination, html_extraction, quality_rules, token_counts, toxicity, url_filters, warc
+from tideline.llm import bpe, decontamination, html_extraction, quality_rules, substring_dedup, token_counts, toxicity, url_filters, warc
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_quality_rules": quality_rules.op2_quality_rules,
+    "op3_substring_dedup": substring_dedup.op3_substring_dedup,
     "op4_token_counts": token_counts.op4_token_counts,
     "op5_html_extraction": html_extraction.op5_html_extraction,
     "op6_decontamination": decontamination.op6_decontamination,
@@ -14,4 +15,4 @@ QUERIES = {
     "op8_url_filters": url_filters.op8_url_filters,
     "op9_warc": warc.op9_warc,
 }
-ORACLES = {"op2_quality_rules": quality_rules.ORACLE, "op6_decontamination": decontamination.ORACLE, "op8_url_filters": url_filters.ORACLE, "op9_warc": warc.ORACLE}
+ORACLES = {"op3_substring_dedup": substring_dedup.ORACLE, "op2_quality_rules": quality_rules.ORACLE, "op6_decontamination": decontamination.ORACLE, "op8_url_filters": url_filters.ORACLE, "op9_warc": warc.ORACLE}

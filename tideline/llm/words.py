@@ -149,3 +149,28 @@ def covered_words(n: int, at: np.ndarray, length: int | np.ndarray) -> np.ndarra
     np.add.at(edges, at, 1)
     np.add.at(edges, at + length, -1)
     return np.cumsum(edges[:-1]) > 0
+
+
+def sliding(x: np.ndarray, width: int, least) -> np.ndarray:
+    """least (np.minimum or np.maximum) of each run of `width` values."""
+    span = 1
+    while span * 2 <= width:
+        x = least(x[:-span], x[span:])
+        span *= 2
+    return least(x[: len(x) - (width - span)], x[width - span :]) if span < width else x
+
+
+def winnow(codes: np.ndarray, text: np.ndarray, width: int) -> np.ndarray:
+    """Places of the least codes: every `width` neighbouring codes of one text hold one that is chosen.
+
+    The choice depends on those codes alone, so texts with such a run in common have a chosen code in common.
+    """
+    n = len(codes)
+    if n < width:
+        return np.zeros(0, np.int64)
+    codes = np.maximum(codes, np.uint64(1))
+    least = sliding(codes, width, np.minimum)
+    least[text[: n - width + 1] != text[width - 1 :]] = 0
+    around = np.zeros(n + width - 1, np.uint64)
+    around[width - 1 :][: len(least)] = least  # at width - 1 + i: the run that starts at i
+    return np.flatnonzero(sliding(around, width, np.maximum) == codes)
