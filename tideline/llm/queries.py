@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tideline.llm import bpe, decontamination, html_extraction, quality_rules, substring_dedup, token_counts, toxicity, url_filters, warc
+from tideline.llm import bpe, decontamination, html_extraction, near_dedup, quality_rules, substring_dedup, token_counts, toxicity, url_filters, warc
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_decontamination": decontamination.op6_decontamination,
     "op7_bpe": bpe.op7_bpe,
     "op8_url_filters": url_filters.op8_url_filters,
+    "op10_near_dedup": near_dedup.op10_near_dedup,
     "op9_warc": warc.op9_warc,
 }
 ORACLES = {"op3_substring_dedup": substring_dedup.ORACLE, "op2_quality_rules": quality_rules.ORACLE, "op6_decontamination": decontamination.ORACLE, "op8_url_filters": url_filters.ORACLE, "op9_warc": warc.ORACLE}
