@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from tideline.llm import bpe, decontamination, html_extraction, near_dedup, quality_rules, substring_dedup, token_counts, toxicity, url_filters, warc
 
 QUERIES = {
@@ -14,6 +15,7 @@ QUERIES = {
     "op7_bpe": bpe.op7_bpe,
     "op8_url_filters": url_filters.op8_url_filters,
     "op10_near_dedup": near_dedup.op10_near_dedup,
+    "pipeline": corpus_pipeline.run,
     "op9_warc": warc.op9_warc,
 }
 ORACLES = {"op3_substring_dedup": substring_dedup.ORACLE, "op2_quality_rules": quality_rules.ORACLE, "op6_decontamination": decontamination.ORACLE, "op8_url_filters": url_filters.ORACLE, "op9_warc": warc.ORACLE}

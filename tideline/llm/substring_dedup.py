@@ -209,6 +209,15 @@ def removals(docs: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
     return all_rows, changed
 
 
+def without_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The documents with all their columns; a text that loses words becomes its other words, joined by single spaces."""
+    all_rows, changed = removals(docs, doc_id=doc_id, text=text, **options)
+    gone = all_rows.where("n_removed > 0").select("id", "n_removed").distinct()
+    new = gone.join(changed.select("id", "kept_text").dropDuplicates(["id"]), "id", "left").select(F.col("id").alias("__id"), F.coalesce("kept_text", F.lit("")).alias("__text"))
+    merged = docs.join(new, docs[doc_id] == F.col("__id"), "left")
+    return merged.select(*[F.coalesce("__text", docs[c]).alias(c) if c == text else docs[c] for c in docs.columns])
+
+
 def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:
     return removals(table(spark, sf_dir, "documents"))[0].withColumnRenamed("id", "doc_id")
 

@@ -151,34 +151,51 @@ def train(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
     return fit(found, words, min(0.2, max(1e-4, unexplained / max(without, 1))) if n else 0.0)
 
 
+def _scored(texts: pa.Array, model: Model, lookup: _Lookup, located: float) -> Iterator[tuple[int, np.ndarray, list[list[dict]]]]:
+    """(first row, scores, places) of slices of texts."""
+    for row, data, offsets in W.slices(texts):
+        text, sentence, word, of_byte = _evidence(data, offsets, lookup)
+        stay = np.full(len(offsets) - 1, np.log1p(-model.leak))
+        places: list[list[dict]] = [[] for _ in range(len(offsets) - 1)]
+        if len(text):
+            sentences, first, which = np.unique(sentence, return_index=True, return_inverse=True)
+            z = model.bias + np.bincount(which, model.weights[word], len(sentences))
+            p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+            np.add.at(stay, text[first], np.log1p(-np.minimum(p, 1 - 1e-9)))
+            for k in np.flatnonzero(p >= located).tolist():
+                t = int(text[first[k]])
+                a, b = int(np.searchsorted(of_byte, sentences[k])), int(np.searchsorted(of_byte, sentences[k], "right"))
+                places[t].append({"start": max(a - int(offsets[t]), 0), "end": min(b, int(offsets[t + 1])) - int(offsets[t]), "score": float(p[k])})
+        yield row, np.clip(-np.expm1(stay), 0.0, 1.0), places
+
+
 def score(docs: DataFrame, model: Model, *, doc_id: str = "doc_id", text: str = "text", located: float = 0.5) -> DataFrame:
     """id, score, and as byte ranges of the text the sentences whose own score is at least `located`."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    ranges = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        lookup = _Lookup(own.words)
+        own, lookup = shared.value, _Lookup(shared.value.words)
         for batch in batches:
-            for row, data, offsets in W.slices(batch.column(1)):
-                text, sentence, word, of_byte = _evidence(data, offsets, lookup)
-                stay = np.full(len(offsets) - 1, np.log1p(-own.leak))
-                places: list[list[dict]] = [[] for _ in range(len(offsets) - 1)]
-                if len(text):
-                    sentences, first, which = np.unique(sentence, return_index=True, return_inverse=True)
-                    z = own.bias + np.bincount(which, own.weights[word], len(sentences))
-                    p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-                    np.add.at(stay, text[first], np.log1p(-np.minimum(p, 1 - 1e-9)))
-                    for k in np.flatnonzero(p >= located).tolist():
-                        t = int(text[first[k]])
-                        a, b = int(np.searchsorted(of_byte, sentences[k])), int(np.searchsorted(of_byte, sentences[k], "right"))
-                        places[t].append({"start": max(a - int(offsets[t]), 0), "end": min(b, int(offsets[t + 1])) - int(offsets[t]), "score": float(p[k])})
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, len(stay)), pa.array(np.clip(-np.expm1(stay), 0.0, 1.0)), pa.array(places, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())])))], ["id", "score", "sentences"]
-                )
+            for row, scores, places in _scored(batch.column(1), own, lookup, located):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(scores)), pa.array(scores), pa.array(places, ranges)], ["id", "score", "sentences"])
 
     return docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(run, SCORES)
 
 
+def drop_toxic(docs: DataFrame, model: Model, *, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The documents, with all their columns, that score less than the threshold; nothing is shuffled."""
+    shared, place = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, lookup = shared.value, _Lookup(shared.value.words)
+        for batch in batches:
+            for row, scores, _ in _scored(batch.column(place), own, lookup, 2.0):
+                yield batch.slice(row, len(scores)).filter(pa.array(scores < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id: str = "doc_id"):
     """Rows that training never sees."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2
