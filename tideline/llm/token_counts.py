@@ -4,7 +4,7 @@ Documents are counted by their number of tokens. The histogram is small (a row f
 occurs), and sums over its longer lengths answer, for every context limit at once: how many documents
 exceed it, how many tokens there are in all, and how many remain if each document is truncated to it.
 Suffix sums are taken in two levels, within blocks of lengths and over the blocks, so that no task
-sorts more than one block's rows.
+sorts more than one block's rows. The histogram is kept at a checkpoint, so that texts are encoded once.
 
 Edge cases: null and empty texts have length 0; repeated documents count each time; an empty table has
 an empty histogram, no quantiles, and totals of 0; further columns are not looked at.
@@ -20,10 +20,10 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideline.llm.tables import table
+from tideline.llm.tables import checkpointed, table
 
 #: Lengths in a block of the two-level sums.
-BLOCK = 1024
+BLOCK = 256
 _tokenizers: dict[str, tiktoken.Encoding] = {}
 
 
@@ -56,7 +56,7 @@ def histogram(counts: DataFrame, length: str = "n_tokens") -> DataFrame:
     docs_over and tokens_over count the longer documents; tokens_truncated is the total if every document
     is cut to the limit, tokens_total the total without one, docs_total the number of documents.
     """
-    by = counts.groupBy(F.col(length).alias("n_tokens")).agg(F.count("*").alias("docs")).withColumn("block", F.floor(F.col("n_tokens") / BLOCK))
+    by = checkpointed(counts.groupBy(F.col(length).alias("n_tokens")).agg(F.count("*").alias("docs"))).withColumn("block", F.floor(F.col("n_tokens") / BLOCK))
     blocks = by.groupBy("block").agg(F.sum("docs").alias("block_docs"), F.sum(F.col("docs") * F.col("n_tokens")).alias("block_tokens"))
     after, everything = Window.orderBy(F.col("block").desc()).rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
     zero = F.lit(0).cast("long")
