@@ -31,7 +31,7 @@ class PayloadError(ValueError):
 
 def _no(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
     """df if no row fulfils a check and no day occurs twice; else raises."""
-    if bad := [f"{r.check}: {r.violations}" for r in violations(df, checks).where("violations > 0").collect()]:
+    if checks and (bad := [f"{r.check}: {r.violations}" for r in violations(df, checks).where("violations > 0").collect()]):
         raise PayloadError("; ".join(bad))
     if not duplicate_keys(df, [_DAY]).isEmpty():
         raise PayloadError("a day occurs twice")
