@@ -25,7 +25,6 @@ kept; an empty table gives no rows; further columns are not looked at.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from math import comb
 
@@ -35,12 +34,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm import words as W
-from tideline.llm.tables import checkpointed, shared_dir, table
+from tideline.llm.tables import checkpointed, stored, table
 
 SHINGLE, PERCENT = 5, 75
 BANDS, ROWS, BATCH = 32, 4, 32
 VALUES = BANDS * ROWS
-MISS = 1e-5
+MISS = 1e-6
 BLOCK = 512
 #: Ids that may be broadcast at most; more are joined.
 BROADCAST_IDS = 2_000_000
@@ -194,15 +193,15 @@ def components(links: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", miss: float = MISS, block: int = BLOCK) -> DataFrame:
     """(id, n_shingles, component_id) of every document."""
-    spark = docs.sparkSession
     needed = least_matches(miss)
     sketches = checkpointed(sketch(docs, doc_id, text))
     key = ["n_shingles", "set_a", "set_b"]
     some = sketches.where("n_shingles > 0 AND id IS NOT NULL")
-    nodes = some.groupBy(*key).agg(F.min("id").alias("node"))
+    # only groups of equal sets are joined back, and as a stored table, so that a hot group's rows can be split
+    equal = stored(some.groupBy(*key).agg(F.min("id").alias("least_id"), F.max("id").alias("most_id")).where("least_id < most_id").drop("most_id"), "equal-sets")
+    at_nodes = sketches.join(equal, key, "left").withColumn("node", F.when(F.col("n_shingles") > 0, F.coalesce("least_id", "id")))
     bands = (
-        some.join(nodes, key)
-        .where("id = node")
+        at_nodes.where("id = node")
         .dropDuplicates(["id"])
         .select("id", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(F.substring(F.col("signature"), b * (4 * ROWS) + 1, F.lit(4 * ROWS)), b))).alias("band", "bucket"))
     )
@@ -212,9 +211,7 @@ def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", miss
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null and text is not null")
     listed = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
     full = texts.join(listed, "id").dropDuplicates(["id"]).join(some.select("id", "signature").dropDuplicates(["id"]).join(wanted, "id"), "id")
-    path = f"{shared_dir(spark)}/near-{uuid.uuid4().hex}"
-    full.write.parquet(path)
-    full = spark.read.parquet(path)
+    full = stored(full, "near")
 
     pairs = members.where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
     left, right = (full.select(F.col("id").alias(x), F.col("signature").alias(f"signature_{x}"), F.col("text").alias(f"text_{x}")) for x in "ab")
@@ -243,8 +240,7 @@ def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", miss
     rest = dealt.join(full, "id").groupBy("group").applyInArrow(lambda rows: _verify_blocks(rows, needed), "a long, b long")
     final = components(checkpointed(stars.unionAll(rest)))
 
-    at_nodes = sketches.join(nodes, key, "left").join(final.withColumnRenamed("id", "node"), "node", "left")
-    return at_nodes.select("id", "n_shingles", F.coalesce("component", "node", "id").alias("component_id"))
+    return at_nodes.join(final.withColumnRenamed("id", "node"), "node", "left").select("id", "n_shingles", F.coalesce("component", "node", "id").alias("component_id"))
 
 
 def near_duplicates_removed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -26,7 +26,6 @@ and remove nothing; an empty table gives no rows; further columns are not looked
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import ahocorasick
@@ -36,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm import words as W
-from tideline.llm.tables import checkpointed, shared_dir, table
+from tideline.llm.tables import checkpointed, stored, table
 
 WINDOW, PHRASE, BUCKET_DOCS = 50, 16, 512
 SKETCH = "id long, code long, check long, n_words long, kept_sha256 string, phrases array<long>"
@@ -148,29 +147,28 @@ def _candidates(docs: pa.Table, asked: pa.Table, window: int, phrase: int) -> pa
 
 def repeated_passages(docs: DataFrame, *, window: int = WINDOW, phrase: int = PHRASE, bucket_docs: int = BUCKET_DOCS, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(sketches with is_copy, candidate documents with their text, (id, code) of the passages each of them must drop)."""
-    spark = docs.sparkSession
     sketches = checkpointed(sketch(docs, window, phrase, doc_id, text))
     key = ["code", "check", "n_words"]
     long = sketches.where((F.col("n_words") >= window) & F.col("id").isNotNull())
-    firsts = long.groupBy(*key).agg(F.min("id").alias("first_id"))
-    marked = sketches.join(firsts, key, "left").withColumn("is_copy", F.coalesce(F.col("id") > F.col("first_id"), F.lit(False)))
+    # only groups of copies are joined back, and as a stored table, so that a hot group's rows can be split
+    copied = stored(long.groupBy(*key).agg(F.min("id").alias("copy_of"), F.max("id").alias("last_id")).where("copy_of < last_id").drop("last_id"), "copies")
+    marked = sketches.join(copied, key, "left").withColumn("is_copy", F.coalesce(F.col("id") > F.col("copy_of"), F.lit(False)))
+    first = (F.col("n_words") >= window) & F.col("id").isNotNull() & ~F.col("is_copy")
     buckets = max(1, -(-sketches.count() // bucket_docs))
     bucket = F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")
-    phrases = marked.where(F.col("first_id").isNotNull() & ~F.col("is_copy")).select("id", bucket.alias("bucket"), F.explode("phrases").alias("phrase"))
+    phrases = marked.where(first).select("id", bucket.alias("bucket"), F.explode("phrases").alias("phrase"))
     # summed by bucket first: however frequent a phrase, it has one row a bucket
     by_bucket = phrases.groupBy("phrase", "bucket").agg(F.min("id").alias("low"), F.max("id").alias("high"))
     recurring = by_bucket.groupBy("phrase").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high").select("phrase")
     wanted = by_bucket.select("phrase", "bucket").join(recurring, "phrase").select("bucket", "phrase", F.lit(None).cast("long").alias("first_id"))
-    ids = marked.where(F.col("first_id").isNotNull() & ~F.col("is_copy")).select(bucket.alias("bucket"), F.lit(None).cast("long").alias("phrase"), F.col("id").alias("first_id"))
+    ids = marked.where(first).select(bucket.alias("bucket"), F.lit(None).cast("long").alias("phrase"), F.col("id").alias("first_id"))
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null and text is not null").select(bucket.alias("bucket"), "id", "text")
     found = (
         texts.groupBy("bucket")
         .cogroup(wanted.unionAll(ids).groupBy("bucket"))
         .applyInArrow(lambda left, right: _candidates(left, right, window, phrase), "id long, text string, codes array<long>")
     )
-    path = f"{shared_dir(spark)}/passages-{uuid.uuid4().hex}"
-    found.write.parquet(path)
-    candidates = spark.read.parquet(path)
+    candidates = stored(found, "passages")
     passages = candidates.select("id", F.explode("codes").alias("code"))
     confirmed = passages.groupBy("code").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("code", "low")
     gone = passages.join(confirmed, "code").where("id > low").select("id", "code")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,3 +27,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Rows of df, computed once and kept in the shared folder; a lost executor loses none of them."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Rows of df, written as Parquet in the shared folder and read again: columns that aren't used later aren't read.
+
+    Unlike a checkpoint it forgets how rows were dealt out, so that a join on a hot key can be dealt anew and split.
+    """
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
