@@ -44,12 +44,24 @@ def test_decontamination_is_brute_force(spark, benchmark):
         found = decontamination.scan(docs, benchmark, **options).select("id", "n_words", "n_hit", F.size("items"), F.sha2(F.concat_ws(",", "items"), 256), decontamination.is_contaminated(), "spans").collect()
         assert {r[0]: tuple(r)[1:6] for r in found} == want
         assert all(sum(s["last"] - s["first"] + 1 for s in r.spans) == r.n_hit for r in found)
-    assert {r.doc_id for r in decontamination.decontaminate(docs, benchmark).collect()} == {d for d, w in want.items() if not w[4]}
-    assert decontamination.decontaminate(docs, benchmark).columns == docs.columns
+        assert {r.doc_id for r in decontamination.decontaminate(docs, benchmark, **options).collect()} == {d for d, w in want.items() if not w[4]}
+        assert decontamination.decontaminate(docs, benchmark, **options).columns == docs.columns
     cut = {r.id: r.text for r in decontamination.remove_spans(docs, benchmark).collect()}
     assert cut[3] == "a , twice: " and cut[4] is None and cut[9] == "never" and cut[6].endswith("x ") | cut[6].endswith("y ") | cut[6].endswith("z ")
 
 
+def test_rows_of_one_id_or_none_are_judged_by_their_own_text(spark, benchmark):
+    rows = [(1, ITEMS[1]), (1, "clean"), (1, "clean"), (None, ITEMS[12]), (None, "clean"), (2, None), (2, None)]
+    docs = table(spark, [(d, t, "s") for d, t in rows])
+    for options in ({}, {"block_bytes": 40}):
+        found = decontamination.scan(docs, benchmark, **options).collect()
+        assert sorted((r.id or 0, r.n_words, r.n_hit) for r in found) == [(0, 1, 0), (0, 20, 20), (1, 1, 0), (1, 1, 0), (1, 20, 20), (2, 0, 0), (2, 0, 0)]
+        kept = decontamination.decontaminate(docs, benchmark, **options).collect()
+        assert sorted((r.doc_id or 0, r.text or "") for r in kept) == [(0, "clean"), (1, "clean"), (1, "clean"), (2, ""), (2, "")]
+        cut = decontamination.remove_spans(docs, benchmark, **options).collect()
+        assert sorted((r.id or 0, r.text or "") for r in cut) == [(0, ""), (0, "clean"), (1, ""), (1, "clean"), (1, "clean"), (2, ""), (2, "")]
+
+
 def test_decontamination_of_nothing(spark, benchmark):
     docs = table(spark, [(1, "a b", "s"), (1, "a b", "s")])
     assert decontamination.scan(docs.limit(0), benchmark).collect() == []

@@ -5,12 +5,14 @@ windows of the benchmark, `n` consecutive words or a shorter item as a whole, be
 64-bit codes that is broadcast; every window of every document is looked up in it, and each hit is
 verified word by word before it counts. Then whole documents or just the hit spans are removed.
 
-The set is broadcast in blocks of at most `block_bytes` of benchmark text each, so its size is bounded
-however large the benchmark is; one block is one scan of the documents.
+The set is broadcast in blocks of at most `block_bytes` of benchmark text each, as arrays of some ten
+times that size, so it is bounded however large the benchmark is; one block is one scan of the
+documents, and only rows with hits are put together by a shuffle.
 
 Edge cases: null or empty texts have no words and no hits; items without words and items with a null id
-are ignored; repeated items count once by id; repeated documents each get their own row; an empty
-benchmark hits nothing; further columns of either table are not looked at.
+are ignored; repeated items count once by id; repeated documents, and those with a null id, each get
+their own row and are judged by their own text; an empty benchmark hits nothing; further columns of
+either table are not looked at.
 """
 
 from __future__ import annotations
@@ -19,64 +21,91 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm import words as W
 from tideline.llm.tables import table
 
 SCAN = "id long, n_words long, n_hit long, items array<string>, spans array<struct<first:long,last:long>>"
+#: A document is contaminated if at least one of so many of its words is hit.
+SHARE = 20
 _FILTER_BITS = 20
 
 
 class NgramSet:
-    """Windows of a block of benchmark items: codes to look up, words and item ids to verify with."""
+    """Windows of a block of benchmark items: their codes to look up, and the words to verify with."""
 
     def __init__(self, items: list[tuple[str, str]], n: int):
-        known: dict[int, dict[int, dict[bytes, set[str]]]] = {}
-        for item, text in items:
-            data = np.frombuffer(text.encode(), np.uint8)
-            w = W.cut(data, np.array([0, len(data)]), W.NOT_ALNUM, fold=True)
-            length = min(n, len(w.codes))
-            if not length:
-                continue
-            for at, code in zip(*(x.tolist() for x in w.runs(length)), strict=True):
-                known.setdefault(length, {}).setdefault(code, {}).setdefault(w.joined(at, at + length), set()).add(item)
-        self.known = known
-        self.codes, self.filters = {}, {}
-        for length, by_code in known.items():
-            self.codes[length] = np.sort(np.fromiter(by_code, np.uint64, len(by_code)))
+        self.items = [item for item, _ in items]
+        raw = [text.encode() for _, text in items]
+        self.words = w = W.cut(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]), W.NOT_ALNUM, fold=True)
+        sizes = np.diff(w.first)
+        #: By length: sorted codes, and the first word of each.
+        self.windows: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.filters: dict[int, np.ndarray] = {}
+        for length in np.unique(np.minimum(sizes[sizes > 0], n)).tolist():
+            at, codes = w.runs(length)
+            own = np.isin(at, w.first[:-1][sizes == length]) if length < n else np.ones(len(at), bool)
+            order = np.argsort(codes[own], kind="stable")
+            self.windows[length] = codes[own][order], at[own][order]
             self.filters[length] = np.zeros(1 << _FILTER_BITS, bool)
-            self.filters[length][self.codes[length] >> np.uint64(64 - _FILTER_BITS)] = True
+            self.filters[length][codes[own] >> np.uint64(64 - _FILTER_BITS)] = True
+        self.met: dict[tuple[int, int], dict[bytes, set[str]]] = {}
+
+    def _of(self, length: int, code: int) -> dict[bytes, set[str]]:
+        """Item ids by words of the windows with a code; put together when a document has it for the first time."""
+        if (out := self.met.get((length, code))) is None:
+            codes, at = self.windows[length]
+            a, b = (int(np.searchsorted(codes, np.uint64(code), side)) for side in ("left", "right"))
+            out = self.met[length, code] = {}
+            for first, k in zip(at[a:b].tolist(), (np.searchsorted(self.words.first, at[a:b], "right") - 1).tolist(), strict=True):
+                out.setdefault(self.words.joined(first, first + length), set()).add(self.items[k])
+        return out
 
     def hits(self, w: W.Words) -> Iterator[tuple[int, int, set[str]]]:
         """(first word, length, item ids) of each verified occurrence."""
-        for length, by_code in self.known.items():
+        for length, (keys, _) in self.windows.items():
             at, codes = w.runs(length)
             likely = np.flatnonzero(self.filters[length][codes >> np.uint64(64 - _FILTER_BITS)])
             found = codes[likely]
-            keys = self.codes[length]
             likely = likely[keys[np.minimum(np.searchsorted(keys, found), len(keys) - 1)] == found]
             for i in likely.tolist():
                 first = int(at[i])
-                if items := by_code[int(codes[i])].get(w.joined(first, first + length)):
+                if items := self._of(length, int(codes[i])).get(w.joined(first, first + length)):
                     yield first, length, items
 
 
+def ngram_sets(spark: SparkSession, benchmark: DataFrame, *, n: int = 13, item_id: str = "item_id", item_text: str = "text", block_bytes: int = 16_000_000) -> list[Broadcast]:
+    """Broadcast sets of the windows of blocks of items, at least one."""
+    bench = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).alias("text")).where("item is not null and text is not null")
+    size = bench.select(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = -(-size // block_bytes) or 1
+    made = ([(r.item, r.text) for r in bench.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block).collect()] for block in range(blocks))
+    return [spark.sparkContext.broadcast(NgramSet(rows, n)) for rows in made]
+
+
+def _covered(texts: pa.Array, ngrams: NgramSet) -> Iterator[tuple[int, W.Words, np.ndarray, list[set[str]]]]:
+    """(first row, words, which of them are hit, item ids of each text) of slices of texts."""
+    for row, data, offsets in W.slices(texts):
+        w = W.cut(data, offsets, W.NOT_ALNUM, fold=True)
+        found = list(ngrams.hits(w))
+        first = np.array([x[0] for x in found], np.int64)
+        items: list[set[str]] = [set() for _ in range(len(offsets) - 1)]
+        for text, x in zip((np.searchsorted(w.first, first, "right") - 1).tolist(), found, strict=True):
+            items[text] |= x[2]
+        yield row, w, W.covered_words(len(w.codes), first, np.array([x[1] for x in found], np.int64)), items
+
+
 def _scan_batches(batches: Iterator[pa.RecordBatch], ngrams: NgramSet) -> Iterator[pa.RecordBatch]:
+    """Rows of SCAN and text_hash of rows (id, text_hash, text)."""
     for batch in batches:
-        for row, data, offsets in W.slices(batch.column(1)):
-            w = W.cut(data, offsets, W.NOT_ALNUM, fold=True)
-            n_texts, found = len(offsets) - 1, list(ngrams.hits(w))
-            first = np.array([x[0] for x in found], np.int64)
-            covered = W.covered_words(len(w.codes), first, np.array([x[1] for x in found], np.int64))
-            items: list[set[str]] = [set() for _ in range(n_texts)]
-            for text, x in zip((np.searchsorted(w.first, first, "right") - 1).tolist(), found, strict=True):
-                items[text] |= x[2]
-            spans = [_spans(covered[w.first[d] : w.first[d + 1]]) if items[d] else [] for d in range(n_texts)]
+        for row, w, covered, items in _covered(batch.column(2), ngrams):
+            spans = [_spans(covered[w.first[d] : w.first[d + 1]]) if found else [] for d, found in enumerate(items)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(row, n_texts).cast(pa.int64()), pa.array(np.diff(w.first)), pa.array(W.per_text(covered, w.first)), pa.array([sorted(x) for x in items], pa.list_(pa.string())), pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())])))],
-                ["id", "n_words", "n_hit", "items", "spans"],
+                [batch.column(0).slice(row, len(items)), pa.array(np.diff(w.first)), pa.array(W.per_text(covered, w.first)), pa.array([sorted(x) for x in items], pa.list_(pa.string())), pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))), batch.column(1).slice(row, len(items))],
+                ["id", "n_words", "n_hit", "items", "spans", "text_hash"],
             )
 
 
@@ -85,39 +114,56 @@ def _spans(covered: np.ndarray) -> list[dict[str, int]]:
     return [{"first": a, "last": b - 1} for a, b in edges.reshape(-1, 2).tolist()]
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, *, n: int = 13, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", block_bytes: int = 16_000_000) -> DataFrame:
-    """One row per document: id, n_words, n_hit, items (sorted ids as strings) and spans of hit words."""
-    spark = docs.sparkSession
-    bench = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).alias("text")).where("item is not null and text is not null")
-    size = bench.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = -(-size // block_bytes) or 1
-    parts = []
-    for block in range(blocks):
-        rows = bench.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block).collect()
-        shared = spark.sparkContext.broadcast(NgramSet([(r.item, r.text) for r in rows], n))
-        parts.append(docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(lambda batches, shared=shared: _scan_batches(batches, shared.value), SCAN))
-    if blocks == 1:
+def _own_key(doc_id: str, text: str) -> list[Column]:
+    """What tells rows of different id or text apart."""
+    return [F.col(doc_id).cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash")]
+
+
+def _scan(docs: DataFrame, sets: list[Broadcast], doc_id: str, text: str) -> DataFrame:
+    """SCAN's columns and text_hash of every document."""
+    rows = docs.select(*_own_key(doc_id, text), F.col(text).alias("text"))
+    parts = [rows.mapInArrow(lambda batches, shared=shared: _scan_batches(batches, shared.value), f"{SCAN}, text_hash long") for shared in sets]
+    if len(parts) == 1:
         return parts[0]
-    whole = parts[0]
+    hits = parts[0].where("n_hit > 0")
     for part in parts[1:]:
-        whole = whole.unionAll(part)
+        hits = hits.unionAll(part.where("n_hit > 0"))
     words = F.expr("flatten(transform(flatten(collect_list(spans)), s -> sequence(s.first, s.last)))")
-    merged = whole.groupBy("id").agg(F.max("n_words").alias("n_words"), F.array_sort(F.array_distinct(words)).alias("hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    merged = hits.groupBy(F.col("id").alias("hit_id"), F.col("text_hash").alias("hit_hash")).agg(F.array_sort(F.array_distinct(words)).alias("hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("found"))
     first = F.filter("hit", lambda x, i: (i == 0) | (F.try_element_at("hit", i) != x - 1))
     last = F.filter("hit", lambda x, i: F.coalesce(F.try_element_at("hit", i + 2) != x + 1, F.lit(True)))
     spans = F.transform(F.arrays_zip(first.alias("first"), last.alias("last")), lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last")))
-    return merged.select("id", "n_words", F.size("hit").cast("long").alias("n_hit"), "items", spans.alias("spans"))
+    merged = merged.select("hit_id", "hit_hash", F.size("hit").cast("long").alias("all_hit"), "found", spans.alias("found_spans"))
+    whole = parts[0].join(merged, F.col("id").eqNullSafe(F.col("hit_id")) & (F.col("text_hash") == F.col("hit_hash")), "left")
+    return whole.select("id", "n_words", F.coalesce("all_hit", "n_hit").alias("n_hit"), F.coalesce("found", "items").alias("items"), F.coalesce("found_spans", "spans").alias("spans"), "text_hash")
 
 
-def is_contaminated(n_hit: str = "n_hit", n_words: str = "n_words", share: int = 20):
+def scan(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """One row per document: id, n_words, n_hit, items (sorted ids as strings) and spans of hit words. options: ngram_sets()'s."""
+    return _scan(docs, ngram_sets(docs.sparkSession, benchmark, **options), doc_id, text).drop("text_hash")
+
+
+def is_contaminated(n_hit: str = "n_hit", n_words: str = "n_words", share: int = SHARE) -> Column:
     """True where at least one of `share` words of a document is hit."""
     return (F.col(n_hit) > 0) & (F.lit(share) * F.col(n_hit) >= F.col(n_words))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents, with all their columns, that aren't contaminated; documents with a null id stay."""
-    bad = scan(docs, benchmark, **options).where(is_contaminated()).select(F.col("id").alias("__bad_id"))
-    return docs.join(bad, docs[options.get("doc_id", "doc_id")] == F.col("__bad_id"), "left_anti")
+def decontaminate(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The documents, with all their columns, that aren't contaminated; with one block nothing is shuffled."""
+    sets = ngram_sets(docs.sparkSession, benchmark, **options)
+    if len(sets) > 1:
+        bad = _scan(docs, sets, doc_id, text).where(is_contaminated()).select(F.col("id").alias("__bad_id"), F.col("text_hash").alias("__bad_hash"))
+        own_id, own_hash = _own_key(doc_id, text)
+        return docs.join(bad, own_id.eqNullSafe(F.col("__bad_id")) & (own_hash == F.col("__bad_hash")), "left_anti")
+    shared, place = sets[0], docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, w, covered, _ in _covered(batch.column(place), shared.value):
+                n_words, n_hit = np.diff(w.first), W.per_text(covered, w.first)
+                yield batch.slice(row, len(n_words)).filter(pa.array((n_hit == 0) | (SHARE * n_hit < n_words)))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,9 +181,11 @@ def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """(id, text) of all documents without the spans of words that a benchmark window covers."""
-    found = scan(docs, benchmark, doc_id=doc_id, text=text, **options).select("id", "spans")
-    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    return texts.join(found.dropDuplicates(["id"]), "id", "left").mapInArrow(_cut_batches, "id long, text string")
+    found = _scan(docs, ngram_sets(docs.sparkSession, benchmark, **options), doc_id, text).where("n_hit > 0")
+    found = found.select(F.col("id").alias("hit_id"), F.col("text_hash").alias("hit_hash"), "spans").dropDuplicates(["hit_id", "hit_hash"])
+    texts = docs.select(*_own_key(doc_id, text), F.col(text).alias("text"))
+    rows = texts.join(found, F.col("id").eqNullSafe(F.col("hit_id")) & (F.col("text_hash") == F.col("hit_hash")), "left")
+    return rows.select("id", "text", "spans").mapInArrow(_cut_batches, "id long, text string")
 
 
 def op6_decontamination(spark, sf_dir: str) -> DataFrame:
