@@ -205,7 +205,7 @@ def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", miss
         .dropDuplicates(["id"])
         .select("id", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(F.substring(F.col("signature"), b * (4 * ROWS) + 1, F.lit(4 * ROWS)), b))).alias("band", "bucket"))
     )
-    shared = bands.groupBy("bucket", "band").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count("*").alias("members")).where("least < most").drop("most")
+    shared = stored(bands.groupBy("bucket", "band").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count("*").alias("members")).where("least < most").drop("most"), "buckets")
     members = checkpointed(bands.join(shared, ["bucket", "band"]))
     wanted = checkpointed(members.select("id").distinct())
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null and text is not null")
@@ -220,12 +220,14 @@ def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", miss
     first = components(stars)
 
     of = members.where("members > 2").select("bucket", "band", "id").join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    of = stored(of, "large-buckets")
     by_class = of.groupBy("bucket", "band", "component").agg(F.count("*").alias("n"))
     largest = by_class.groupBy("bucket", "band").agg(F.count("*").alias("classes"), F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("top"))
     blocks = lambda n: F.ceil(n / block).cast("int")
     plan = largest.where("classes > 1").select(
         "bucket", "band", F.when(F.col("top.n") > 1, F.col("top.component")).alias("top"), blocks(F.when(F.col("top.n") > 1, F.col("all") - F.col("top.n")).otherwise(F.col("all"))).alias("rest_blocks"), blocks(F.when(F.col("top.n") > 1, F.col("top.n")).otherwise(F.lit(0))).alias("top_blocks"), "all"
     )
+    plan = stored(plan, "blocks")
     placed = of.join(plan, ["bucket", "band"]).withColumn("is_top", F.coalesce(F.col("component") == F.col("top"), F.lit(False)))
     spread = F.xxhash64("id", F.lit(3))
     # blocks of the largest class are numbered down from -1, the others up from 0
