@@ -253,4 +253,4 @@ def near_duplicates_removed(docs: DataFrame, *, doc_id: str = "doc_id", text: st
 
 def op10_near_dedup(spark, sf_dir: str) -> DataFrame:
     found = classes(table(spark, sf_dir, "documents"))
-    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))

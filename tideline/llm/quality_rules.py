@@ -11,8 +11,8 @@ Only hashes and word counts leave a document's row: the frequency table and the
 and a hot host or line is summed in each task before it is shuffled.
 
 Edge cases: a null text has no words and no lines; null hosts are one host of their own; blank lines
-don't count; repeated rows of one document count once for a line and each get a row; an empty table
-gives no rows; further columns are not looked at.
+don't count; repeated rows of one document count once for a line and each get a row; documents with a
+null id count for no line and lose none; an empty table gives no rows; further columns are not looked at.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ and digits and of all characters beyond ASCII, A-Z folded; sentences end at . !
 
 Scores depend on nothing but the text. Edge cases: null and empty texts and texts without evidence score
 `leak`; without labels, or without toxic ones, everything scores 0 or the leak; labels of one document
-that differ count as toxic; repeated documents each get a score; further columns are not looked at.
+that differ count as toxic; repeated documents each get a score; documents with a null id are scored,
+never learnt from and not held out; further columns are not looked at.
 """
 
 from __future__ import annotations
@@ -198,7 +199,7 @@ def drop_toxic(docs: DataFrame, model: Model, *, text: str = "text", threshold:
 
 def held_out(doc_id: str = "doc_id"):
     """Rows that training never sees."""
-    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 def trained_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -10,7 +10,8 @@ Archives go to the shared folder, through pyarrow's file systems, a task's under
 partition alone: each is written under another name first and renamed when complete, so a task that runs
 again after an executor was lost replaces its own archives and nothing else.
 
-Edge cases: a null payload is empty; a null url gives no WARC-Target-URI and reads back as null; smaller
+Edge cases: a null payload is empty; a null id gives a record id without a number, is always a response
+and reads back as null; a null url gives no WARC-Target-URI and reads back as null; smaller
 payloads are all responses; repeated rows of one id are all responses or all revisits; a damaged or cut
 archive raises ValueError; an empty table writes no archives; further columns are not looked at.
 """
@@ -49,11 +50,11 @@ def file_system(uri: str):
     return FileSystem.from_uri(re.sub("^file:/+", "file:///", uri) if ":/" in uri else f"file://{os.path.abspath(uri)}")
 
 
-def record_bytes(page_id: int, url: str | None, payload: bytes, digest: str, size: int, refers_to: int | None) -> bytes:
+def record_bytes(page_id: int | None, url: str | None, payload: bytes, digest: str, size: int, refers_to: int | None) -> bytes:
     """A whole record as one gzip member."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\nContent-Length: {size}\r\n\r\n".encode()
     block = http if refers_to is not None else http + payload
-    lines = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {_RECORD_ID.format(page_id)}", f"WARC-Date: {DATE}"]
+    lines = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {_RECORD_ID.format('' if page_id is None else page_id)}", f"WARC-Date: {DATE}"]
     if url is not None:
         lines.append("WARC-Target-URI: " + quote(url, safe="!#$&'()*+,/:;=?@[]~"))
     if refers_to is not None:
@@ -184,7 +185,8 @@ def read_archives(archives: DataFrame, folder: str, payloads: bool = True) -> Da
     """All records of the archives named in column path; without payloads, that column is null."""
 
     def as_id(record_id: str | None) -> int | None:
-        return int(record_id.removeprefix(_RECORD_ID.split("{")[0]).removesuffix(">")) if record_id else None
+        number = (record_id or "").removeprefix(_RECORD_ID.split("{")[0]).removesuffix(">")
+        return int(number) if number else None
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, _ = file_system(folder)
