@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts are worked on in slices of about so many bytes; one longer text is one slice.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
 
 _BYTE_BASE = 0x9E3779B97F4A7C15 | 1
 _WORD_BASE = 0xD1342543DE82EF95 | 1
