@@ -128,5 +128,8 @@ def test_round_trip(spark, tmp_path, monkeypatch):
         assert r.url == next(u for i, u, _ in rows if i == r.page_id)
         assert (r.record_type, r.refers_to) == (("revisit", 4) if r.page_id in (7, 9) else ("response", None))
         assert r.payload == (b"" if r.record_type == "revisit" else payload)
+    unnamed = warc.write_archives(warc.with_revisits(table(spark, [(None, "u", copy), (4, "v", copy), (None, None, None)])), folder + "n")
+    found = warc.read_archives(unnamed, folder + "n", payloads=False).collect()
+    assert sorted((r.page_id or 0, r.record_type, r.refers_to, r.payload_bytes) for r in found) == [(0, "response", None, 0), (0, "response", None, len(copy)), (4, "response", None, len(copy))]
     nothing = warc.write_archives(warc.with_revisits(table(spark, rows).limit(0)), folder + "x")
     assert warc.read_archives(nothing, folder + "x").collect() == []
