@@ -87,6 +87,7 @@ def test_bpe_is_the_librarys(spark):
         assert r.ids_sha256 == brute.sha(",".join(map(str, want)))
         assert r.decoded_sha256 == brute.sha(library.decode(want, skip_special_tokens=False))
     assert {r.id: r.text for r in bpe.decode(encoded).collect()} == {i: t or "" for i, t in rows.items()}
+    assert bpe.encode(df, with_ids=False).columns == [c for c in encoded.columns if c != "ids"]
 
 
 def test_bpe_forgets_without_changing_results(monkeypatch):
@@ -94,7 +95,19 @@ def test_bpe_forgets_without_changing_results(monkeypatch):
     small, large = bpe.BytePairEncoder(bpe.public_path()), bpe.encoder(bpe.public_path())
     for t in HARD[:10] * 2:
         assert small.encode(t) == large.encode(t)
-    assert len(small.known) <= 3
+    assert all(len(x) <= 3 for table in (small.known, small.tokens) for x in (table.newer, table.older))
+    small = bpe.BytePairEncoder(bpe.public_path())
+    merged = []
+    monkeypatch.setattr(small, "merge", lambda data, own=small.merge: merged.append(data) or own(data))
+    for k in range(9):  # what is met again and again stays, although more than six others come along
+        small.encode(f" common b{k}x")
+    assert merged.count(b" common") == 1
+
+
+def test_letters_are_letters_to_the_pattern_too():
+    letters = [c for c in map(chr, range(0x110000)) if c.isalpha()]
+    assert len(letters) > 100_000
+    assert all(bpe._PRE_TOKEN.findall(" " + "".join(letters[k : k + 500])) == [" " + "".join(letters[k : k + 500])] for k in range(0, len(letters), 500))
 
 
 # --- token counts ------------------------------------------------------------------------------------

@@ -5,12 +5,15 @@ possible between neighbours, by (rank, position); the best is taken, its two sym
 pairs which that makes are queued. Entries whose symbols have changed since are stale and skipped.
 Decoding concatenates the vocabulary's strings, turned back into bytes.
 
-Each Python worker keeps the result of pieces it has met in a table of bounded size, so that the queue
-only runs for new ones; the table never changes a result.
+Each Python worker remembers what it has met, so that the queue only runs for what is new: the ids of
+pre-tokens, and of pieces (a word with the white space before it) the ids, their decimals and the bytes
+they decode to. Both tables have two generations of bounded size: what is met again moves to the newer
+one, so common entries stay and rare ones go. The tables never change a result.
 
 Edge cases: null and empty texts have no tokens and decode to the empty text; the string of an added
-token (such as <|endoftext|>) in a text becomes that token, as the tokenizers library does; repeated
-documents each get a row; further columns are not looked at.
+token (such as <|endoftext|>) in a text becomes that token, as the tokenizers library does (op4 counts
+such a string as ordinary text); repeated documents each get a row; very long pre-tokens take time in
+proportion to their length times its logarithm and aren't remembered; further columns are not looked at.
 """
 
 from __future__ import annotations
@@ -19,7 +22,9 @@ import hashlib
 import heapq
 import json
 import re
+from array import array
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import regex
@@ -34,8 +39,8 @@ _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\
 _PIECE = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 #: The pre-tokenizer's fixed pattern, with white space spelt out.
 _PRE_TOKEN = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
-#: Pieces in each of the two generations that a worker remembers; when the newer is full, the older goes.
-REMEMBERED = 300_000
+#: Entries in each generation of a worker's two tables, and the most characters of what is remembered.
+REMEMBERED, LONGEST = 300_000, 64
 
 
 def byte_characters() -> dict[int, str]:
@@ -45,6 +50,30 @@ def byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class Remembered:
+    """What a worker has met, in two generations: when the newer is full, it becomes the older, and the older goes."""
+
+    def __init__(self, size: int):
+        self.size, self.newer, self.older = size, {}, {}
+
+    def find(self, key: str):
+        """What is known of a key, else None; an older entry becomes a newer one."""
+        if (out := self.newer.get(key)) is None and (out := self.older.get(key)) is not None:
+            self.add(key, out)
+        return out
+
+    def add(self, key: str, value) -> None:
+        if len(key) > LONGEST:
+            return
+        if len(self.newer) >= self.size:
+            self.older, self.newer = self.newer, {}
+        self.newer[key] = value
+
+
+#: Ids as 32-bit integers, the same as decimals joined by commas, and the bytes that they decode to.
+Piece = tuple[bytes, str, bytes]
+
+
 class BytePairEncoder:
     """Encoder and decoder of a byte-level BPE tokenizer file of the tokenizers library."""
 
@@ -55,84 +84,91 @@ class BytePairEncoder:
         characters = byte_characters()
         values = {c: b for b, c in characters.items()}
         self.first = [vocabulary[characters[b]] for b in range(256)]
-        self.merges: dict[int, tuple[int, int]] = {}  # by both ids in one number: rank and new id
+        #: By rank the id that a merge makes, and by both of its symbols in one number the rank, 32 bits up.
+        self.made: list[int] = []
+        self.merges: dict[int, int] = {}
         for rank, merge in enumerate(spec["model"]["merges"]):
             a, b = merge if isinstance(merge, list) else merge.split(" ")
-            self.merges[vocabulary[a] << 32 | vocabulary[b]] = (rank, vocabulary[a + b])
+            self.made.append(vocabulary[a + b])
+            self.merges[vocabulary[a] << 32 | vocabulary[b]] = rank << 32
+        #: The same for two bytes; -1 where they don't merge.
+        self.pairs = [[self.merges.get(a << 32 | b, -1) for b in self.first] for a in self.first]
         self.bytes_of = {i: bytes(values[c] for c in token) for token, i in vocabulary.items()}
         added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
-        self.added = added
         self.bytes_of |= {i: content.encode() for content, i in added.items()}
+        self.added = {content: self.as_piece([i]) for content, i in added.items()}
         self.split_added = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
-        self.tokens: dict[str, list[int]] = {}
-        self.known: dict[str, tuple[tuple[int, ...], str]] = {}
-        self.older: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.tokens, self.known = Remembered(REMEMBERED), Remembered(REMEMBERED)
 
     def merge(self, data: bytes) -> list[int]:
         """Ids of one pre-token's bytes."""
-        symbols: list[int] = [self.first[b] for b in data]
-        n = len(symbols)
-        merges = self.merges.get
-        queue = []  # rank and place in one number
-        for i in range(n - 1):
-            if m := merges(symbols[i] << 32 | symbols[i + 1]):
-                queue.append(m[0] << 32 | i)
+        n = len(data)
+        symbols = [self.first[b] for b in data]
+        pairs = self.pairs
+        # of each symbol: the entry (rank and place in one number) of its merge with the next one, if there is one
+        entries = [-1 if (x := pairs[a][b]) < 0 else x | i for i, (a, b) in enumerate(zip(data, data[1:]))]
+        queue = [x for x in entries if x >= 0]
         if not queue:
             return symbols
         heapq.heapify(queue)
+        entries.append(-1)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-        pop, push = heapq.heappop, heapq.heappush
+        pop, push, rank, made = heapq.heappop, heapq.heappush, self.merges.get, self.made
         while queue:
             entry = pop(queue)
             i = entry & 0xFFFFFFFF
-            j = after[i]
-            if j >= n or symbols[i] < 0 or not (m := merges(symbols[i] << 32 | symbols[j])) or m[0] != entry >> 32:
+            if entries[i] != entry:
                 continue  # stale: a symbol of the pair has changed since
-            new = symbols[i] = m[1]
-            symbols[j] = -1
+            j = after[i]
+            new = symbols[i] = made[entry >> 32]
+            symbols[j] = entries[j] = entries[i] = -1
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-                if m := merges(new << 32 | symbols[k]):
-                    push(queue, m[0] << 32 | i)
-            if (h := before[i]) >= 0 and (m := merges(symbols[h] << 32 | new)):
-                push(queue, m[0] << 32 | h)
+                if (x := rank(new << 32 | symbols[k])) is not None:
+                    x |= i
+                    entries[i] = x
+                    push(queue, x)
+            if (h := before[i]) >= 0:
+                if (x := rank(symbols[h] << 32 | new)) is None:
+                    entries[h] = -1
+                else:
+                    x |= h
+                    entries[h] = x
+                    push(queue, x)
         return [s for s in symbols if s >= 0]
 
-    def piece(self, piece: str) -> tuple[tuple[int, ...], str]:
-        """Ids of a piece, also as decimals joined by commas."""
-        if len(self.known) >= REMEMBERED:
-            self.older, self.known = self.known, {}
-        if (out := self.older.get(piece)) is not None:
-            self.known[piece] = out
-            return out
-        ids: list[int] = []
-        for token in _PRE_TOKEN.findall(piece):
-            if (found := self.tokens.get(token)) is None:
-                found = self.merge(token.encode())
-                if len(self.tokens) >= REMEMBERED:
-                    self.tokens.clear()
-                if len(token) <= 64:
-                    self.tokens[token] = found
-            ids += found
-        out = tuple(ids), ",".join(map(str, ids))
-        if len(piece) <= 64:
-            self.known[piece] = out
+    def as_piece(self, ids: list[int]) -> Piece:
+        return array("i", ids).tobytes(), ",".join(map(str, ids)), b"".join(map(self.bytes_of.__getitem__, ids))
+
+    def piece(self, piece: str) -> Piece:
+        """What is remembered of a piece, or is worked out now."""
+        if (out := self.known.find(piece)) is None:
+            ids: list[int] = []
+            alone = piece.isalpha() or piece[0] == " " and piece[1:].isalpha()  # letters alone are one pre-token
+            for token in (piece,) if alone else _PRE_TOKEN.findall(piece):
+                if (found := self.tokens.find(token)) is None:
+                    found = tuple(self.merge(token.encode()))
+                    self.tokens.add(token, found)
+                ids += found
+            out = self.as_piece(ids)
+            self.known.add(piece, out)
         return out
 
-    def pieces(self, text: str | None) -> list[tuple[tuple[int, ...], str]]:
-        """(ids, decimals) of a text's pieces."""
-        piece, out = self.piece, []
+    def pieces(self, text: str | None) -> list[Piece]:
+        """A text's pieces in order."""
+        out: list[Piece] = []
         parts = self.split_added.split(text or "") if self.split_added else [text or ""]
         for k, part in enumerate(parts):
             if k % 2:
-                out.append(((self.added[part],), str(self.added[part])))
+                out.append(self.added[part])
             else:
-                out += [self.known.get(x) or piece(x) for x in _PIECE.findall(part)]
+                met, piece = self.known.newer.get, self.piece
+                out += [met(x) or piece(x) for x in _PIECE.findall(part)]
         return out
 
     def encode(self, text: str | None) -> list[int]:
-        return [i for ids, _ in self.pieces(text) for i in ids]
+        return array("i", b"".join(ids for ids, _, _ in self.pieces(text))).tolist()
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
@@ -155,38 +191,34 @@ def public_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def _encode_batches(batches: Iterator[pa.RecordBatch], tokenizer: str | None) -> Iterator[pa.RecordBatch]:
+def _encode_batches(batches: Iterator[pa.RecordBatch], tokenizer: str | None, with_ids: bool) -> Iterator[pa.RecordBatch]:
     own = encoder(tokenizer or public_path())
+    digest = lambda data: hashlib.sha256(data).hexdigest()
     for batch in batches:
-        ids, counts, digests, sums = [], [], [], []
+        values, counts, digests, sums = [], [], [], []
         for text in batch.column(1):
             found = own.pieces(text.as_py())
-            flat = [i for x, _ in found for i in x]
-            decoded = b"".join(map(own.bytes_of.__getitem__, flat)).decode("utf-8", "replace")
-            ids.append(pa.array(flat, pa.int32()))
-            counts.append(len(flat))
-            digests.append(hashlib.sha256(",".join([s for _, s in found]).encode()).hexdigest())
-            sums.append(hashlib.sha256(decoded.encode()).hexdigest())
-        offsets = pa.array([0, *_running(counts)], pa.int32())
-        values = pa.concat_arrays(ids) if ids else pa.array([], pa.int32())
-        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.ListArray.from_arrays(offsets, values), pa.array(counts, pa.int64()), pa.array(digests), pa.array(sums)], ["id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-
-def _running(counts: list[int]) -> Iterator[int]:
-    total = 0
-    for n in counts:
-        total += n
-        yield total
-
-
-def encode(docs: DataFrame, *, tokenizer: str | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, ids, n_tokens and digests of the ids and of the decoded text of every whole text.
+            ids, decimals, decoded = zip(*found, strict=True) if found else ((), (), ())
+            packed = b"".join(ids)
+            if with_ids:
+                values.append(packed)
+            counts.append(len(packed) // 4)
+            digests.append(digest(",".join(decimals).encode()))
+            sums.append(digest(b"".join(decoded).decode("utf-8", "replace").encode()))
+        columns = {"id": batch.column(0).cast(pa.int64()), "n_tokens": pa.array(counts, pa.int64()), "ids_sha256": pa.array(digests, pa.string()), "decoded_sha256": pa.array(sums, pa.string())}
+        if with_ids:
+            offsets = pa.array([0, *accumulate(counts)], pa.int32())
+            columns["ids"] = pa.ListArray.from_arrays(offsets, pa.Array.from_buffers(pa.int32(), sum(counts), [None, pa.py_buffer(b"".join(values))]))
+        yield pa.RecordBatch.from_pydict(columns)
+
+
+def encode(docs: DataFrame, *, tokenizer: str | None = None, doc_id: str = "doc_id", text: str = "text", with_ids: bool = True) -> DataFrame:
+    """id, n_tokens and digests of the ids and of the decoded text of every whole text, and its ids unless with_ids is False.
 
     tokenizer: a byte-level BPE file of the tokenizers library, at this path on every machine; by default the public one.
     """
-    return docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(
-        lambda batches: _encode_batches(batches, tokenizer), "id long, ids array<int>, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    )
+    schema = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+    return docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(lambda batches: _encode_batches(batches, tokenizer, with_ids), schema)
 
 
 def decode(encoded: DataFrame, *, tokenizer: str | None = None, doc_id: str = "id", ids: str = "ids") -> DataFrame:
@@ -201,4 +233,4 @@ def decode(encoded: DataFrame, *, tokenizer: str | None = None, doc_id: str = "i
 
 
 def op7_bpe(spark, sf_dir: str) -> DataFrame:
-    return encode(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "n_tokens", "ids_sha256", "decoded_sha256")
+    return encode(table(spark, sf_dir, "documents"), with_ids=False).withColumnRenamed("id", "doc_id")
