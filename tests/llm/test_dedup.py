@@ -2,17 +2,19 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tideline.llm import near_dedup as N
 from tideline.llm import substring_dedup as S
 
-SCHEMA = "doc_id long, text string, id string, bucket int"
+#: With further columns whose names the operators use themselves.
+SCHEMA = "doc_id long, text string, id string, bucket int, text_hash string, own_id string, OWN_TEXT string, own_hash string, own_dropped string, node string, codes string, component string"
+MORE = ("x", 7, *["y"] * 8)
 
 
 def table(spark, docs: dict):
-    """With extra columns whose names the operators use themselves."""
-    return spark.createDataFrame([(d, t, "x", 7) for d, t in docs.items()], SCHEMA).repartition(3)
+    return spark.createDataFrame([(d, t, *MORE) for d, t in docs.items()], SCHEMA).repartition(3)
 
 
 def corpus(seed: int = 5, n: int = 90) -> dict[int, str | None]:
@@ -48,25 +50,61 @@ def docs():
 
 
 def test_substring_dedup_is_brute_force(spark, docs):
-    rows, changed = S.removals(table(spark, docs), bucket_docs=16)
-    found = {r.id: (r.n_words, r.n_removed, r.kept_sha256) for r in rows.collect()}
+    small = {"shard_bytes": 900, "slice_bytes": 2000}
+    found = {r.id: (r.n_words, r.n_removed, r.kept_sha256) for r in S.removals(table(spark, docs), **small).collect()}
     assert found == brute.repeats(docs)
     assert any(0 < n < w for w, n, _ in found.values())
-    texts = {r.doc_id: r.text for r in S.without_repeats(table(spark, docs), bucket_docs=16).collect()}
-    assert set(texts) == set(docs) and all(texts[d] == docs[d] for d, (_, n, _) in found.items() if n == 0)
+    rows = S.without_repeats(table(spark, docs), **small)
+    assert rows.dtypes == table(spark, docs).dtypes and rows.where("OWN_TEXT = 'y' and own_id = 'y' and bucket = 7").count() == len(docs)
+    texts = {r.doc_id: r.text for r in rows.collect()}
+    assert set(texts) == set(docs)
+    for d, (_, n, sha) in found.items():
+        assert texts[d] == docs[d] if n == 0 else brute.sha(texts[d]) == sha
+
+
+def test_substring_dedup_needs_its_automata(monkeypatch):
+    """What the automata find is all that a document can lose."""
+    text, other = (" ".join(f"{c}{i}" for i in range(90)) for c in "wv")
+    rows = [(0, 0, 0, 1, 5, text), (0, 0, 1, 2, 6, f"x {text}"), (0, 0, 1, 3, 7, other), (0, 1, 0, 1, 5, text), (0, 1, 1, 4, 8, text[:-8]), (1, 0, 0, 2, 5, other), (1, 0, 1, 4, 8, f"{other} {text}")]
+    names = ["shard", "slice", "kind", "id", "text_hash", "text"]
+    batches = [pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows[a:b]]) for a, b in ((0, 2), (2, 2), (2, 5), (5, 7))]
+    found = lambda: {(r["id"], x["first"], x["end"]) for batch in S._streamed(iter(b for b in batches if b.num_rows), 50) for r in batch.to_pylist() for x in r["spans"]}
+    assert found() == {(2, 1, 91), (4, 0, 88), (4, 0, 90)}
+    monkeypatch.setattr(S.Shard, "ends", lambda self, text: [])
+    assert found() == set()
+
+
+def test_shard_compares_words_not_codes(monkeypatch):
+    one, two = (" ".join(f"{c}{i}" for i in range(80)) for c in "ab")
+    shard = S.Shard([(4, one), (6, " ".join(["a"] * 70))], 50)
+    assert shard.find(5, f"x y {one} z") == [(2, 82)] and shard.find(5, two) == [] and shard.find(5, " ".join(one.split()[10:59])) == []
+    assert shard.find(4, one) == shard.find(3, one) == [] and shard.find(6, "a " * 60) == []
+    assert shard.find(7, "a " * 60) == [(0, 60)] and shard.find(7, "") == [] and S.Shard([], 50).find(7, one) == []
+    mixed = " ".join(one.split()[:50] + two.split()[50:])
+    assert shard.find(5, mixed) == [(0, 50)]
+    # with codes that are all the same, the words decide
+    monkeypatch.setattr(S.W, "mix", lambda x: x * np.uint64(0))
+    shard = S.Shard([(4, one), (6, two)], 50)
+    assert shard.find(7, f"{two} x {one}") == [(0, 80), (81, 161)] and shard.find(7, mixed) == [(0, 50)] and shard.find(5, f"{two} x {one}") == [(81, 161)]
 
 
 def test_substring_dedup_edges(spark):
     empty = spark.createDataFrame([], SCHEMA)
-    assert S.removals(empty)[0].collect() == []
+    assert S.removals(empty).collect() == [] and S.without_repeats(empty).collect() == []
     text = " ".join(f"w{i}" for i in range(60))
-    twice = spark.createDataFrame([(1, text, "x", 1), (1, text, "x", 1), (2, text, "x", 1), (None, text, "x", 1)], SCHEMA)
-    assert sorted((r.id or 0, r.n_removed) for r in S.removals(twice)[0].collect()) == [(0, 0), (1, 0), (1, 0), (2, 60)]
+    twice = spark.createDataFrame([(1, text, *MORE), (1, text, *MORE), (2, text, *MORE), (None, text, *MORE)], SCHEMA)
+    assert sorted((r.id or 0, r.n_removed) for r in S.removals(twice).collect()) == [(0, 0), (1, 0), (1, 0), (2, 60)]
+    assert sorted((r.doc_id or 0, r.text) for r in S.without_repeats(twice).collect()) == [(0, text), (1, text), (1, text), (2, "")]
 
 
-def test_automaton_finds_every_occurrence():
-    a = S.compile_automaton([(1, 2), (2, 2)])
-    assert [end for end, _ in a.iter((1, 2, 2, 1, 2, 2**32 - 1))] == [1, 2, 4]
+def test_substring_dedup_of_ids_with_several_texts(spark):
+    text, other = (" ".join(f"{c}{i}" for i in range(60)) for c in "wv")
+    rows = [(1, text), (2, "zz " + text), (2, other + " v60"), (3, text + " q"), (3, text + " q"), (3, "r " + other), (2, text)]
+    df = spark.createDataFrame([(*r, *MORE) for r in rows], SCHEMA)
+    want = sorted([(1, text), (2, "zz"), (2, other + " v60"), (3, "q"), (3, "q"), (3, "r"), (2, "")])
+    assert sorted((r.doc_id, r.text) for r in S.without_repeats(df).collect()) == want
+    found = sorted((r.id, r.n_words, r.n_removed, r.kept_sha256) for r in S.removals(df).collect())
+    assert found == sorted((i, len(t.split()), len(t.split()) - len(k.split()), brute.sha(k)) for (i, t), k in zip(rows, [text, "zz", other + " v60", "q", "q", "r", ""], strict=True))
 
 
 def test_near_dedup_is_brute_force(spark, docs):
@@ -94,7 +132,7 @@ def test_near_dedup_in_small_blocks(spark):
 
 def test_near_dedup_edges(spark):
     assert N.classes(spark.createDataFrame([], SCHEMA)).collect() == []
-    rows = spark.createDataFrame([(5, "a b c d e f", "x", 1), (5, "a b c d e f", "x", 1), (3, "A B C D E F", "x", 1), (None, "a b c d e f", "x", 1), (None, None, "x", 1)], SCHEMA)
+    rows = spark.createDataFrame([(5, "a b c d e f", *MORE), (5, "a b c d e f", *MORE), (3, "A B C D E F", *MORE), (None, "a b c d e f", *MORE), (None, None, *MORE)], SCHEMA)
     assert sorted((r.id or 0, r.n_shingles, r.component_id or 0) for r in N.classes(rows).where("id is not null").collect()) == [(3, 2, 3), (5, 2, 3), (5, 2, 3)]
 
 

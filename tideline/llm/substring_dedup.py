@@ -1,26 +1,29 @@
 """Substring deduplication with repeated-phrase automata.
 
 A passage is `window` (50) consecutive words; it recurs if it also starts in a document with a smaller
-id, and every word of a recurring passage is removed. Five steps, none of which sees more than a bucket
-of documents or a key's partial sums at once:
+id, and every word of a recurring passage is removed. Four steps:
 
-1. Sketch: each document is reduced to a code of its word sequence and to its phrases, runs of `phrase`
+1. Sketch: each document is reduced to a digest of its word sequence and to its phrases, runs of `phrase`
    words chosen by winnowing, so that any two documents with a passage in common have a phrase in common.
-2. Exact copies of an earlier document are removed whole; only first copies go on. Phrases are confirmed
-   as recurring where two of these hold them.
-3. Automata, sharded by bucket of documents: for each bucket an Aho-Corasick automaton over word numbers
-   is compiled from the recurring phrases of its documents, and the bucket's documents are streamed
-   through it. It locates every occurrence; the passages around one are the candidates.
-4. Passages are confirmed: their 64-bit codes are grouped with the least and largest document.
-5. Each document drops the words of passages that are confirmed with a smaller id.
-
-A bucket holds about `bucket_docs` documents however many there are. The last step looks only at
-documents with candidates; codes of 64 bits decide equality, so two different passages are taken for one
-with a chance of about one in 10**19 per pair compared.
-
-Ids identify texts. Edge cases: null and empty texts have no words; texts under `window` words lose nothing; repeated rows of
-one id don't remove each other's words, and each gets a row; documents with a null id are kept whole
-and remove nothing; an empty table gives no rows; further columns are not looked at.
+   Exact copies of an earlier document go whole; only first copies go on.
+2. Confirm: phrases of two documents or more lead to the passages around them, which are grouped by a
+   64-bit code. Passages of two documents are confirmed; the document with the least id owns them.
+3. Compile: the owners' confirmed passages, with their words, are cut into stretches and dealt to shards of
+   about `shard_bytes`. For each shard a task compiles an Aho-Corasick automaton from every run of 25 words
+   at steps of 25 (each window of 50 holds one whole).
+4. Stream: the documents in which the shard's owners have a passage are streamed through the automaton.
+   Where it finds a run, the windows around it are looked up among the shard's passages and compared word
+   by word; only what is equal is removed. Documents of a shard are dealt to as many tasks as their bytes
+   need, each with the shard's automaton.
+
+Codes only narrow down what is compared: a window that is removed has been compared word by word. A window
+could stay by mistake if its code is that of another confirmed one of an earlier owner, with a chance of
+about one in 10**19 per pair of different windows.
+
+Edge cases: null and empty texts have no words; texts under `window` words lose nothing; rows of one id
+don't remove each other's words, whether their texts are equal or not, and each gets a row by its own text;
+documents with a null id are kept whole and remove nothing; an empty table gives no rows; columns of any
+other name, also of one used in here, are carried along or not looked at.
 """
 
 from __future__ import annotations
@@ -31,14 +34,17 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm import words as W
-from tideline.llm.tables import checkpointed, stored, table
+from tideline.llm.tables import checkpointed, free_name, stored, table
 
-WINDOW, PHRASE, BUCKET_DOCS = 50, 16, 512
-SKETCH = "id long, code long, check long, n_words long, kept_sha256 string, phrases array<long>"
+WINDOW, PHRASE = 50, 16
+#: Windows of a document in one stretch of passages, bytes of passages in a shard, bytes of documents that one task streams.
+STRETCH, SHARD_BYTES, SLICE_BYTES = 512, 500_000, 4_000_000
+SKETCH = "id long, text_hash long, n_words long, kept_sha256 string, phrases array<long>"
+CANDIDATES = "id long, text_hash long, text string, codes array<long>, places array<int>"
 _NONE = hashlib.sha256(b"").hexdigest()
 
 
@@ -46,10 +52,6 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def _sha(w: W.Words, a: int, b: int, kept: np.ndarray | None = None) -> str:
-    return hashlib.sha256(joined(w, a, b, kept)).hexdigest()
-
-
 def joined(w: W.Words, a: int, b: int, kept: np.ndarray | None = None) -> bytes:
     """Words a to b, or the kept ones of them, joined by single spaces."""
     starts, ends = w.starts[a:b], w.ends[a:b]
@@ -63,161 +65,251 @@ def joined(w: W.Words, a: int, b: int, kept: np.ndarray | None = None) -> bytes:
     return b" ".join([own[s - base : e - base] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)])
 
 
+def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
+    bounds = pa.array(np.cumsum([0, *map(len, values)]), pa.int32())
+    return pa.ListArray.from_arrays(bounds, pa.array(np.concatenate(values) if values else np.zeros(0, np.int64), kind))
+
+
+def _own_key(doc_id: str, text: str) -> list[Column]:
+    """What tells rows of different id or text apart."""
+    return [F.col(doc_id).cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash")]
+
+
 def sketch(docs: DataFrame, window: int, phrase: int, doc_id: str, text: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, data, offsets in W.slices(batch.column(1)):
+            for row, data, offsets in W.slices(batch.column(2)):
                 w = W.cut(data, offsets)
-                n_texts, n = len(offsets) - 1, np.diff(w.first)
+                n_texts = len(offsets) - 1
                 at, codes = w.runs(phrase)
                 of = np.searchsorted(w.first, at, "right") - 1
                 chosen = W.winnow(codes, of, window - phrase + 1)
-                check = np.zeros(len(w.codes) + 1, np.uint64)
-                np.cumsum(W.mix(w.codes ^ np.uint64(0x5851F42D4C957F2D)), out=check[1:])
-                phrases = [np.unique(x) for x in np.split(codes[chosen], np.searchsorted(of[chosen], np.arange(1, n_texts)))]
-                bounds = pa.array(np.cumsum([0, *map(len, phrases)]), pa.int32())
+                phrases = [np.unique(x).view(np.int64) for x in np.split(codes[chosen], np.searchsorted(of[chosen], np.arange(1, n_texts)))]
+                digests = [hashlib.sha256(joined(w, a, b)).hexdigest() for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(row, n_texts),
-                        _signed(w.text_codes()),
-                        _signed(check[w.first[1:]] - check[w.first[:-1]]),
-                        pa.array(n),
-                        pa.array([_sha(w, a, b) for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True)]),
-                        pa.ListArray.from_arrays(bounds, _signed(np.concatenate(phrases))),
-                    ],
-                    ["id", "code", "check", "n_words", "kept_sha256", "phrases"],
+                    [batch.column(0).slice(row, n_texts), batch.column(1).slice(row, n_texts), pa.array(np.diff(w.first)), pa.array(digests), _lists(phrases, pa.int64())],
+                    ["id", "text_hash", "n_words", "kept_sha256", "phrases"],
                 )
 
-    return docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(run, SKETCH)
-
-
-def compile_automaton(phrases: list[tuple[int, ...]]) -> ahocorasick.Automaton:
-    """An automaton over sequences of 32-bit word numbers."""
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-    for phrase in phrases:
-        automaton.add_word(phrase, len(phrase))
-    automaton.make_automaton()
-    return automaton
-
-
-def locate(w: W.Words, wanted: np.ndarray, window: int, phrase: int) -> list[np.ndarray]:
-    """For each text the first words of its windows that hold one of the wanted phrases, found by an automaton over them."""
-    at, codes = w.runs(phrase)
-    near = np.minimum(np.searchsorted(wanted, codes), len(wanted) - 1)
-    _, first = np.unique(codes[(same := wanted[near] == codes)], return_index=True)
-    numbers = (w.codes >> np.uint64(32)).astype(np.int64).tolist()
-    automaton = compile_automaton([tuple(numbers[i : i + phrase]) for i in at[same][first].tolist()])
-    out = []
-    for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True):
-        n = b - a - window + 1
-        if n <= 0 or not len(automaton):
-            out.append(np.zeros(0, np.int64))
-            continue
-        begins = np.fromiter((end for end, _ in automaton.iter(tuple(numbers[a:b]))), np.int64) - (phrase - 1)
-        edges = np.zeros(n + 1, np.int64)
-        low = np.clip(begins + phrase - window, 0, n)
-        np.add.at(edges, low, 1)
-        np.add.at(edges, np.maximum(np.minimum(begins + 1, n), low), -1)
-        out.append(np.flatnonzero(np.cumsum(edges[:-1]) > 0) + a)
-    return out
-
-
-def _candidates(docs: pa.Table, asked: pa.Table, window: int, phrase: int) -> pa.Table:
-    """Of a bucket: the documents with candidate passages, and their codes. asked: phrase codes, and ids of first copies."""
-    empty = pa.table({"id": pa.array([], pa.int64()), "text": pa.array([], pa.string()), "codes": pa.array([], pa.list_(pa.int64()))})
-    wanted = np.unique(asked["phrase"].drop_null().to_numpy().astype(np.int64).view(np.uint64))
-    docs = docs.filter(pa.compute.is_in(docs["id"], value_set=asked["first_id"].combine_chunks().drop_null()))
-    if not len(wanted) or not docs.num_rows:
-        return empty
-    ids, texts, codes = [], [], []
-    column = docs["text"].combine_chunks()
-    for row, data, offsets in W.slices(column):
-        w = W.cut(data, offsets)
-        starts, all_codes = w.runs(window)
-        for k, own in enumerate(locate(w, wanted, window, phrase)):
-            if len(own):
-                ids.append(docs["id"][row + k].as_py())
-                texts.append(column[row + k])
-                codes.append(np.unique(all_codes[np.searchsorted(starts, own)]).view(np.int64))
-    if not ids:
-        return empty
-    bounds = pa.array(np.cumsum([0, *map(len, codes)]), pa.int32())
-    return pa.table({"id": pa.array(ids, pa.int64()), "text": pa.array([x.as_py() for x in texts], pa.string()), "codes": pa.ListArray.from_arrays(bounds, pa.array(np.concatenate(codes)))})
-
-
-def repeated_passages(docs: DataFrame, *, window: int = WINDOW, phrase: int = PHRASE, bucket_docs: int = BUCKET_DOCS, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(sketches with is_copy, candidate documents with their text, (id, code) of the passages each of them must drop)."""
+    return docs.select(*_own_key(doc_id, text), F.col(text).alias("text")).mapInArrow(run, SKETCH)
+
+
+def _one(text: str) -> tuple[np.ndarray, W.Words]:
+    data = np.frombuffer(text.encode(), np.uint8)
+    return data, W.cut(data, np.array([0, len(data)]))
+
+
+def candidates(texts: DataFrame, window: int, phrase: int) -> DataFrame:
+    """Of rows (id, text_hash, text, found: phrases that recur) the windows whose least phrase is one of these: their codes, and where each first starts.
+
+    Equal windows have the same least phrase, and winnowing chooses it in every document.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, codes, places = [], [], []
+            for k in range(batch.num_rows):
+                _, w = _one(batch.column(2)[k].as_py())
+                _, phrases = w.runs(phrase)
+                _, windows = w.runs(window)
+                if not len(windows):
+                    continue
+                least = W.sliding(np.maximum(phrases, np.uint64(1)), window - phrase + 1, np.minimum)
+                likely = np.flatnonzero(np.isin(least, np.asarray(batch.column(3)[k].values, np.int64).view(np.uint64)))
+                own, first = np.unique(windows[likely], return_index=True)
+                rows.append(k)
+                codes.append(own.view(np.int64))
+                places.append(likely[first])
+            taken = batch.take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*taken.columns[:3], _lists(codes, pa.int64()), _lists(places, pa.int32())], ["id", "text_hash", "text", "codes", "places"])
+
+    return texts.select("id", "text_hash", "text", "found").mapInArrow(run, CANDIDATES)
+
+
+def stretches(owners: DataFrame, window: int) -> DataFrame:
+    """Of rows (id, text_hash, text, stretch, places: first words of confirmed windows) the passages: (id, text_hash, stretch, words)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, texts = [], []
+            for k in range(batch.num_rows):
+                _, w = _one(batch.column(2)[k].as_py())
+                places = np.sort(np.asarray(batch.column(4)[k].values, np.int64))
+                for run_of in np.split(places, np.flatnonzero(np.diff(places) > 1) + 1):
+                    rows.append(k)
+                    texts.append(joined(w, int(run_of[0]), int(run_of[-1]) + window).decode())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(rows, pa.int64())) for c in (0, 1, 3)), pa.array(texts, pa.string())], ["id", "text_hash", "stretch", "words"])
+
+    return owners.select("id", "text_hash", "text", "stretch", "places").mapInArrow(run, "id long, text_hash long, stretch int, words string")
+
+
+class Shard:
+    """Passages of a shard, as (id of the owner, words), compiled: finds every window of them in a text."""
+
+    def __init__(self, passages: list[tuple[int, str]], window: int):
+        self.window, self.step = window, window // 2
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        data = [f" {x} ".encode() for _, x in passages]
+        self.data = b"".join(data)
+        self.words = w = W.cut(np.frombuffer(self.data, np.uint8), np.cumsum([0, *map(len, data)]))
+        for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True):
+            for i in range(a, b - self.step + 1, self.step):
+                self.automaton.add_word(f" {w.joined(i, i + self.step).decode()} ", self.step)
+        if len(self.automaton):
+            self.automaton.make_automaton()
+        at, codes = w.runs(window)
+        order = np.argsort(codes, kind="stable")
+        #: Codes of all windows, sorted, and the first word and the owner of each.
+        self.codes, self.at = codes[order], at[order]
+        self.owners = np.array([owner for owner, _ in passages], np.int64)[np.searchsorted(w.first, self.at, "right") - 1] if len(at) else np.zeros(0, np.int64)
+
+    def ends(self, text: str) -> list[int]:
+        """Where in a text, whose words stand between single spaces, the runs that the automaton finds end."""
+        return [end for end, _ in self.automaton.iter(text)] if len(self.automaton) else []
+
+    def find(self, doc: int, text: str) -> list[tuple[int, int]]:
+        """(first, last + 1) of the words of a document that windows owned by smaller ids cover, as ranges apart from each other."""
+        _, w = _one(text)
+        at, codes = w.runs(self.window)
+        if not len(at):
+            return []
+        plain = " " + joined(w, 0, len(w.codes)).decode() + " "
+        found = self.ends(plain)
+        if not found:
+            return []
+        # the characters where words end, so that a run's last word is the one that ends before the space
+        sizes = np.fromiter(map(len, plain[1:-1].split(" ")), np.int64)
+        last = np.searchsorted(np.cumsum(sizes + 1), np.array(found), "left")
+        near = np.zeros(len(at) + 1, np.int64)
+        low = np.clip(last + 1 - self.window, 0, len(at))
+        np.add.at(near, low, 1)
+        np.add.at(near, np.maximum(np.minimum(last - self.step + 2, len(at)), low), -1)
+        likely = np.flatnonzero(np.cumsum(near[:-1]) > 0)
+        likely = likely[np.isin(codes[likely], self.codes)]
+        if not len(likely):
+            return []
+        nearest = np.searchsorted(self.codes, codes[likely])
+        of, earlier = self.at[nearest], self.owners[nearest] < doc
+        good = np.zeros(len(likely), bool)
+        breaks = np.flatnonzero((np.diff(likely) != 1) | (np.diff(of) != 1)) + 1  # a run lies within one passage
+        for a, b in zip([0, *breaks.tolist()], [*breaks.tolist(), len(likely)], strict=True):
+            # one comparison for windows that follow each other in both, else each by itself
+            if self._same(w, int(likely[a]), int(of[a]), b - a - 1):
+                good[a:b] = earlier[a:b]
+            else:
+                good[a:b] = [self._is_one(w, int(i), codes[i], doc) for i in likely[a:b]]
+        covered = W.covered_words(len(w.codes), likely[good], self.window)
+        edges = np.flatnonzero(np.diff(np.r_[False, covered, False].astype(np.int8)))
+        return [(a, b) for a, b in edges.reshape(-1, 2).tolist()]
+
+    def _same(self, w: W.Words, i: int, j: int, more: int) -> bool:
+        """Whether the windows at word i of a text and at word j of the passages, and so many more after each, have the same words."""
+        n = self.window + more
+        return joined(w, i, i + n) == self.data[int(self.words.starts[j]) : int(self.words.ends[j + n - 1])]
+
+    def _is_one(self, w: W.Words, i: int, code: np.uint64, doc: int) -> bool:
+        a, b = (int(np.searchsorted(self.codes, code, side)) for side in ("left", "right"))
+        return any(owner < doc and self._same(w, i, j, 0) for j, owner in zip(self.at[a:b].tolist(), self.owners[a:b].tolist(), strict=True))
+
+
+def _streamed(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """Spans found in documents. Rows (shard, slice, kind, id, text_hash, text) are sorted: a group's passages (kind 0) stand before its documents."""
+    group, passages, shard = None, [], None
+    for batch in batches:
+        ids, hashes, spans = [], [], []
+        for key, kind, doc, text_hash, text in zip(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True), *(batch.column(c).to_pylist() for c in range(2, 6)), strict=True):
+            if key != group:
+                group, passages, shard = key, [], None
+            if kind == 0:
+                passages.append((doc, text))
+                continue
+            shard = shard or Shard(passages, window)
+            if found := shard.find(doc, text):
+                ids.append(doc)
+                hashes.append(text_hash)
+                spans.append([{"first": a, "end": b} for a, b in found])
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())])))], ["id", "text_hash", "spans"])
+
+
+def repeated_passages(docs: DataFrame, *, window: int = WINDOW, phrase: int = PHRASE, shard_bytes: int = SHARD_BYTES, slice_bytes: int = SLICE_BYTES, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(sketches with is_copy, candidate documents with their text, (id, text_hash, spans) of the words that each of them must drop)."""
     sketches = checkpointed(sketch(docs, window, phrase, doc_id, text))
-    key = ["code", "check", "n_words"]
     long = sketches.where((F.col("n_words") >= window) & F.col("id").isNotNull())
     # only groups of copies are joined back, and as a stored table, so that a hot group's rows can be split
-    copied = stored(long.groupBy(*key).agg(F.min("id").alias("copy_of"), F.max("id").alias("last_id")).where("copy_of < last_id").drop("last_id"), "copies")
-    marked = sketches.join(copied, key, "left").withColumn("is_copy", F.coalesce(F.col("id") > F.col("copy_of"), F.lit(False)))
-    first = (F.col("n_words") >= window) & F.col("id").isNotNull() & ~F.col("is_copy")
-    buckets = max(1, -(-sketches.count() // bucket_docs))
-    bucket = F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")
-    phrases = marked.where(first).select("id", bucket.alias("bucket"), F.explode("phrases").alias("phrase"))
-    # summed by bucket first: however frequent a phrase, it has one row a bucket
-    by_bucket = phrases.groupBy("phrase", "bucket").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-    recurring = by_bucket.groupBy("phrase").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high").select("phrase")
-    wanted = by_bucket.select("phrase", "bucket").join(recurring, "phrase").select("bucket", "phrase", F.lit(None).cast("long").alias("first_id"))
-    ids = marked.where(first).select(bucket.alias("bucket"), F.lit(None).cast("long").alias("phrase"), F.col("id").alias("first_id"))
-    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null and text is not null").select(bucket.alias("bucket"), "id", "text")
-    found = (
-        texts.groupBy("bucket")
-        .cogroup(wanted.unionAll(ids).groupBy("bucket"))
-        .applyInArrow(lambda left, right: _candidates(left, right, window, phrase), "id long, text string, codes array<long>")
-    )
-    candidates = stored(found, "passages")
-    passages = candidates.select("id", F.explode("codes").alias("code"))
-    confirmed = passages.groupBy("code").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("code", "low")
-    gone = passages.join(confirmed, "code").where("id > low").select("id", "code")
-    return marked, candidates, gone
-
-
-def _dropped(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    copied = stored(long.groupBy("kept_sha256").agg(F.min("id").alias("copy_of"), F.max("id").alias("last_id")).where("copy_of < last_id").drop("last_id"), "copies")
+    marked = sketches.join(copied, "kept_sha256", "left").withColumn("is_copy", F.coalesce((F.col("id") > F.col("copy_of")) & (F.col("n_words") >= window), F.lit(False)))
+    key = ["id", "text_hash"]
+    phrases = marked.where((F.col("n_words") >= window) & F.col("id").isNotNull() & ~F.col("is_copy")).select(*key, F.explode("phrases").alias("phrase"))
+    recurring = stored(phrases.groupBy("phrase").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("phrase"), "phrases")
+    found = phrases.join(recurring, "phrase").groupBy(*key).agg(F.collect_set("phrase").alias("found"))
+    texts = docs.where(F.col(doc_id).isNotNull() & F.col(text).isNotNull()).select(*_own_key(doc_id, text), F.col(text).alias("text"))
+    near = stored(candidates(texts.join(found, key).dropDuplicates(key), window, phrase).where("size(codes) > 0"), "passages")
+
+    windows = near.select(*key, F.explode(F.arrays_zip("codes", "places")).alias("x")).select(*key, F.col("x.codes").alias("code"), F.col("x.places").alias("place"))
+    owner = F.struct("id", "text_hash", "place")
+    confirmed = stored(windows.groupBy("code").agg(F.min(owner).alias("owner"), F.max("id").alias("high")).where("owner.id < high").drop("high"), "confirmed")
+    stretch = F.floor(F.col("owner.place") / STRETCH).cast("int")
+    owned = confirmed.groupBy(F.col("owner.id").alias("id"), F.col("owner.text_hash").alias("text_hash"), stretch.alias("stretch")).agg(F.collect_list("owner.place").alias("places"))
+    passages = stored(stretches(near.select(*key, "text").join(owned, key), window), "stretches")
+    shards = max(1, -(-int(passages.agg(F.sum(F.octet_length("words"))).first()[0] or 0) // shard_bytes))
+    shard = lambda *place: F.pmod(F.xxhash64(*place), F.lit(shards)).alias("shard")
+    routes = windows.join(confirmed, "code").where("id > owner.id").select(*key, shard("owner.id", "owner.text_hash", stretch)).distinct()
+    routed = stored(near.select(*key, "text").join(routes, key), "routed")
+    slices = routed.groupBy("shard").agg(F.ceil(F.sum(F.octet_length("text")) / F.lit(slice_bytes)).cast("int").alias("slices"))
+    slices = stored(slices, "slices")
+    each = passages.select(shard("id", "text_hash", "stretch"), F.lit(0).alias("kind"), *key, F.col("words").alias("text")).join(slices, "shard").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    streamed = routed.select("shard", F.lit(1).alias("kind"), *key, "text").join(slices, "shard").withColumn("slice", F.pmod(F.xxhash64(*key), F.col("slices")).cast("int"))
+    rows = each.unionByName(streamed).select("shard", "slice", "kind", *key, "text").repartition("shard", "slice").sortWithinPartitions("shard", "slice", "kind")
+    spans = rows.mapInArrow(lambda batches: _streamed(batches, window), "id long, text_hash long, spans array<struct<first: long, end: long>>")
+    gone = spans.groupBy(*key).agg(F.flatten(F.collect_set("spans")).alias("spans"))
+    return marked, near, stored(gone, "spans")
+
+
+def _dropped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, removed, texts, shas = [], [], [], []
+        removed, texts, shas = [], [], []
         for k in range(batch.num_rows):
-            data = np.frombuffer(batch.column(1)[k].as_py().encode(), np.uint8)
-            w = W.cut(data, np.array([0, len(data)]))
-            at, codes = w.runs(window)
-            gone = np.asarray(batch.column(2)[k].values if batch.column(2)[k].is_valid else [], np.int64).view(np.uint64)
-            covered = W.covered_words(len(w.codes), at[np.isin(codes, gone)], window)
+            _, w = _one(batch.column(2)[k].as_py())
+            covered = np.zeros(len(w.codes), bool)
+            for span in batch.column(3)[k].as_py():
+                covered[span["first"] : span["end"]] = True
             kept = joined(w, 0, len(w.codes), ~covered)
-            ids.append(batch.column(0)[k].as_py())
             removed.append(int(covered.sum()))
             texts.append(kept.decode())
             shas.append(hashlib.sha256(kept).hexdigest())
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(removed, pa.int64()), pa.array(shas, pa.string()), pa.array(texts, pa.string())], ["id", "dropped", "dropped_sha256", "kept_text"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(removed, pa.int64()), pa.array(shas, pa.string()), pa.array(texts, pa.string())], ["id", "text_hash", "dropped", "dropped_sha256", "kept_text"])
+
+
+def shortened(near: DataFrame, gone: DataFrame) -> DataFrame:
+    """id, text_hash, dropped (a number of words), dropped_sha256 and kept_text of the documents that lose words."""
+    rows = near.select("id", "text_hash", "text").join(gone, ["id", "text_hash"])
+    return rows.mapInArrow(_dropped, "id long, text_hash long, dropped long, dropped_sha256 string, kept_text string")
 
 
-def removals(docs: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
-    """(id, n_words, n_removed, kept_sha256 of every document; id, dropped, dropped_sha256, kept_text of those that lose some but not all words)."""
-    window = options.get("window", WINDOW)
-    marked, candidates, gone = repeated_passages(docs, **options)
-    codes = gone.groupBy("id").agg(F.collect_set("code").alias("gone"))
-    changed = candidates.select("id", "text").join(codes, "id").mapInArrow(lambda batches: _dropped(batches, window), "id long, dropped long, dropped_sha256 string, kept_text string")
-    all_rows = marked.join(changed.select("id", "dropped", "dropped_sha256").distinct(), "id", "left").select(
+def removals(docs: DataFrame, **options) -> DataFrame:
+    """(id, n_words, n_removed, kept_sha256) of every document."""
+    marked, near, gone = repeated_passages(docs, **options)
+    rows = marked.join(shortened(near, gone).drop("kept_text"), ["id", "text_hash"], "left")
+    return rows.select(
         "id",
         "n_words",
         F.when(F.col("is_copy"), F.col("n_words")).otherwise(F.coalesce("dropped", F.lit(0))).cast("long").alias("n_removed"),
         F.when(F.col("is_copy"), F.lit(_NONE)).otherwise(F.coalesce("dropped_sha256", "kept_sha256")).alias("kept_sha256"),
     )
-    return all_rows, changed
 
 
 def without_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents with all their columns; a text that loses words becomes its other words, joined by single spaces."""
-    all_rows, changed = removals(docs, doc_id=doc_id, text=text, **options)
-    gone = all_rows.where("n_removed > 0").select("id", "n_removed").distinct()
-    new = gone.join(changed.select("id", "kept_text").dropDuplicates(["id"]), "id", "left").select(F.col("id").alias("__id"), F.coalesce("kept_text", F.lit("")).alias("__text"))
-    merged = docs.join(new, docs[doc_id] == F.col("__id"), "left")
-    return merged.select(*[F.coalesce("__text", docs[c]).alias(c) if c == text else docs[c] for c in docs.columns])
+    marked, near, gone = repeated_passages(docs, doc_id=doc_id, text=text, **options)
+    new_id, new_hash, new_text = (free_name(docs, x) for x in ("id", "hash", "text"))
+    new = marked.where("is_copy").select("id", "text_hash", F.lit("").alias("kept_text")).distinct().unionByName(shortened(near, gone).select("id", "text_hash", "kept_text"))
+    own_id, own_hash = _own_key(doc_id, text)
+    merged = docs.join(new.toDF(new_id, new_hash, new_text), (own_id == F.col(new_id)) & (own_hash == F.col(new_hash)), "left")
+    return merged.withColumn(text, F.coalesce(new_text, text)).drop(new_id, new_hash, new_text)
 
 
 def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:
-    return removals(table(spark, sf_dir, "documents"))[0].withColumnRenamed("id", "doc_id")
+    return removals(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
 ORACLE = r"""

@@ -23,6 +23,14 @@ def shared_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def free_name(df: DataFrame, wanted: str) -> str:
+    """A column name like the wanted one that df doesn't have, whatever the case of its names."""
+    taken, name = {c.lower() for c in df.columns}, f"own_{wanted}"
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Rows of df, computed once and kept in the shared folder; a lost executor loses none of them."""
     shared_dir(df.sparkSession)
