@@ -3,7 +3,10 @@ import hashlib
 import io
 import os
 import random
+import re
+import time
 import uuid
+from html import unescape
 
 import pytest
 from pyspark.sql import functions as F
@@ -60,27 +63,100 @@ BODY = "<h1>A  title &amp;\n more</h1><p>One <b>bold</b>\tword<br>and a line.<p>
 TEXT = "A title & more\n\nOne bold word and a line.\n\nTwo <tags>\n\nThree words here, linked once."
 
 
-@pytest.fixture
+@pytest.fixture(scope="module")
 def weights(spark):
     return H.learn(table(spark, [(i, "u", SHELL.format(f"<article>{BODY}</article>")) for i in range(20)]))
 
 
+def article(html: str) -> str:
+    """The article of a test table's page, read in another way: by its marks alone."""
+    inner = re.sub("</?b>", "", html[html.index("<article>") + 9 : html.index("</article>")]).replace("<br>", " ")
+    blocks = (" ".join(unescape(x).split()) for x in re.split("</?(?:p|h1)>", inner))
+    return "\n\n".join(x for x in blocks if x)
+
+
 def test_weights_tell_content_from_the_rest(weights):
-    assert weights["word", "p"] > 1 and weights["word", "h1"] > 1 and all(v < 0 for (kind, _), v in weights.items() if kind == "tag")
+    assert all(v < 0 for v in weights.cuts.values()) and all(v < 0 for v in weights.tags.values())
+    assert {"in a ad", "in nav", "in footer", "in aside"} <= set(weights.cuts) and weights.parents["at p"] > 1 and not {"in article", "at article", "in main"} & {*weights.cuts, *weights.parents}
+
+
+def test_all_pages_of_a_table_give_their_articles(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    want = {r.page_id: article(r.html) for r in pages.collect()}
+    learnt = H.learn(pages, training_pages=100)
+    assert {r.page_id: r.text for r in H.extract(pages, learnt).collect()} == want
+    # neither attributes nor the article element are needed
+    bare = pages.withColumn("html", F.regexp_replace("html", ' (class|id|role)="[^"]*"', ""))
+    assert {r.page_id: r.text for r in H.extract(bare, H.learn(bare)).collect()} == want
+    boxes = pages.withColumn("html", F.regexp_replace("html", "(</?)article>", "$1div>"))
+    assert {r.page_id: r.text for r in H.extract(boxes, learnt).collect()} == want
+
+
+def test_names_that_nobody_lists_are_learnt(spark):
+    box = "<html><body><div class=qq1>menu words</div>{}<h1>Title here</h1><p>Some words.</p>{}<p>More words.</p>{}<div class=zz9><p>below</p></div></body></html>"
+    rows = [(i, "u", box.format("<article>", "", "</article><section class='k77x'><p>Odd words</p></section>")) for i in range(30)]
+    learnt = H.learn(table(spark, rows))
+    page = box.format("<div class=main>", "<section class='k77x'><p>Odd words</p></section>", "</div>")
+    assert H.Page(page).text(learnt) == "Title here\n\nSome words.\n\nMore words."
+    assert "Odd words" in H.Page(page).text(H.fit([H.examples()]))
+
+
+def test_shuffled_weights_give_something_else(weights):
+    page = SHELL.format(f"<div>{BODY}</div>")
+    keys, values = [*weights.cuts, *weights.parents], [*weights.cuts.values(), *weights.parents.values()]
+    random.Random(3).shuffle(values)
+    mixed = dict(zip(keys, values, strict=True))
+    other = H.Weights({k: mixed[k] for k in weights.cuts}, {k: mixed[k] for k in weights.parents}, weights.other, weights.tags)
+    assert H.Page(page).text(weights) == TEXT != H.Page(page).text(other)
+
+
+def test_the_run_of_the_largest_sum_is_the_content():
+    weights = H.Weights({"in nav": -3.0, "in aside": -0.5}, {"at p": 1.0}, 1.0, {})
+    page = "<p>a b c</p><nav>x x x x x x</nav><p>d e f g h i j k</p><aside>y y</aside><p>l m n</p>"
+    assert H.Page(page).text(weights) == "d e f g h i j k\n\nl m n"
+
+
+@pytest.mark.parametrize("inside", [True, False])
+@pytest.mark.parametrize("furniture", ["<div class='comments'><p>first! nice words</p></div>", "<section id='comments'><ol><li><p>Nice</p></li></ol></section>", "<div id=cookie-banner>We use cookies</div>", "<aside>Other</aside>", "<p class=ad>Buy</p>", "<section class='related'><h2>See</h2><p>Other</p></section>", "<form><p>Mail</p><button>Go</button></form>", "<div role='navigation'>Home</div>", "<noscript>Please</noscript>", "<textarea>Type</textarea>", "<div class='notice'>Note</div>"])
+def test_furniture_goes_wherever_it_stands(weights, furniture, inside):
+    page = f"<body><header>Name</header><article><h1>A title</h1><p>One two.</p>{furniture * inside}<p>Three <a>four</a>.</p></article>{furniture * (not inside)}<footer>Rights</footer></body>"
+    assert H.Page(page).text(weights) == "A title\n\nOne two.\n\nThree four."
+
+
+@pytest.mark.parametrize("content", ["<p>Plain</p>", "<ul><li>Point</li></ul>", "<blockquote><p>Words</p></blockquote>", "<h3>Part</h3>", "<pre>code</pre>", "<table><tr><td>cell</td></tr></table>", "<section><p>Text</p></section>", "<p><a>Linked</a></p>", "<div class='zork'>Text</div>"])
+def test_content_of_all_kinds_stays(weights, content):
+    for box in ("article", "div"):
+        page = f"<body><nav>Menu</nav><{box}><h1>A title</h1><p>One two.</p>{content}<p>Three.</p></{box}><footer>Rights</footer></body>"
+        assert H.Page(page).text(weights) == f"A title\n\nOne two.\n\n{re.sub('<[^>]*>', '', content)}\n\nThree."
 
 
 def test_extraction(spark, weights):
-    pages = {1: SHELL.format(f"<article>{BODY}</article>"), 2: SHELL.format(f"<div>{BODY}</div>"), 3: None, 4: "", 5: "<p>", 6: "plain words only", 7: f"<article>{BODY}", 8: SHELL.format(f"<main>{BODY}</main>").replace("</", "< /")[:60] + f"<main>{BODY}</main>"}
+    pages = {1: SHELL.format(f"<article>{BODY}</article>"), 2: SHELL.format(f"<div>{BODY}</div>"), 3: None, 4: "", 5: "<p>", 6: "plain words only", 7: f"<article>{BODY}", 8: f"</p></b>< p>{BODY}</main></i>"}
     rows = {r.page_id: r.text for r in H.extract(table(spark, [(i, "u", h) for i, h in pages.items()] + [(1, "u", pages[1])]), weights).collect()}
-    assert rows[1] == rows[2] == rows[7] == TEXT
+    assert rows[1] == rows[2] == rows[7] == TEXT and rows[8] == TEXT
     assert rows[3] == rows[4] == rows[5] == "" and rows[6] == "plain words only"
-    assert H.extract(table(spark, [(1, "u", pages[1])]).limit(0), {}).collect() == []
-    assert H.learn(table(spark, [(1, "u", "")]).limit(0)) == {} and H.Page(pages[1]).text({}) == TEXT
+    twice = spark.createDataFrame([(1, "u", pages[1], "f", True, "t")] * 2, "page_id long, url string, html string, features string, inside boolean, text string")
+    assert [r.text for r in H.extract(twice, H.learn(twice)).collect()] == [TEXT] * 2
+    nothing = table(spark, [(1, "u", pages[1])]).limit(0)
+    assert H.extract(nothing, weights).collect() == [] and H.learn(nothing) == H.learn(table(spark, [(1, "u", "<p>x")])) == H.fit([H.examples()])
+
+
+@pytest.mark.parametrize("page", ["<p " * 400_000, '<a "' * 300_000, '<a x="' * 200_000 + ">", "<b>x" * 100_000, "<!--" * 300_000, "<" * 1_000_000, "</p>" * 200_000, '<p class="' * 100_000 + ">", "<a x='\">" * 100_000])
+def test_malformed_pages_are_linear(weights, page):
+    began = time.process_time()
+    H.Page(page).text(weights)
+    assert time.process_time() - began < 2
+
+
+def test_tags_end_where_they_end():
+    assert list(H.tags("a<p x='>'>b<br/>c<!-- <p> -->d<!x>e<3<q")) == [("a", "p", " x='>'"), ("b", "br", "/"), ("c", "!", ""), ("d", "!", ""), ("e<3<q", "", "")]
+    assert list(H.tags("<SCRIPT>a<b></script >c")) == [("", "script", ""), ("", "/script", " "), ("c", "", "")]
+    assert list(H.tags("<a x='>b<i>c")) == [("", "a", " x='"), ("b", "i", ""), ("c", "", "")]
 
 
 def test_long_pages_are_linear(weights):
-    long = SHELL.format("<article>" + "<p>word one two three" * 20_000 + "</article>")
-    assert H.Page(long).text(weights).count("\n\n") == 19_999
+    long = SHELL.format("<article><h1>Start</h1>" + "<p>word one two three" * 20_000 + "</article>")
+    assert H.Page(long).text(weights).count("\n\n") == 20_000
 
 
 # --- warc --------------------------------------------------------------------------------------------
