@@ -115,7 +115,7 @@ def test_near_dedup_is_brute_force(spark, docs):
     assert kept == {d for d, (_, c) in found.items() if c == d}
 
 
-def test_near_dedup_in_small_blocks(spark):
+def test_near_dedup_in_small_blocks(spark, monkeypatch):
     """A hot group of near copies, many of which link only to some of the others."""
     r = random.Random(3)
     base = [f"w{i}" for i in range(120)]
@@ -125,15 +125,26 @@ def test_near_dedup_in_small_blocks(spark):
         for _ in range(r.choice((1, 2, 4, 6, 9))):
             w[r.randrange(len(w))] = f"x{d}_{r.random()}"
         docs[d] = " ".join(w)
+    monkeypatch.setattr(N, "GROUP_ROWS", 20)
     found = {r.id: (r.n_shingles, r.component_id) for r in N.classes(table(spark, docs), block=16).collect()}
     assert found == brute.classes(docs)
     assert len({c for _, c in found.values()}) > 1
 
 
 def test_near_dedup_edges(spark):
-    assert N.classes(spark.createDataFrame([], SCHEMA)).collect() == []
+    assert N.classes(spark.createDataFrame([], SCHEMA)).collect() == [] and N.near_duplicates_removed(spark.createDataFrame([], SCHEMA)).collect() == []
     rows = spark.createDataFrame([(5, "a b c d e f", *MORE), (5, "a b c d e f", *MORE), (3, "A B C D E F", *MORE), (None, "a b c d e f", *MORE), (None, None, *MORE)], SCHEMA)
     assert sorted((r.id or 0, r.n_shingles, r.component_id or 0) for r in N.classes(rows).where("id is not null").collect()) == [(3, 2, 3), (5, 2, 3), (5, 2, 3)]
+    kept = N.near_duplicates_removed(rows)
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, 3] and kept.dtypes == rows.dtypes
+
+
+def test_near_dedup_of_ids_with_several_texts(spark):
+    """Rows of an id are one document: it links with what any of its texts links with."""
+    one, two, three = (" ".join(f"{c}{i}" for i in range(80)) for c in "uvw")
+    rows = [(1, one), (2, two), (5, one + " x"), (5, two + " y"), (7, three), (7, one + " x"), (8, three + " z"), (9, "alone here")]
+    found = sorted((r.id, r.n_shingles, r.component_id) for r in N.classes(spark.createDataFrame([(*r, *MORE) for r in rows], SCHEMA)).collect())
+    assert found == sorted((i, len(brute.shingles(t)), 9 if i == 9 else 1) for i, t in rows)
 
 
 def test_posterior_bounds_prune_little_of_what_links():

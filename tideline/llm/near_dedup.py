@@ -8,19 +8,22 @@ connected components.
 2. Bands of 4 values put nodes into buckets. A pair at the threshold shares no bucket with a chance of
    (1 - 0.75**4)**32, about 5 in a million, and more similar ones with less.
 3. Candidates are compared in batches of 32 values. After each the posterior of the similarity under a
-   uniform prior decides: a pair whose chance to reach the threshold is below `miss` is dropped. What
-   survives all four batches is verified on the full sets.
+   uniform prior decides: a pair whose chance to reach the threshold is below `miss` is dropped. Only then
+   are the texts of what survives all four batches fetched, and the pairs verified on the full sets.
 4. Star round: every bucket's members against its least member, a number of pairs linear in members.
    Their links give first classes.
 5. Block round: buckets of three or more which still hold several classes have their remaining pairs
-   compared, but those within the bucket's largest class, in blocks of `block` members; a task holds two
-   blocks at most, whatever a bucket's size, and emits only links that join what it hasn't yet seen joined.
-   A pair is looked at in the first band only that it shares.
+   compared, but those within the bucket's largest class, in blocks of `block` members (fewer if their
+   sets are large); a task holds two blocks at most, whatever a bucket's size. First signatures alone are
+   compared, which leaves the members that may link to another class; these are verified, and only links
+   that join what hasn't yet been seen joined are emitted. A pair is looked at in the first band only that
+   it shares. Small buckets share groups of about `GROUP_ROWS` rows, as many groups as that takes.
 6. Links of both rounds give the components, by least labels and pointer jumping.
 
 Edge cases: null and empty texts and texts without words have empty sets, link with nothing and are kept;
-repeated rows of one id are one node and each get a row; documents with a null id form no class and are
-kept; an empty table gives no rows; further columns are not looked at.
+rows of one id are one document: repeated rows count once, what one of its texts links with all do, and each
+row gets the size of its own set; documents with a null id form no class and are kept; an empty table gives
+no rows; columns of any other name, also of one used in here, are carried along or not looked at.
 """
 
 from __future__ import annotations
@@ -30,22 +33,24 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm import words as W
-from tideline.llm.tables import checkpointed, stored, table
+from tideline.llm.tables import checkpointed, free_name, stored, table
 
 SHINGLE, PERCENT = 5, 75
 BANDS, ROWS, BATCH = 32, 4, 32
 VALUES = BANDS * ROWS
 MISS = 1e-6
-BLOCK = 512
-#: Ids that may be broadcast at most; more are joined.
-BROADCAST_IDS = 2_000_000
+#: Members of a block, shingles of a block's sets, and rows of a group of small buckets, about.
+BLOCK, BLOCK_SHINGLES, GROUP_ROWS = 256, 500_000, 1000
+#: Buckets of so many members at most share groups.
+SMALL = 64
 _A = np.random.default_rng(11).integers(0, 2**64, VALUES, dtype=np.uint64) | np.uint64(1)
 _B = np.random.default_rng(12).integers(0, 2**64, VALUES, dtype=np.uint64)
-SKETCH = "id long, n_shingles long, set_a long, set_b long, signature binary"
+SKETCH = "id long, text_hash long, row long, n_shingles long, set_a long, set_b long, signature binary"
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
@@ -104,51 +109,95 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * both >= PERCENT * (len(a) + len(b) - both)
 
 
+def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return docs.select(F.col(doc_id).cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"), F.col(text).alias("text"))
+
+
 def sketch(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """SKETCH's columns of every document; `row` numbers the rows of the stored result."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for row, data, offsets in W.slices(batch.column(1)):
+            for row, data, offsets in W.slices(batch.column(2)):
                 sets = shingle_sets(data, offsets)
+                n = len(sets)
                 sums = np.array([(int(x.sum(dtype=np.uint64)), int(W.mix(x).sum(dtype=np.uint64))) for x in sets], np.uint64).reshape(-1, 2).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, len(sets)), pa.array([len(x) for x in sets], pa.int64()), pa.array(np.ascontiguousarray(sums[:, 0])), pa.array(np.ascontiguousarray(sums[:, 1])), pa.array([signature(x) if len(x) else None for x in sets], pa.binary())],
-                    ["id", "n_shingles", "set_a", "set_b", "signature"],
-                )
+                    [batch.column(0).slice(row, n), batch.column(1).slice(row, n), pa.array(np.arange(number, number + n)), pa.array([len(x) for x in sets], pa.int64()), pa.array(np.ascontiguousarray(sums[:, 0])), pa.array(np.ascontiguousarray(sums[:, 1])), pa.array([signature(x) if len(x) else None for x in sets], pa.binary())],
+                    ["id", "text_hash", "row", "n_shingles", "set_a", "set_b", "signature"],
+                )
+                number += n
 
-    return docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(run, SKETCH)
+    return _texts(docs, doc_id, text).mapInArrow(run, SKETCH)
 
 
 def _sets(texts: pa.ChunkedArray | pa.Array) -> list[np.ndarray]:
     return [x for _, data, offsets in W.slices(texts) for x in shingle_sets(data, offsets)]
 
 
-def _verify_pairs(batches: Iterator[pa.RecordBatch], needed: list[int]) -> Iterator[pa.RecordBatch]:
-    """Links among rows (a, b, signature_a, text_a, signature_b, text_b)."""
+def _signatures(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, VALUES)
+
+
+def _likely_pairs(batches: Iterator[pa.RecordBatch], needed: list[int]) -> Iterator[pa.RecordBatch]:
+    """Rows (a, hash_a, b, hash_b, signature_a, signature_b) whose signatures survive, without these."""
+    for batch in batches:
+        left, right = _signatures(batch.column(4)), _signatures(batch.column(5))
+        alive, matches = np.arange(batch.num_rows), np.zeros(batch.num_rows, np.int64)
+        for k, least in enumerate(needed):
+            part = slice(k * BATCH, (k + 1) * BATCH)
+            matches = matches + (left[alive, part] == right[alive, part]).sum(1)
+            alive, matches = alive[matches >= least], matches[matches >= least]
+        yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(alive)) for c in range(4)], ["a", "hash_a", "b", "hash_b"])
+
+
+def _verify_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links among rows (a, b, text_a, text_b)."""
     for whole in batches:
-        for k in range(0, whole.num_rows, 256):
-            batch = whole.slice(k, 256)
-            left, right = (np.array([np.frombuffer(x.as_py(), np.uint32) for x in batch.column(c)]) for c in (2, 4))
-            alive = [i for i in range(batch.num_rows) if len(survivors(left[i], right[i : i + 1], needed))]
-            chosen = batch.take(pa.array(alive, pa.int64()))
-            pairs = zip(_sets(chosen.column(3)), _sets(chosen.column(5)), strict=True) if alive else ()
+        for k in range(0, whole.num_rows, 64):
+            batch = whole.slice(k, 64)
+            pairs = zip(_sets(batch.column(2)), _sets(batch.column(3)), strict=True)
             good = pa.array([i for i, (a, b) in enumerate(pairs) if linked(a, b)], pa.int64())
-            yield pa.RecordBatch.from_arrays([chosen.column(0).take(good), chosen.column(1).take(good)], ["a", "b"])
-
-
-def _verify_blocks(rows: pa.Table, needed: list[int]) -> pa.Table:
-    """Links within and between blocks of buckets: rows (bucket, band, p, q, block, id, component, signature, text)."""
-    order = {}
-    texts = rows["text"].combine_chunks()
-    ids = rows["id"].to_pylist()
-    first = {}
-    for i, x in enumerate(ids):
-        first.setdefault(x, i)
-    own = dict(zip(first, _sets(texts.take(pa.array(list(first.values()), pa.int64()))), strict=True))
-    signatures = np.frombuffer(b"".join(rows["signature"].to_pylist()), np.uint32).reshape(-1, VALUES)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(good), batch.column(1).take(good)], ["a", "b"])
+
+
+def _surviving(rows: pa.Table, needed: list[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """(a row, rows whose signature survives against it and whose first common band it is) of pairs of different classes within and between blocks."""
+    signatures, component, blocks = _signatures(rows["signature"]), rows["component"].to_numpy(), rows["block"].to_numpy()
+    order: dict[tuple, list[int]] = {}
     for i, key in enumerate(zip(*(rows[c].to_pylist() for c in ("bucket", "band", "p", "q")), strict=True)):
         order.setdefault(key, []).append(i)
-    blocks = rows["block"].to_numpy()
-    component = rows["component"].to_pylist()
+    for (_, band, p, q), places in order.items():
+        places = np.array(places)
+        left, right = places[blocks[places] == p], places[blocks[places] == q]
+        for k, i in enumerate(left.tolist()):
+            others = right[k + 1 :] if p == q else right
+            others = others[component[others] != component[i]]
+            others = others[survivors(signatures[i], signatures[others], needed)] if len(others) else others
+            if len(others):
+                same = (signatures[others] == signatures[i]).reshape(-1, BANDS, ROWS).all(2)
+                others = others[same.argmax(1) == band]
+            if len(others):
+                yield i, others
+
+
+PLACED = ["bucket", "band", "p", "q", "block", "id", "text_hash", "component"]
+
+
+def _likely_members(rows: pa.Table, needed: list[int]) -> pa.Table:
+    """The rows, but for signatures, that a signature says may link to another class."""
+    likely = np.zeros(rows.num_rows, bool)
+    for i, others in _surviving(rows, needed):
+        likely[i] = likely[others] = True
+    return rows.select(PLACED).filter(pa.array(likely))
+
+
+def _verify_members(rows: pa.Table, needed: list[int]) -> pa.Table:
+    """Links among rows with signatures and texts, but those between what has been seen joined."""
+    texts, ids, component = rows["text"].combine_chunks(), rows["id"].to_pylist(), rows["component"].to_pylist()
+    hashes = rows["text_hash"].to_pylist()
+    own: dict[tuple[int, int], np.ndarray] = {}
     out: set[tuple[int, int]] = set()
     parent: dict[int, int] = {}
 
@@ -158,20 +207,17 @@ def _verify_blocks(rows: pa.Table, needed: list[int]) -> pa.Table:
             x = y
         return x
 
-    for (_, band, p, q), places in order.items():
-        places = np.array(places)
-        left, right = places[blocks[places] == p], places[blocks[places] == q]
-        for k, i in enumerate(left.tolist()):
-            others = right[k + 1 :] if p == q else right
-            others = others[survivors(signatures[i], signatures[others], needed)] if len(others) else others
-            if not len(others):
-                continue
-            same = (signatures[others] == signatures[i]).reshape(-1, BANDS, ROWS).all(2)
-            for j in others[same.argmax(1) == band].tolist():
-                x, y = root(component[i]), root(component[j])
-                if x != y and linked(own[ids[i]], own[ids[j]]):
-                    parent[max(x, y)] = min(x, y)
-                    out.add((min(ids[i], ids[j]), max(ids[i], ids[j])))
+    def full(i: int) -> np.ndarray:
+        if (found := own.get((ids[i], hashes[i]))) is None:
+            found = own[ids[i], hashes[i]] = _sets(texts.slice(i, 1))[0]
+        return found
+
+    for i, others in _surviving(rows, needed):
+        for j in others.tolist():
+            x, y = root(component[i]), root(component[j])
+            if x != y and linked(full(i), full(j)):
+                parent[max(x, y)] = min(x, y)
+                out.add((min(ids[i], ids[j]), max(ids[i], ids[j])))
     found = sorted(out)
     return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
@@ -191,44 +237,32 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", miss: float = MISS, block: int = BLOCK) -> DataFrame:
-    """(id, n_shingles, component_id) of every document."""
-    needed = least_matches(miss)
-    sketches = checkpointed(sketch(docs, doc_id, text))
-    key = ["n_shingles", "set_a", "set_b"]
-    some = sketches.where("n_shingles > 0 AND id IS NOT NULL")
-    # only groups of equal sets are joined back, and as a stored table, so that a hot group's rows can be split
-    equal = stored(some.groupBy(*key).agg(F.min("id").alias("least_id"), F.max("id").alias("most_id")).where("least_id < most_id").drop("most_id"), "equal-sets")
-    at_nodes = sketches.join(equal, key, "left").withColumn("node", F.when(F.col("n_shingles") > 0, F.coalesce("least_id", "id")))
-    bands = (
-        at_nodes.where("id = node")
-        .dropDuplicates(["id"])
-        .select("id", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(F.substring(F.col("signature"), b * (4 * ROWS) + 1, F.lit(4 * ROWS)), b))).alias("band", "bucket"))
-    )
-    shared = stored(bands.groupBy("bucket", "band").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count("*").alias("members")).where("least < most").drop("most"), "buckets")
-    members = checkpointed(bands.join(shared, ["bucket", "band"]))
-    wanted = checkpointed(members.select("id").distinct())
-    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null and text is not null")
-    listed = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
-    full = texts.join(listed, "id").dropDuplicates(["id"]).join(some.select("id", "signature").dropDuplicates(["id"]).join(wanted, "id"), "id")
-    full = stored(full, "near")
-
+def _star_links(members: DataFrame, signatures: DataFrame, texts: DataFrame, needed: list[int]) -> DataFrame:
+    """Links between each bucket's least member and its others."""
     pairs = members.where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
-    left, right = (full.select(F.col("id").alias(x), F.col("signature").alias(f"signature_{x}"), F.col("text").alias(f"text_{x}")) for x in "ab")
-    star = pairs.join(right, "b").join(left, "a").select("a", "b", "signature_a", "text_a", "signature_b", "text_b")
-    stars = checkpointed(star.mapInArrow(lambda batches: _verify_pairs(batches, needed), "a long, b long"))
-    first = components(stars)
-
-    of = members.where("members > 2").select("bucket", "band", "id").join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    left, right = (signatures.select(F.col("id").alias(x), F.col("text_hash").alias(f"hash_{x}"), F.col("signature").alias(f"signature_{x}")) for x in "ab")
+    likely = pairs.join(right, "b").join(left, "a").select("a", "hash_a", "b", "hash_b", "signature_a", "signature_b")
+    likely = stored(likely.mapInArrow(lambda batches: _likely_pairs(batches, needed), "a long, hash_a long, b long, hash_b long"), "likely-pairs")
+    wanted = likely.select(F.col("a").alias("id"), F.col("hash_a").alias("text_hash")).unionAll(likely.select("b", "hash_b")).distinct()
+    full = stored(texts.join(wanted, ["id", "text_hash"]).dropDuplicates(["id", "text_hash"]), "star-texts")
+    left, right = (full.select(F.col("id").alias(x), F.col("text_hash").alias(f"hash_{x}"), F.col("text").alias(f"text_{x}")) for x in "ab")
+    rows = likely.join(right, ["b", "hash_b"]).join(left, ["a", "hash_a"]).select("a", "b", "text_a", "text_b")
+    return stored(rows.mapInArrow(_verify_pairs, "a long, b long").distinct(), "stars")
+
+
+def _block_links(members: DataFrame, first: DataFrame, signatures: DataFrame, texts: DataFrame, needed: list[int], block: int) -> DataFrame:
+    """Links between members of buckets that still hold several of the classes in first (id, component)."""
+    key = ["bucket", "band"]
+    of = members.where("members > 2").select(*key, "id", "n_shingles").join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
     of = stored(of, "large-buckets")
-    by_class = of.groupBy("bucket", "band", "component").agg(F.count("*").alias("n"))
-    largest = by_class.groupBy("bucket", "band").agg(F.count("*").alias("classes"), F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("top"))
-    blocks = lambda n: F.ceil(n / block).cast("int")
-    plan = largest.where("classes > 1").select(
-        "bucket", "band", F.when(F.col("top.n") > 1, F.col("top.component")).alias("top"), blocks(F.when(F.col("top.n") > 1, F.col("all") - F.col("top.n")).otherwise(F.col("all"))).alias("rest_blocks"), blocks(F.when(F.col("top.n") > 1, F.col("top.n")).otherwise(F.lit(0))).alias("top_blocks"), "all"
-    )
+    by_class = of.groupBy(*key, "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("size"))
+    largest = by_class.groupBy(*key).agg(F.count("*").alias("classes"), F.sum("n").alias("n"), F.sum("size").alias("size"), F.max(F.struct("n", "size", "component")).alias("top"))
+    has_top = F.col("top.n") > 1
+    blocks = lambda n, size: F.ceil(F.greatest(n / block, size / BLOCK_SHINGLES)).cast("int")
+    rest = lambda x: F.when(has_top, F.col(x) - F.col(f"top.{x}")).otherwise(F.col(x))
+    plan = largest.where("classes > 1").select(*key, F.col("n").alias("all"), F.when(has_top, F.col("top.component")).alias("top"), blocks(rest("n"), rest("size")).alias("rest_blocks"), F.when(has_top, blocks(F.col("top.n"), F.col("top.size"))).otherwise(0).alias("top_blocks"))
     plan = stored(plan, "blocks")
-    placed = of.join(plan, ["bucket", "band"]).withColumn("is_top", F.coalesce(F.col("component") == F.col("top"), F.lit(False)))
+    placed = of.join(plan, key).withColumn("is_top", F.coalesce(F.col("component") == F.col("top"), F.lit(False)))
     spread = F.xxhash64("id", F.lit(3))
     # blocks of the largest class are numbered down from -1, the others up from 0
     placed = placed.withColumn("block", F.when(F.col("is_top"), -1 - F.pmod(spread, F.col("top_blocks"))).otherwise(F.pmod(spread, F.col("rest_blocks"))).cast("int"))
@@ -236,19 +270,55 @@ def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", miss
     partners = F.when(F.col("is_top"), F.transform(rests, lambda r: F.struct(r.alias("p"), F.col("block").alias("q")))).otherwise(
         F.concat(F.transform(rests, lambda r: F.struct(F.least(r, F.col("block")).alias("p"), F.greatest(r, F.col("block")).alias("q"))), F.transform(tops, lambda t: F.struct(F.col("block").alias("p"), t.alias("q"))))
     )
-    # small buckets share tasks' groups, large ones have a group for each pair of blocks
-    group = F.when(F.col("all") <= 64, F.pmod(F.xxhash64("bucket"), F.lit(256)).cast("long")).otherwise(F.xxhash64("bucket", "band", "p", "q"))
-    dealt = placed.select("bucket", "band", "block", "id", "component", "all", F.explode(partners).alias("pair")).select("bucket", "band", "block", "id", "component", "all", "pair.p", "pair.q").withColumn("group", group).drop("all")
-    rest = dealt.join(full, "id").groupBy("group").applyInArrow(lambda rows: _verify_blocks(rows, needed), "a long, b long")
-    final = components(checkpointed(stars.unionAll(rest)))
+    dealt = placed.select(*key, "block", "id", "component", "all", F.explode(partners).alias("pair")).select(*key, "pair.p", "pair.q", "block", "id", "component", "all")
+
+    def group(groups: int):
+        """Small buckets share groups, large ones have a group for each pair of blocks."""
+        return F.when(F.col("all") <= SMALL, F.pmod(F.xxhash64(*key), F.lit(groups)).cast("long")).otherwise(F.xxhash64(*key, "p", "q"))
+
+    groups = max(1, -(-(plan.where(F.col("all") <= SMALL).agg(F.sum("all")).first()[0] or 0) // GROUP_ROWS))
+    compared = dealt.join(signatures, "id").withColumn("group", group(groups)).select("group", "all", *PLACED, "signature")
+    columns = "bucket long, band int, p int, q int, block int, id long, text_hash long, component long"
+    likely = stored(compared.select("group", *PLACED, "signature").groupBy("group").applyInArrow(lambda rows: _likely_members(rows, needed), columns), "likely-members")
+    # with texts, groups are by the size of their sets too
+    sized = likely.join(plan.select(*key, "all"), key).join(signatures.select("id", "text_hash", "n_shingles", "signature"), ["id", "text_hash"])
+    n, size = sized.where(F.col("all") <= SMALL).agg(F.count("*"), F.sum("n_shingles")).first()
+    groups = max(1, -(-n // GROUP_ROWS), -(-(size or 0) // BLOCK_SHINGLES))
+    full = texts.join(likely.select("id", "text_hash").distinct(), ["id", "text_hash"]).dropDuplicates(["id", "text_hash"])
+    rows = sized.join(full, ["id", "text_hash"]).withColumn("group", group(groups)).select("group", *PLACED, "signature", "text")
+    return rows.groupBy("group").applyInArrow(lambda found: _verify_members(found, needed), "a long, b long")
 
-    return at_nodes.join(final.withColumnRenamed("id", "node"), "node", "left").select("id", "n_shingles", F.coalesce("component", "node", "id").alias("component_id"))
+
+def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", miss: float = MISS, block: int = BLOCK) -> DataFrame:
+    """(id, text_hash, n_shingles, component_id) of every document."""
+    needed = least_matches(miss)
+    sketches = stored(sketch(docs, doc_id, text), "sketches")
+    key = ["n_shingles", "set_a", "set_b"]
+    some = sketches.where("n_shingles > 0 AND id IS NOT NULL")
+    # only groups of equal sets are joined back, and as a stored table, so that a hot group's rows can be split
+    equal = stored(some.groupBy(*key).agg(F.min(F.struct("id", "row")).alias("least"), F.count("*").alias("n")).where("n > 1").select(*key, F.col("least.id").alias("least_id"), F.col("least.row").alias("least_row")), "equal-sets")
+    at_nodes = sketches.join(equal, key, "left").withColumn("node", F.when(F.col("n_shingles") > 0, F.coalesce("least_id", "id")))
+    at_nodes = stored(at_nodes.select("id", "text_hash", "n_shingles", "node", (F.col("node").isNotNull() & (F.col("row") == F.coalesce("least_row", "row"))).alias("is_node"), "signature"), "nodes")
+    nodes = at_nodes.where("is_node")
+    bands = nodes.select("id", F.col("n_shingles").cast("int").alias("n_shingles"), F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(F.substring(F.col("signature"), b * (4 * ROWS) + 1, F.lit(4 * ROWS)), b))).alias("band", "bucket"))
+    shared = stored(bands.groupBy("bucket", "band").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count("*").alias("members")).where("least < most").drop("most"), "buckets")
+    members = stored(bands.join(shared, ["bucket", "band"]), "members")
+    signatures = stored(nodes.select("id", "text_hash", "n_shingles", "signature").join(members.select("id").distinct(), "id"), "signatures")
+    texts = _texts(docs, doc_id, text).where("id is not null and text is not null")
+    stars = _star_links(members, signatures, texts, needed)
+    links = stars.unionAll(_block_links(members, components(stars), signatures, texts, needed, block))
+    # an id whose texts are at several nodes links these
+    several = at_nodes.where("id is not null and node is not null").groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("id")
+    links = links.unionAll(at_nodes.select("id", "node").join(several, "id").select(F.col("id").alias("a"), F.col("node").alias("b")).where("a <> b"))
+    final = components(links)
+    return at_nodes.join(final.withColumnRenamed("id", "node"), "node", "left").select("id", "text_hash", "n_shingles", F.coalesce("component", "node", "id").alias("component_id"))
 
 
 def near_duplicates_removed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents, with all their columns, that have the least id of their class."""
-    dropped = classes(docs, doc_id=doc_id, text=text, **options).where("component_id <> id").select(F.col("id").alias("__dropped")).distinct()
-    return docs.join(dropped, docs[doc_id] == F.col("__dropped"), "left_anti")
+    name = free_name(docs, "dropped")
+    dropped = classes(docs, doc_id=doc_id, text=text, **options).where("component_id <> id").select(F.col("id").alias(name)).distinct()
+    return docs.join(dropped, F.col(doc_id) == F.col(name), "left_anti")
 
 
 def op10_near_dedup(spark, sf_dir: str) -> DataFrame:
