@@ -6,15 +6,18 @@ id, and every word of a recurring passage is removed. Four steps:
 1. Sketch: each document is reduced to a digest of its word sequence and to its phrases, runs of `phrase`
    words chosen by winnowing, so that any two documents with a passage in common have a phrase in common.
    Exact copies of an earlier document go whole; only first copies go on.
-2. Confirm: phrases of two documents or more lead to the passages around them, which are grouped by a
-   64-bit code. Passages of two documents are confirmed; the document with the least id owns them.
-3. Compile: the owners' confirmed passages, with their words, are cut into stretches and dealt to shards of
-   about `shard_bytes`. For each shard a task compiles an Aho-Corasick automaton from every run of 25 words
-   at steps of 25 (each window of 50 holds one whole).
-4. Stream: the documents in which the shard's owners have a passage are streamed through the automaton.
-   Where it finds a run, the windows around it are looked up among the shard's passages and compared word
-   by word; only what is equal is removed. Documents of a shard are dealt to as many tasks as their bytes
-   need, each with the shard's automaton.
+2. Confirm: phrases of two documents or more lead to the passages around them: a window belongs to the
+   least of its phrases, its anchor. Windows are grouped by a 64-bit code, and those of two documents are
+   confirmed; the document with the least id owns them.
+3. Compile: every recurring phrase has a shard, the same for phrases near each other in the first document
+   that holds them; there are as many shards as keep each at about `shard_bytes` of passages. The owners'
+   confirmed windows, with their words, go to the shards of their anchors as passages, and for each shard a
+   task compiles an Aho-Corasick automaton from every run of 25 words at steps of 25 (each window of 50
+   holds one whole).
+4. Stream: the documents with an anchor of the shard are streamed through the automaton. Where it finds a
+   run, the windows around it are looked up among the shard's passages and compared word by word; only
+   what is equal is removed. Documents of a shard are dealt to as many tasks as their bytes need, each with
+   the shard's automaton.
 
 Codes only narrow down what is compared: a window that is removed has been compared word by word. A window
 could stay by mistake if its code is that of another confirmed one of an earlier owner, with a chance of
@@ -38,13 +41,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm import words as W
-from tideline.llm.tables import checkpointed, free_name, stored, table
+from tideline.llm.tables import free_name, stored, table
 
 WINDOW, PHRASE = 50, 16
-#: Windows of a document in one stretch of passages, bytes of passages in a shard, bytes of documents that one task streams.
-STRETCH, SHARD_BYTES, SLICE_BYTES = 512, 500_000, 4_000_000
-SKETCH = "id long, text_hash long, n_words long, kept_sha256 string, phrases array<long>"
-CANDIDATES = "id long, text_hash long, text string, codes array<long>, places array<int>"
+#: Bytes of passages in a shard and of documents that one task streams, and phrases of a document that share a shard, about.
+SHARD_BYTES, SLICE_BYTES, STRETCH = 500_000, 4_000_000, 32
+#: Documents whose keys may be broadcast at most; more are joined.
+BROADCAST_KEYS = 2_000_000
+SKETCH = "id long, text_hash long, n_words long, n_bytes long, kept_sha256 string, phrases array<long>"
+_FOUND = "array<struct<phrase: long, shard: int>>"
+CANDIDATES = f"id long, text_hash long, n_bytes long, text string, found {_FOUND}, codes array<long>, shards array<int>"
 _NONE = hashlib.sha256(b"").hexdigest()
 
 
@@ -84,11 +90,11 @@ def sketch(docs: DataFrame, window: int, phrase: int, doc_id: str, text: str) ->
                 at, codes = w.runs(phrase)
                 of = np.searchsorted(w.first, at, "right") - 1
                 chosen = W.winnow(codes, of, window - phrase + 1)
-                phrases = [np.unique(x).view(np.int64) for x in np.split(codes[chosen], np.searchsorted(of[chosen], np.arange(1, n_texts)))]
+                phrases = [_in_order(x).view(np.int64) for x in np.split(codes[chosen], np.searchsorted(of[chosen], np.arange(1, n_texts)))]
                 digests = [hashlib.sha256(joined(w, a, b)).hexdigest() for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, n_texts), batch.column(1).slice(row, n_texts), pa.array(np.diff(w.first)), pa.array(digests), _lists(phrases, pa.int64())],
-                    ["id", "text_hash", "n_words", "kept_sha256", "phrases"],
+                    [batch.column(0).slice(row, n_texts), batch.column(1).slice(row, n_texts), pa.array(np.diff(w.first)), pa.array(np.diff(offsets)), pa.array(digests), _lists(phrases, pa.int64())],
+                    ["id", "text_hash", "n_words", "n_bytes", "kept_sha256", "phrases"],
                 )
 
     return docs.select(*_own_key(doc_id, text), F.col(text).alias("text")).mapInArrow(run, SKETCH)
@@ -99,48 +105,68 @@ def _one(text: str) -> tuple[np.ndarray, W.Words]:
     return data, W.cut(data, np.array([0, len(data)]))
 
 
+def _in_order(codes: np.ndarray) -> np.ndarray:
+    """Distinct codes, in the order in which they come first."""
+    _, first = np.unique(codes, return_index=True)
+    return codes[np.sort(first)]
+
+
+def _anchored(w: W.Words, found: pa.Scalar, window: int, phrase: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, code, shard) of a text's windows whose anchor is one of the found phrases."""
+    _, phrases = w.runs(phrase)
+    _, windows = w.runs(window)
+    if not len(windows):
+        return np.zeros(0, np.int64), windows, np.zeros(0, np.int32)
+    anchors = W.sliding(np.maximum(phrases, np.uint64(1)), window - phrase + 1, np.minimum)
+    own = np.asarray(found.values.field("phrase"), np.int64).view(np.uint64)
+    order = np.argsort(own)
+    own, shards = own[order], np.asarray(found.values.field("shard"), np.int32)[order]
+    near = np.minimum(np.searchsorted(own, anchors), len(own) - 1)
+    places = np.flatnonzero(own[near] == anchors)
+    return places, windows[places], shards[near[places]]
+
+
 def candidates(texts: DataFrame, window: int, phrase: int) -> DataFrame:
-    """Of rows (id, text_hash, text, found: phrases that recur) the windows whose least phrase is one of these: their codes, and where each first starts.
+    """Of rows (id, text_hash, n_bytes, text, found) the codes of the windows that an anchor found leads to, and these anchors' shards.
 
-    Equal windows have the same least phrase, and winnowing chooses it in every document.
+    Equal windows have the same anchor, and winnowing chooses it in every document.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, codes, places = [], [], []
+            rows, codes, shards = [], [], []
             for k in range(batch.num_rows):
-                _, w = _one(batch.column(2)[k].as_py())
-                _, phrases = w.runs(phrase)
-                _, windows = w.runs(window)
-                if not len(windows):
-                    continue
-                least = W.sliding(np.maximum(phrases, np.uint64(1)), window - phrase + 1, np.minimum)
-                likely = np.flatnonzero(np.isin(least, np.asarray(batch.column(3)[k].values, np.int64).view(np.uint64)))
-                own, first = np.unique(windows[likely], return_index=True)
-                rows.append(k)
-                codes.append(own.view(np.int64))
-                places.append(likely[first])
+                _, w = _one(batch.column(3)[k].as_py())
+                places, own, shard = _anchored(w, batch.column(4)[k], window, phrase)
+                if len(places):
+                    rows.append(k)
+                    codes.append(np.unique(own).view(np.int64))
+                    shards.append(np.unique(shard))
             taken = batch.take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*taken.columns[:3], _lists(codes, pa.int64()), _lists(places, pa.int32())], ["id", "text_hash", "text", "codes", "places"])
+            yield pa.RecordBatch.from_arrays([*taken.columns, _lists(codes, pa.int64()), _lists(shards, pa.int32())], ["id", "text_hash", "n_bytes", "text", "found", "codes", "shards"])
 
-    return texts.select("id", "text_hash", "text", "found").mapInArrow(run, CANDIDATES)
+    return texts.select("id", "text_hash", "n_bytes", "text", "found").mapInArrow(run, CANDIDATES)
 
 
-def stretches(owners: DataFrame, window: int) -> DataFrame:
-    """Of rows (id, text_hash, text, stretch, places: first words of confirmed windows) the passages: (id, text_hash, stretch, words)."""
+def owned_passages(owners: DataFrame, window: int, phrase: int) -> DataFrame:
+    """Of rows (id, text, found, confirmed: codes) the passages that these codes make up: (shard, id, words)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, texts = [], []
+            ids, shards, texts = [], [], []
             for k in range(batch.num_rows):
-                _, w = _one(batch.column(2)[k].as_py())
-                places = np.sort(np.asarray(batch.column(4)[k].values, np.int64))
-                for run_of in np.split(places, np.flatnonzero(np.diff(places) > 1) + 1):
-                    rows.append(k)
-                    texts.append(joined(w, int(run_of[0]), int(run_of[-1]) + window).decode())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(rows, pa.int64())) for c in (0, 1, 3)), pa.array(texts, pa.string())], ["id", "text_hash", "stretch", "words"])
+                _, w = _one(batch.column(1)[k].as_py())
+                places, codes, shard = _anchored(w, batch.column(2)[k], window, phrase)
+                good = np.isin(codes, np.asarray(batch.column(3)[k].values, np.int64).view(np.uint64))
+                places, shard = places[good], shard[good]
+                for part in np.split(np.arange(len(places)), np.flatnonzero((np.diff(places) > 1) | (np.diff(shard) != 0)) + 1):
+                    if len(part):
+                        ids.append(batch.column(0)[k].as_py())
+                        shards.append(int(shard[part[0]]))
+                        texts.append(joined(w, int(places[part[0]]), int(places[part[-1]]) + window).decode())
+            yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), pa.array(ids, pa.int64()), pa.array(texts, pa.string())], ["shard", "id", "words"])
 
-    return owners.select("id", "text_hash", "text", "stretch", "places").mapInArrow(run, "id long, text_hash long, stretch int, words string")
+    return owners.select("id", "text", "found", "confirmed").mapInArrow(run, "shard int, id long, words string")
 
 
 class Shard:
@@ -185,10 +211,11 @@ class Shard:
         np.add.at(near, low, 1)
         np.add.at(near, np.maximum(np.minimum(last - self.step + 2, len(at)), low), -1)
         likely = np.flatnonzero(np.cumsum(near[:-1]) > 0)
-        likely = likely[np.isin(codes[likely], self.codes)]
+        nearest = np.minimum(np.searchsorted(self.codes, codes[likely]), len(self.codes) - 1)
+        known = self.codes[nearest] == codes[likely]
+        likely, nearest = likely[known], nearest[known]
         if not len(likely):
             return []
-        nearest = np.searchsorted(self.codes, codes[likely])
         of, earlier = self.at[nearest], self.owners[nearest] < doc
         good = np.zeros(len(likely), bool)
         breaks = np.flatnonzero((np.diff(likely) != 1) | (np.diff(of) != 1)) + 1  # a run lies within one passage
@@ -233,32 +260,34 @@ def _streamed(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Rec
 
 def repeated_passages(docs: DataFrame, *, window: int = WINDOW, phrase: int = PHRASE, shard_bytes: int = SHARD_BYTES, slice_bytes: int = SLICE_BYTES, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(sketches with is_copy, candidate documents with their text, (id, text_hash, spans) of the words that each of them must drop)."""
-    sketches = checkpointed(sketch(docs, window, phrase, doc_id, text))
+    sketches = stored(sketch(docs, window, phrase, doc_id, text), "sketches")
     long = sketches.where((F.col("n_words") >= window) & F.col("id").isNotNull())
     # only groups of copies are joined back, and as a stored table, so that a hot group's rows can be split
     copied = stored(long.groupBy("kept_sha256").agg(F.min("id").alias("copy_of"), F.max("id").alias("last_id")).where("copy_of < last_id").drop("last_id"), "copies")
     marked = sketches.join(copied, "kept_sha256", "left").withColumn("is_copy", F.coalesce((F.col("id") > F.col("copy_of")) & (F.col("n_words") >= window), F.lit(False)))
     key = ["id", "text_hash"]
-    phrases = marked.where((F.col("n_words") >= window) & F.col("id").isNotNull() & ~F.col("is_copy")).select(*key, F.explode("phrases").alias("phrase"))
-    recurring = stored(phrases.groupBy("phrase").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("phrase"), "phrases")
-    found = phrases.join(recurring, "phrase").groupBy(*key).agg(F.collect_set("phrase").alias("found"))
+    phrases = marked.where((F.col("n_words") >= window) & F.col("id").isNotNull() & ~F.col("is_copy")).select(*key, "n_bytes", F.posexplode("phrases").alias("place", "phrase"))
+    recurring = phrases.groupBy("phrase").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.min_by("place", "id").alias("place")).where("low < high")
+    recurring = stored(recurring.select("phrase", "low", F.floor(F.col("place") / STRETCH).alias("stretch")), "phrases")
+    n_words, n_bytes = sketches.agg(F.sum("n_words"), F.sum("n_bytes")).first()
+    # a phrase stands for the words up to the next one, half a winnowing window on
+    passage_bytes = recurring.count() * (window - phrase + 1) / 2 * (n_bytes or 0) / max(n_words or 0, 1)
+    shards = max(1, -(-int(passage_bytes) // shard_bytes))
+    found = phrases.join(recurring.select("phrase", F.pmod(F.xxhash64("low", "stretch"), F.lit(shards)).cast("int").alias("shard")), "phrase")
+    found = stored(found.groupBy(*key, "n_bytes").agg(F.collect_set(F.struct("phrase", "shard")).alias("found")), "found")
     texts = docs.where(F.col(doc_id).isNotNull() & F.col(text).isNotNull()).select(*_own_key(doc_id, text), F.col(text).alias("text"))
-    near = stored(candidates(texts.join(found, key).dropDuplicates(key), window, phrase).where("size(codes) > 0"), "passages")
-
-    windows = near.select(*key, F.explode(F.arrays_zip("codes", "places")).alias("x")).select(*key, F.col("x.codes").alias("code"), F.col("x.places").alias("place"))
-    owner = F.struct("id", "text_hash", "place")
-    confirmed = stored(windows.groupBy("code").agg(F.min(owner).alias("owner"), F.max("id").alias("high")).where("owner.id < high").drop("high"), "confirmed")
-    stretch = F.floor(F.col("owner.place") / STRETCH).cast("int")
-    owned = confirmed.groupBy(F.col("owner.id").alias("id"), F.col("owner.text_hash").alias("text_hash"), stretch.alias("stretch")).agg(F.collect_list("owner.place").alias("places"))
-    passages = stored(stretches(near.select(*key, "text").join(owned, key), window), "stretches")
-    shards = max(1, -(-int(passages.agg(F.sum(F.octet_length("words"))).first()[0] or 0) // shard_bytes))
-    shard = lambda *place: F.pmod(F.xxhash64(*place), F.lit(shards)).alias("shard")
-    routes = windows.join(confirmed, "code").where("id > owner.id").select(*key, shard("owner.id", "owner.text_hash", stretch)).distinct()
-    routed = stored(near.select(*key, "text").join(routes, key), "routed")
-    slices = routed.groupBy("shard").agg(F.ceil(F.sum(F.octet_length("text")) / F.lit(slice_bytes)).cast("int").alias("slices"))
-    slices = stored(slices, "slices")
-    each = passages.select(shard("id", "text_hash", "stretch"), F.lit(0).alias("kind"), *key, F.col("words").alias("text")).join(slices, "shard").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
-    streamed = routed.select("shard", F.lit(1).alias("kind"), *key, "text").join(slices, "shard").withColumn("slice", F.pmod(F.xxhash64(*key), F.col("slices")).cast("int"))
+    if found.count() <= BROADCAST_KEYS:
+        texts = texts.join(F.broadcast(found.select(*key)), key, "left_semi")
+    near = stored(candidates(texts.join(found, key).dropDuplicates(key), window, phrase), "near")
+
+    windows = near.select("id", F.explode("codes").alias("code"))
+    confirmed = windows.groupBy("code").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
+    owned = confirmed.groupBy(F.col("low").alias("id")).agg(F.collect_list("code").alias("confirmed"))
+    passages = stored(owned_passages(near.select("id", "text", "found").join(owned, "id"), window, phrase), "passages")
+    sent = near.select("n_bytes", F.explode("shards").alias("shard")).join(passages.select("shard").distinct(), "shard", "left_semi")
+    slices = stored(sent.groupBy("shard").agg(F.ceil(F.sum("n_bytes") / F.lit(slice_bytes)).cast("int").alias("slices")), "slices")
+    each = passages.select("shard", F.lit(0).alias("kind"), "id", F.lit(0).cast("long").alias("text_hash"), F.col("words").alias("text")).join(slices, "shard").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    streamed = near.select(F.explode("shards").alias("shard"), F.lit(1).alias("kind"), *key, "text").join(slices, "shard").withColumn("slice", F.pmod(F.xxhash64(*key), F.col("slices")).cast("int"))
     rows = each.unionByName(streamed).select("shard", "slice", "kind", *key, "text").repartition("shard", "slice").sortWithinPartitions("shard", "slice", "kind")
     spans = rows.mapInArrow(lambda batches: _streamed(batches, window), "id long, text_hash long, spans array<struct<first: long, end: long>>")
     gone = spans.groupBy(*key).agg(F.flatten(F.collect_set("spans")).alias("spans"))
