@@ -1,3 +1,4 @@
+import base64
 import gzip
 import hashlib
 import io
@@ -15,11 +16,11 @@ from tideline.llm import html_extraction as H
 from tideline.llm import url_filters as U
 from tideline.llm import warc
 
-PAGES = "page_id long, url string, html string, host string, payload int, digest string"
+PAGES = "page_id long, url string, html string, host string, payload int, digest string, own_judged string, size string, refers_to string, features string"
 
 
 def table(spark, rows):
-    return spark.createDataFrame([(*r, "h", 1, "d") for r in rows], PAGES)
+    return spark.createDataFrame([(*r, "h", 1, *"dabcd") for r in rows], PAGES)
 
 
 # --- url filters -------------------------------------------------------------------------------------
@@ -42,6 +43,17 @@ def test_trie_is_brute_force():
         assert trie.fit(h, p) == (want and (want[2], want[3]))
 
 
+def test_many_rules_on_a_host_cost_no_more():
+    rules = [("block", "a.com", f"/x/{i}") for i in range(100_000)] + [("allow", "a.com", "/x/77777/y")]
+    trie = U.RuleTrie(rules)
+    began = time.process_time()
+    for i in range(2000):
+        assert trie.fit("www.a.com", f"/x/{i}z")[1] == "block"
+    assert time.process_time() - began < 0.2  # 100 us each
+    assert trie.fit("a.com", "/x/77777/yy") == ("a.com/x/77777/y", "allow") and trie.fit("a.com", "/x") is None
+    assert trie.fit("a" * 100_000 + ".com", "/" * 100_000) is None
+
+
 def test_verdicts(spark):
     urls = {1: "http://WWW.Example.com/en/1?x", 2: "https://blog.x.example.com/en/#t", 3: "http://q.net/es/a", 4: "http://org/en/", 5: None, 6: "no scheme", 7: "http://com", 8: "x://net?/es/", 9: "http://example.com/EN/"}
     df = table(spark, [(i, u, "") for i, u in urls.items()] + [(1, urls[1], "")])
@@ -188,6 +200,37 @@ def test_damage_raises():
     assert list(warc.ArchiveReader(io.BytesIO(b""))) == []
 
 
+def record(kind, block, more=(), content="application/http; msgtype=response"):
+    lines = ["WARC/1.0", f"WARC-Type: {kind}", "WARC-Record-ID: <urn:uuid:1-2>", f"Content-Type: {content}", f"Content-Length: {len(block)}", *more]
+    return gzip.compress("\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n")
+
+
+def test_archives_of_others(spark, tmp_path):
+    body = b"<p>hello</p>"
+    sha1 = base64.b32encode(hashlib.sha1(body).digest()).decode()
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n"
+    chunked = http + b"Transfer-Encoding: chunked\r\n\r\n5\r\n<p>he\r\n7;x=y\r\nllo</p>\r\n0\r\n\r\n"
+    records = [
+        record("warcinfo", b"software: x\r\n", content="application/warc-fields"),
+        record("request", b"GET / HTTP/1.1\r\nHost: a\r\n\r\n", content="application/http; msgtype=request"),
+        record("response", http + b"\r\n" + body, [f"WARC-Payload-Digest: sha1:{sha1}"]),
+        record("response", http + b"Content-Length: 99\r\n\r\n" + body, [f"WARC-Payload-Digest: md5:{hashlib.md5(body).hexdigest()}", "WARC-Block-Digest: crc9:zzz"]),
+        record("response", chunked, [f"warc-payload-digest: SHA-256:{hashlib.sha256(body).hexdigest()}"]),
+        record("resource", body, content="text/html"),
+        record("revisit", http + b"\r\n", [f"WARC-Payload-Digest: sha1:{sha1}", "WARC-Refers-To: <urn:uuid:1-2>"]),
+    ]
+    found = list(warc.ArchiveReader(io.BytesIO(b"".join(records))))
+    assert [h["warc-type"] for h, _, _ in found] == ["warcinfo", "request", "response", "response", "response", "resource", "revisit"]
+    assert [p for _, _, p in found] == [b"software: x\r\n", b"", body, body, body, body, b""] and found[0][1] == {}
+    for bad in (record("response", http + b"\r\n" + body, [f"WARC-Payload-Digest: sha1:{base64.b32encode(b'0' * 20).decode()}"]), record("resource", body, ["WARC-Block-Digest: md5:" + "0" * 32], "text/html"), gzip.compress(b"WARC/1.0\r\nWARC-Type: response\r\n\r\n")):
+        with pytest.raises(ValueError):
+            list(warc.ArchiveReader(io.BytesIO(bad)))
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(records))
+    rows = warc.read_archives(spark.createDataFrame([(str(tmp_path / "a.warc.gz"),)], "path string"), str(tmp_path)).collect()
+    assert [(r.record_type, r.page_id, r.payload_bytes) for r in rows][2:] == [("response", None, 12)] * 3 + [("resource", None, 12), ("revisit", None, None)]
+    assert rows[6].payload_digest == hashlib.sha1(body).hexdigest() and rows[6].refers_to_record == "<urn:uuid:1-2>"
+
+
 def test_round_trip(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(warc, "ARCHIVE_BYTES", 2000)
     copy = "the same page " * 20
@@ -195,7 +238,9 @@ def test_round_trip(spark, tmp_path, monkeypatch):
     folder = str(tmp_path / uuid.uuid4().hex)
     archives = warc.write_archives(warc.with_revisits(table(spark, rows)), folder)
     assert archives.count() > 1 and archives.agg(F.sum("records")).first()[0] == len(rows)
-    assert not [n for n in os.listdir(folder) if n.endswith(".tmp")]
+    assert sorted(os.path.basename(r.path) for r in archives.collect()) == sorted(os.listdir(folder))
+    whole = {(r.page_id, r.payload) for r in warc.with_payloads(warc.read_archives(archives, folder)).collect()}
+    assert whole == {(i, (h or "").encode()) for i, _, h in rows}
     found = warc.read_archives(archives, folder).collect()
     assert len(found) == len(rows)
     for r in found:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm import words as W
-from tideline.llm.tables import table
+from tideline.llm.tables import free_name, table
 
 SCAN = "id long, n_words long, n_hit long, items array<string>, spans array<struct<first:long,last:long>>"
 #: A document is contaminated if at least one of so many of its words is hit.
@@ -152,9 +152,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_i
     """The documents, with all their columns, that aren't contaminated; with one block nothing is shuffled."""
     sets = ngram_sets(docs.sparkSession, benchmark, **options)
     if len(sets) > 1:
-        bad = _scan(docs, sets, doc_id, text).where(is_contaminated()).select(F.col("id").alias("__bad_id"), F.col("text_hash").alias("__bad_hash"))
+        bad_id, bad_hash = free_name(docs, "bad_id"), free_name(docs, "bad_hash")
+        bad = _scan(docs, sets, doc_id, text).where(is_contaminated()).select(F.col("id").alias(bad_id), F.col("text_hash").alias(bad_hash))
         own_id, own_hash = _own_key(doc_id, text)
-        return docs.join(bad, own_id.eqNullSafe(F.col("__bad_id")) & (own_hash == F.col("__bad_hash")), "left_anti")
+        return docs.join(bad, own_id.eqNullSafe(F.col(bad_id)) & (own_hash == F.col(bad_hash)), "left_anti")
     shared, place = sets[0], docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

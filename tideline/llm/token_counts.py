@@ -6,7 +6,8 @@ exceed it, how many tokens there are in all, and how many remain if each documen
 Suffix sums are taken in two levels, within blocks of lengths and over the blocks, so that no task
 sorts more than one block's rows. The histogram is kept at a checkpoint, so that texts are encoded once.
 
-Edge cases: null and empty texts have length 0; repeated documents count each time; an empty table has
+Edge cases: null and empty texts have length 0; the string of an added token, such as <|endoftext|>, is ordinary
+text here, while op7 encodes it as one token; very long texts are encoded whole; repeated documents count each time; an empty table has
 an empty histogram, no quantiles, and totals of 0; further columns are not looked at.
 """
 

@@ -6,10 +6,13 @@ verdict, and between an allow and a block entry of the very same host and path,
 rule fits, the method's verdict is `default`.
 
 The trie's nodes are dictionaries: host labels from the top domain down, and below each host the rule
-paths by segment. Its size is that of the rule list, at most `max_rules` entries; a larger list raises.
+paths by segment. A rule's last part may end within a segment; of a node's ends, those of each length that
+occurs are looked up at once, so that a url costs no more with many rules on its host. The trie's size is that
+of the rule list, at most `max_rules` entries; a larger list raises.
 
 Edge cases: a null url or one without `://` has an empty host and path and no rule can fit it; an empty
-table gives no rows; repeated rows each get a verdict; further columns pass through.
+table gives no rows; repeated rows each get a verdict; very long urls take time in proportion to their
+length; further columns, whatever their names, pass through.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.tables import table
+from tideline.llm.tables import free_name, table
 
 #: The contract's rules: (verdict, host, path).
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
@@ -56,6 +59,7 @@ class RuleTrie:
             ends = node.setdefault("ends", {})
             if ends.get(rest, ("", ""))[1] != "allow":
                 ends[rest] = (host.translate(_UPPER) + path, verdict)
+                node.setdefault("lengths", set()).add(len(rest))
 
     def fit(self, host: str, path: str) -> tuple[str, str] | None:
         """(rule, verdict) of the most specific rule that fits."""
@@ -74,9 +78,9 @@ class RuleTrie:
         for k, segment in enumerate(segments):
             if node is None:
                 break
-            for end in sorted(node.get("ends", {}), key=len):
-                if segment.startswith(end):
-                    best = node["ends"][end]
+            fitting = [n for n in node.get("lengths", ()) if n <= len(segment) and segment[:n] in node["ends"]]
+            if fitting:
+                best = node["ends"][segment[: max(fitting)]]
             node = node.get("segments", {}).get(segment) if k < len(segments) - 1 else None
         return best
 
@@ -99,8 +103,9 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], *, url: str = "ur
         return pd.DataFrame(rows, columns=["host", "path", "rule", "verdict"])
 
     kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    found = pages.select(*kept, judged(F.col(url)).alias("__judged"))
-    return found.select(*kept, *[F.col(f"__judged.{c}").alias(c) for c in ("host", "path", "rule", "verdict")])
+    name = free_name(pages, "judged")
+    found = pages.select(*kept, judged(F.col(url)).alias(name))
+    return found.select(*kept, f"{name}.*")
 
 
 def op8_url_filters(spark, sf_dir: str) -> DataFrame:

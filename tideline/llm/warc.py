@@ -6,18 +6,26 @@ digests; it holds one record at a time. Of pages with equal payloads of at least
 with the smallest id is stored as a response; the others are revisit records that refer to it and hold
 its HTTP header only, whose Content-Length tells the full payload's length.
 
-Archives go to the shared folder, through pyarrow's file systems, a task's under names that depend on its
-partition alone: each is written under another name first and renamed when complete, so a task that runs
-again after an executor was lost replaces its own archives and nothing else.
+Archives of others are read too: digests may be sha1, sha256 or md5, in hexadecimal or base32, or missing
+(those of other algorithms aren't compared); only blocks of type application/http have an HTTP header, whose
+length may be missing or chunked; records of other types (warcinfo, resource, metadata ...) come back with
+their block as payload. with_payloads() gives revisits the payload that they refer to.
+
+Archives go to the shared folder, through pyarrow's file systems, under names that hold the task attempt's
+number: an attempt never touches another one's archives, and the result names those of the attempts that
+counted. What a failed attempt leaves behind is in no result.
 
 Edge cases: a null payload is empty; a null id gives a record id without a number, is always a response
 and reads back as null; a null url gives no WARC-Target-URI and reads back as null; smaller
 payloads are all responses; repeated rows of one id are all responses or all revisits; a damaged or cut
-archive raises ValueError; an empty table writes no archives; further columns are not looked at.
+archive raises ValueError; an empty table writes no archives; further columns, whatever their names, are not
+looked at.
 """
 
 from __future__ import annotations
 
+import base64
+import binascii
 import hashlib
 import os
 import re
@@ -32,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm.tables import checkpointed, shared_dir, table
+from tideline.llm.tables import checkpointed, made, shared_dir, stored, table
 
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -40,7 +48,10 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ARCHIVE_BYTES = 64_000_000
 READ_BYTES = 256 * 1024
 _RECORD_ID = "<urn:page:{}>"
-RECORDS = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary"
+#: Duplicates whose keys may be broadcast at most; more are joined.
+BROADCAST_ROWS = 500_000
+_ALGORITHMS = {"sha1": hashlib.sha1, "sha256": hashlib.sha256, "md5": hashlib.md5}
+RECORDS = "record_id string, refers_to_record string, page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary"
 
 
 def file_system(uri: str):
@@ -64,6 +75,46 @@ def record_bytes(page_id: int | None, url: str | None, payload: bytes, digest: s
     return packer.compress("\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n") + packer.flush()
 
 
+def digest_of(text: str) -> tuple[str, bytes] | None:
+    """(algorithm, digest) of a header's value such as sha1:BASE32 or sha256:hexadecimal; None if it can't be compared."""
+    name, _, value = text.partition(":")
+    name = name.strip().lower().replace("-", "")
+    if name not in _ALGORITHMS:
+        return None
+    value, size = value.strip(), _ALGORITHMS[name]().digest_size
+    try:
+        got = bytes.fromhex(value) if len(value) == 2 * size else base64.b32decode(value.upper() + "=" * (-len(value) % 8))
+    except (ValueError, binascii.Error):
+        return None
+    return (name, got) if len(got) == size else None
+
+
+def _differs(text: str | None, *data: bytes) -> bool:
+    """Whether a digest can be compared and is that of none of the data."""
+    return bool(text and (found := digest_of(text)) and all(_ALGORITHMS[found[0]](x).digest() != found[1] for x in data))
+
+
+def _fields(lines: list[str]) -> dict[str, str]:
+    return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
+
+
+def unchunked(body: bytes) -> bytes:
+    """A body of chunks put together; one that isn't made of chunks, as where they have been removed already, stays."""
+    parts, at = [], 0
+    while (end := body.find(b"\r\n", at)) >= 0:
+        size = body[at:end].partition(b";")[0].strip()
+        if not re.fullmatch(rb"[0-9a-fA-F]{1,15}", size):
+            return body
+        n = int(size, 16)
+        if not n:
+            return b"".join(parts)
+        parts.append(body[end + 2 : end + 2 + n])
+        if len(parts[-1]) < n or body[end + 2 + n : end + 4 + n] != b"\r\n":
+            return body
+        at = end + 4 + n
+    return body
+
+
 class ArchiveReader:
     """Iterates over the records of an archive: (WARC headers with lower-case names, HTTP headers, payload)."""
 
@@ -94,21 +145,18 @@ class ArchiveReader:
         while (end := self.plain.find(b"\r\n\r\n")) < 0:
             if not self._more():
                 raise ValueError("a record without the end of its header")
-        head, self.plain = self.plain[:end].decode(), self.plain[end + 4 :]
+        head, self.plain = self.plain[:end].decode("utf-8", "replace"), self.plain[end + 4 :]
         first, *lines = head.split("\r\n")
-        return first, {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
+        return first, _fields(lines)
 
-    def _block(self, size: int, digest: str) -> bytes:
-        parts, left, seen = [], size, hashlib.sha256()
+    def _block(self, size: int) -> bytes:
+        parts, left = [], size
         while left:
             if not self.plain and not self._more():
                 raise ValueError("a record is shorter than its Content-Length")
             part, self.plain = self.plain[:left], self.plain[left:]
-            seen.update(part)
             parts.append(part)
             left -= len(part)
-        if digest and f"sha256:{seen.hexdigest()}" != digest:
-            raise ValueError("a block differs from its digest")
         return b"".join(parts)
 
     def __iter__(self) -> Iterator[tuple[dict[str, str], dict[str, str], bytes]]:
@@ -119,19 +167,21 @@ class ArchiveReader:
                     return
             self.member, self.held_back, self.plain = zlib.decompressobj(31), False, b""
             version, headers = self._headers()
-            if not version.startswith("WARC/"):
+            if not version.startswith("WARC/") or not headers.get("content-length", "").isdigit() or "warc-type" not in headers:
                 raise ValueError("not a WARC record")
-            block = self._block(int(headers["content-length"]), headers.get("warc-block-digest", ""))
+            block = self._block(int(headers["content-length"]))
             while self._more():
                 pass
             if self.plain != b"\r\n\r\n":
-                raise ValueError("a record is longer than its Content-Length")
-            head, _, payload = block.partition(b"\r\n\r\n")
-            http = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in head.decode().split("\r\n")[1:])}
-            if headers["warc-type"] == "response":
-                if int(http["content-length"]) != len(payload):
-                    raise ValueError("a payload differs from its Content-Length")
-                if f"sha256:{hashlib.sha256(payload).hexdigest()}" != headers["warc-payload-digest"]:
+                raise ValueError("a record is longer or shorter than its Content-Length")
+            if _differs(headers.get("warc-block-digest"), block):
+                raise ValueError("a block differs from its digest")
+            http, payload = {}, block
+            if headers.get("content-type", "").lower().replace(" ", "").startswith("application/http"):
+                head, _, body = block.partition(b"\r\n\r\n")
+                http = _fields(head.decode("latin-1").split("\r\n")[1:])
+                payload = unchunked(body) if "chunked" in http.get("transfer-encoding", "").lower() else body
+                if headers["warc-type"] == "response" and _differs(headers.get("warc-payload-digest"), body, payload):
                     raise ValueError("a payload differs from its digest")
             yield headers, http, payload
 
@@ -142,8 +192,9 @@ def with_revisits(pages: DataFrame, *, page_id: str = "page_id", url: str = "url
     rows = rows.withColumns({"digest": F.sha2("payload", 256), "size": F.octet_length("payload").cast("long")})
     large = rows.where(F.col("size") >= least).select("page_id", "digest")
     firsts = large.groupBy("digest").agg(F.min("page_id").alias("first_id"), F.max("page_id").alias("last_id")).where("first_id < last_id").drop("last_id")
-    later = large.join(firsts, "digest").where("page_id > first_id").select("page_id", "digest", F.col("first_id").alias("refers_to")).distinct()
-    return rows.join(later, ["page_id", "digest"], "left")
+    later = stored(large.join(firsts, "digest").where("page_id > first_id").select("page_id", "digest", F.col("first_id").alias("refers_to")).distinct(), "revisits")
+    # payloads are shuffled only where the revisits are too many to broadcast
+    return rows.join(F.broadcast(later) if later.count() <= BROADCAST_ROWS else later, ["page_id", "digest"], "left")
 
 
 def write_archives(rows: DataFrame, folder: str) -> DataFrame:
@@ -155,65 +206,79 @@ def write_archives(rows: DataFrame, folder: str) -> DataFrame:
         context = TaskContext.get()
         paths: list[str] = []
         counts: list[int] = []
-        out, temp, size = None, "", 0
-
-        def finish() -> None:
-            out.close()
-            fs.move(temp, paths[-1])
-
+        out, size = None, 0
         for batch in batches:
             for row in batch.to_pylist():
                 if out is None or size >= ARCHIVE_BYTES:
                     if out is not None:
-                        finish()
-                    paths.append(f"{base}/part-{context.partitionId():06d}-{len(paths):04d}.warc.gz")
+                        out.close()
+                    paths.append(f"{base}/part-{context.partitionId():06d}-{context.taskAttemptId()}-{len(paths):04d}.warc.gz")
                     counts.append(0)
-                    temp, size = f"{base}/.{uuid.uuid4().hex}.tmp", 0
-                    out = fs.open_output_stream(temp, compression=None)
+                    out, size = fs.open_output_stream(paths[-1], compression=None), 0
                 member = record_bytes(row["page_id"], row["url"], row["payload"], row["digest"], row["size"], row["refers_to"])
                 out.write(member)
                 size += len(member)
                 counts[-1] += 1
         if out is not None:
-            finish()
+            out.close()
         yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(counts, pa.int64())], ["path", "records"])
 
     return checkpointed(rows.select("page_id", "url", "payload", "digest", "size", "refers_to").mapInArrow(write, "path string, records long"))
 
 
-def read_archives(archives: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
-    """All records of the archives named in column path; without payloads, that column is null."""
-
+def _row(headers: dict[str, str], http: dict[str, str], payload: bytes, payloads: bool) -> tuple:
     def as_id(record_id: str | None) -> int | None:
         number = (record_id or "").removeprefix(_RECORD_ID.split("{")[0]).removesuffix(">")
-        return int(number) if number else None
+        return int(number) if re.fullmatch("-?[0-9]{1,19}", number) else None
+
+    record_id, refers, uri = headers.get("warc-record-id"), headers.get("warc-refers-to"), headers.get("warc-target-uri")
+    size, digest = len(payload), hashlib.sha256(payload).hexdigest()
+    if headers["warc-type"] == "revisit":  # it tells of a payload that it doesn't hold
+        told, length = digest_of(headers.get("warc-payload-digest", "")), http.get("content-length", "")
+        size, digest = int(length) if length.isdigit() else None, told[1].hex() if told else None
+    return record_id, refers, as_id(record_id), None if uri is None else unquote(uri), headers["warc-type"], size, digest, as_id(refers), payload if payloads else None
+
+
+def read_archives(archives: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
+    """All records of the archives named in column path, as RECORDS; without payloads, that column is null.
+
+    page_id and refers_to are numbers in record ids of this module; payload_digest is the payload's SHA-256, or what a revisit tells.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, _ = file_system(folder)
-        schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())])
+        strings = [(x, pa.string()) for x in ("record_id", "refers_to_record")]
+        schema = pa.schema([*strings, ("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())])
+        as_batch = lambda rows: pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 rows, held = [], 0
                 with fs.open_input_stream(path, compression=None) as stream:
                     for headers, http, payload in ArchiveReader(stream):
-                        uri = headers.get("warc-target-uri")
-                        rows.append((as_id(headers["warc-record-id"]), None if uri is None else unquote(uri), headers["warc-type"], int(http["content-length"]), headers["warc-payload-digest"].removeprefix("sha256:"), as_id(headers.get("warc-refers-to")), payload if payloads else None))
+                        rows.append(_row(headers, http, payload, payloads))
                         held += len(payload)
                         if len(rows) >= 2000 or held >= 16_000_000:
-                            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+                            yield as_batch(rows)
                             rows, held = [], 0
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+                    yield as_batch(rows)
 
     return archives.select("path").repartition(_tasks(archives.sparkSession), "path").mapInArrow(read, RECORDS)
 
 
+def with_payloads(records: DataFrame) -> DataFrame:
+    """The records; a revisit has the payload of the response that it refers to, null where no archive read has that."""
+    held = records.where("record_type = 'response'").select(F.col("record_id").alias("held_id"), F.col("payload").alias("held"))
+    again = records.where("record_type = 'revisit'").join(held, F.col("refers_to_record") == F.col("held_id"), "left")
+    return records.where("record_type <> 'revisit'").unionByName(again.withColumn("payload", F.col("held")).drop("held_id", "held"))
+
+
 def _tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def op9_warc(spark, sf_dir: str) -> DataFrame:
-    folder = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    folder = made(f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}")
     archives = write_archives(with_revisits(table(spark, sf_dir, "pages")), folder)
     return read_archives(archives, folder, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
