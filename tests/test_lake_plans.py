@@ -170,6 +170,13 @@ def test_daily_chain_publication_serving_and_cli(spark, tmp_path):
     args = ["--root", str(tmp_path / "lake"), "--replica", str(tmp_path / "replica"), "--today", str(TODAY)]
     assert cli.main([*args, "verify"], spark, out=out) == cli.PIPELINE
     assert cli.main([*args, "reconstruct"], spark, out=out) == cli.OK
+    assert [(x["step"], x["status"]) for x in json.loads(out.getvalue().splitlines()[-1])] == [("source", "PASS"), ("rebuild", "PLANNED"), ("verify", "PLANNED")]
+    assert cli.main([*args, "verify"], spark, out=out) == cli.PIPELINE
+    replica.files.create(replica.files.path("lock"), datetime.now(UTC).isoformat())
+    assert cli.main([*args, "reconstruct", "--execute"], spark, out=out) == cli.PIPELINE and replica.rows() is not None
+    assert [x["status"] for x in json.loads(out.getvalue().splitlines()[-1])] == ["PASS", "FAIL"]
+    replica.files.write(replica.files.path("lock"), datetime(2020, 1, 1, tzinfo=UTC).isoformat())  # of a writer that crashed
+    assert cli.main([*args, "reconstruct", "--execute"], spark, out=out) == cli.OK
     assert cli.main([*args, "inventory", "--json", "--series", "vix"], spark, out=out) == cli.OK
     assert json.loads(out.getvalue().splitlines()[-1])["row_count"] == 65
     assert cli.main([*args, "inventory", "--series", "nope"], spark, out=out) == cli.INPUT

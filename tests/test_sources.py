@@ -5,7 +5,9 @@ import pytest
 
 from tideline import registry, schemas
 from tideline.sources import payloads as P
-from tideline.sources.http import Response, Retries, TransportError, fetch
+from tideline.plans import planner
+from tideline.sources import providers
+from tideline.sources.http import Response, TransportError, fetch, waits
 
 
 @pytest.fixture
@@ -46,7 +48,6 @@ def test_sdmx_csv(spark, put):
             P.sdmx_csv(spark, put(f"TIME_PERIOD,OBS_VALUE\n2024-01-02,{bad}\n"))
     with pytest.raises(P.PayloadError):
         P.sdmx_csv(spark, put("TIME_PERIOD,OBS_VALUE\n2024-01-02,1\n2024-01-02,2\n"))
-    assert P.no_result(404, b"No record found") and not P.no_result(500, b"no data") and not P.no_result(404, b"gone")
 
 
 def chart(at, error=None, **vectors):
@@ -88,21 +89,62 @@ def test_observations_have_the_stored_schema(spark, put):
 
 
 def test_retries():
-    waits, answers = [], [Response(503, b"", {"Retry-After": "99"}), Response(429, b"", {}), Response(200, b"ok", {})]
-    assert fetch("http://h/p", {"key": "secret"}, send=lambda url: answers.pop(0), sleep=waits.append).body == b"ok"
-    assert waits == [8.0, 1.0]
+    slept, answers = [], [Response(503, b"", {"Retry-After": "99"}), Response(429, b"", {}), Response(200, b"ok", {})]
+    assert fetch("http://h/p", {"key": "secret"}, send=lambda url: answers.pop(0), sleep=slept.append).body == b"ok"
+    assert slept == [8.0, 1.0]
     sent = []
     with pytest.raises(TransportError) as caught:
-        fetch("http://h/p", {"key": "secret"}, send=lambda url: sent.append(url) or Response(404, b"", {}), sleep=waits.append)
+        fetch("http://h/p", {"key": "secret"}, send=lambda url: sent.append(url) or Response(404, b"", {}), sleep=slept.append)
     assert len(sent) == 1 and "secret" not in str(caught.value)
 
     def broken(url):
+        sent.append(url)
         raise ConnectionError("secret")
 
     with pytest.raises(TransportError) as caught:
-        fetch("http://h/p", {"key": "secret"}, send=broken, sleep=waits.append)
-    assert "secret" not in str(caught.value) and "3 attempts" in str(caught.value)
-    for bad in ({"attempts": 0}, {"factor": 0.5}, {"first_delay_s": -1}):
+        fetch("http://h/p", {"key": "secret"}, send=broken, sleep=slept.append)
+    assert "secret" not in str(caught.value) and "ConnectionError" in str(caught.value) and len(sent) == 4
+    for bad in ({"attempts": 0}, {"longest": -1}, {"first": -1}):
         with pytest.raises(ValueError):
-            Retries(**bad)
-    assert [Retries().delay(n) for n in (1, 2, 9)] == [0.5, 1.0, 8.0]
+            waits(**bad)
+    assert list(waits(6)) == [0.5, 1.0, 2.0, 4.0, 8.0] and list(waits(3, 4)) == [4.0, 8.0] and list(waits(1)) == []
+
+
+FIRST, LAST = date(2024, 1, 2), date(2024, 1, 9)
+ALL, UPDATE = planner.Fetch("bootstrap", None, LAST, True), planner.Fetch("update", FIRST, LAST, False, FIRST, LAST)
+
+
+def test_requests_of_each_provider():
+    asked = lambda name, plan: providers.request(registry.series(name), plan, {"fred": "secret"})
+    url, query = asked("move", UPDATE)
+    assert url.endswith("/%5EMOVE") and (query["period1"], query["period2"]) == ("1704153600", "1704844800")  # the end is left out, so it is a day later
+    assert asked("move", ALL)[1]["period1"] == "0"
+    url, query = asked("ciss", UPDATE)
+    assert url.endswith("/CISS/D.U2.Z0Z.4F.EC.SS_CIN.IDX") and (query["startPeriod"], query["endPeriod"]) == ("2024-01-02", "2024-01-09")
+    assert "startPeriod" not in asked("ciss", ALL)[1]
+    url, query = asked("us_2y", UPDATE)
+    assert (query["series_id"], query["api_key"], query["observation_start"], query["observation_end"]) == ("DGS2", "secret", "2024-01-02", "2024-01-09") and "secret" not in url
+    assert asked("vix", planner.Fetch("update", None, LAST, False, FIRST, LAST)) == ("https://cdn.cboe.com/api/global/us_indices/daily_prices/VIX_History.csv", {}) and asked("vstoxx", ALL)[1] == {}
+    with pytest.raises(planner.PlanError):
+        providers.request(registry.series("us_2y"), UPDATE)
+    with pytest.raises(planner.PlanError):
+        asked("move", planner.Fetch("update", None, LAST, False, FIRST, LAST))
+
+
+def test_fetching_lands_and_reads(spark, tmp_path):
+    sent = []
+
+    def fetcher(status, body):
+        return providers.fetcher(spark, str(tmp_path), lambda: datetime(2024, 1, 10, tzinfo=UTC), {"fred": "secret"}, send=lambda url: sent.append(url) or Response(status, body, {}), sleep=lambda s: None)
+
+    payload = json.dumps({"observations": [{"date": "2024-01-03", "value": "4.5"}, {"date": "2024-01-04", "value": "."}, {"date": "2023-01-03", "value": "4.0"}]}).encode()
+    rows = fetcher(200, payload)(registry.series("us_2y"), UPDATE)
+    assert sorted((str(r.observation_date), r.value, r.source_url) for r in rows.collect()) == [(d, v, "https://api.stlouisfed.org/fred/series/observations") for d, v in (("2023-01-03", 4.0), ("2024-01-03", 4.5))]
+    assert "secret" in sent[0] and len(list((tmp_path / "us_2y").iterdir())) >= 1
+    with pytest.raises(planner.PlanError):  # a day outside the window that was asked for
+        planner.apply_window(rows, UPDATE, P.ON_LATE["fred"])
+    assert fetcher(404, b"No records found")(registry.series("ciss"), UPDATE).collect() == []
+    for name, status, body in (("ciss", 404, b"gone"), ("us_2y", 404, b"no data"), ("vix", 500, b"no data"), ("us_2y", 400, b"bad key")):
+        with pytest.raises(TransportError) as caught:
+            fetcher(status, body)(registry.series(name), ALL)
+        assert "secret" not in str(caught.value)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import json
 import logging
+import os
 import sys
 from collections.abc import Callable, Sequence
 from datetime import UTC, date, datetime
@@ -16,6 +17,7 @@ from tideline.plans import daily, ingest, planner
 from tideline.plans.publish import Publisher
 from tideline.plans.serve import Replica, Sync, SyncError
 from tideline.session import session
+from tideline.sources import providers
 from tideline.sources.http import TransportError
 from tideline.sources.lake import Lake
 from tideline.sources.payloads import PayloadError, observations
@@ -24,22 +26,25 @@ OK, INPUT, SOURCE, PIPELINE = 0, 2, 10, 20
 _log = logging.getLogger("tideline")
 
 
+#: The commands, and which of them take --series, --provider, --json and --execute.
+COMMANDS = {
+    "bootstrap": ["series"], "update": ["series"], "reconcile": ["series"], "silver-build": ["series"], "run-daily": ["series"], "gold-build": [], "sync": [], "verify": [], "reconstruct": ["execute"], "inventory": ["json", "series", "provider"],
+}
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="tideline")
     top.add_argument("--root", default="lake")
     top.add_argument("--replica", default="replica")
     top.add_argument("--landing", default="landing", help="folder of payloads, one file or folder named by series")
+    top.add_argument("--fetch", action="store_true", help="ask the providers, and keep their answers in the landing folder")
     top.add_argument("--today", type=date.fromisoformat)
     top.add_argument("--overlap-days", type=int, default=planner.OVERLAP_DAYS)
     commands = top.add_subparsers(dest="command", required=True)
-    for name in ("bootstrap", "update", "reconcile", "silver-build", "run-daily"):
-        commands.add_parser(name).add_argument("--series", action="append", default=[])
-    for name in ("gold-build", "sync", "verify", "reconstruct"):
-        commands.add_parser(name)
-    listed = commands.add_parser("inventory")
-    listed.add_argument("--json", action="store_true")
-    listed.add_argument("--series", action="append", default=[])
-    listed.add_argument("--provider", action="append", default=[])
+    for name, options in COMMANDS.items():
+        command = commands.add_parser(name)
+        for option in options:
+            command.add_argument(f"--{option}", **({"action": "store_true"} if option in ("json", "execute") else {"action": "append", "default": []}))
     return top
 
 
@@ -66,7 +71,9 @@ def landed_fetcher(spark, folder: str, clock: Callable[[], datetime]) -> ingest.
 
 def dispatch(args: argparse.Namespace, spark, clock: Callable[[], datetime] = lambda: datetime.now(UTC), fetch: ingest.Fetcher | None = None, out=sys.stdout) -> int:
     lake = Lake(spark, args.root)
-    ingestion = ingest.Ingestion(lake, fetch or landed_fetcher(spark, args.landing, clock), clock, args.overlap_days)
+    keys = {name: os.environ[f"{name.upper()}_API_KEY"] for name, asked in providers.PROVIDERS.items() if asked.key and os.environ.get(f"{name.upper()}_API_KEY")}
+    fetch = fetch or (providers.fetcher(spark, args.landing, clock, keys) if args.fetch else landed_fetcher(spark, args.landing, clock))
+    ingestion = ingest.Ingestion(lake, fetch, clock, args.overlap_days, secrets=[*keys.values()])
     publisher = Publisher(lake, clock)
     today = args.today or clock().date()
     if args.command in ("bootstrap", "update", "reconcile"):
@@ -79,14 +86,14 @@ def dispatch(args: argparse.Namespace, spark, clock: Callable[[], datetime] = la
         daily.build_gold(publisher)
     elif args.command == "sync":
         print(json.dumps(vars(Sync(publisher, Replica(spark, args.replica), clock).run())), file=out)
-    elif args.command in ("verify", "reconstruct"):
-        replica = Replica(spark, args.replica)
-        if args.command == "reconstruct":
-            replica.files.delete(replica.files.root)
-            Sync(publisher, replica, clock).run()
-        report = Sync(publisher, replica, clock).verify()
+    elif args.command == "verify":
+        report = Sync(publisher, Replica(spark, args.replica), clock).verify()
         print(json.dumps(report), file=out)
         return OK if report["status"] == "PASS" else PIPELINE
+    elif args.command == "reconstruct":
+        steps = Sync(publisher, Replica(spark, args.replica), clock).reconstruct(args.execute)
+        print(json.dumps(steps), file=out)
+        return OK if all(x["status"] in ("PASS", "PLANNED") for x in steps) else PIPELINE
     else:
         rows = ingest.select_inventory(ingest.refresh_inventory(lake), args.series, args.provider)
         for r in (ingest.as_json if args.json else ingest.as_lines)(rows).toLocalIterator():

@@ -95,14 +95,15 @@ def unsigned_zero(x: Column) -> Column:
 
 
 def row_digest(key: Column, values: Sequence[str]) -> Column:
-    """SHA-256 of a row: its key in microseconds, then each column's name with N for null or F and the number.
+    """SHA-256 of a row: its key in microseconds, then each column's name with N for null or F and the number's decimal text.
 
-    Names and tags frame the values, so that a null and an empty cell, or values of neighbouring columns, can't be confused.
+    NaN and infinite numbers are refused: the query fails. The digests are the library's own and compare with no other's. Names and tags frame the values, so that a null and an empty cell, or values of neighbouring columns, can't be confused.
     """
     parts = [F.concat(F.lit("T"), F.unix_micros(key).cast("string"))]
     for name in values:
         x = F.col(name)
-        parts.append(F.concat(F.lit(f"{name}\x1f"), F.when(x.isNull(), F.lit("N")).otherwise(F.concat(F.lit("F"), unsigned_zero(x).cast("string")))))
+        refused = F.raise_error(F.lit(f"{name} is neither null nor finite")).cast("string")
+        parts.append(F.concat(F.lit(f"{name}\x1f"), F.when(x.isNull(), F.lit("N")).when(~finite(x), refused).otherwise(F.concat(F.lit("F"), unsigned_zero(x).cast("string")))))
     return F.sha2(F.concat_ws("\x1e", *parts), 256)
 
 

@@ -10,7 +10,7 @@ import hashlib
 from collections.abc import Callable
 from contextlib import contextmanager
 from dataclasses import dataclass
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +28,17 @@ class SyncError(RuntimeError):
     """The replica must not be changed, or isn't what it should be; the text says why."""
 
 
+#: A writer is done sooner than that.
+LOCK_EXPIRY = timedelta(hours=12)
+
+
+def _moment(text: str) -> datetime | None:
+    try:
+        return datetime.fromisoformat(text)
+    except ValueError:
+        return None
+
+
 @dataclass(frozen=True)
 class Synced:
     build_id: str
@@ -47,11 +58,13 @@ class Replica:
         self.spark, self.files = spark, Files(spark, root)
 
     @contextmanager
-    def locked(self):
-        """One writer at a time: a lock file that must not exist yet."""
-        path = self.files.path("lock")
+    def locked(self, clock: Callable[[], datetime] = lambda: datetime.now(UTC)):
+        """One writer at a time: a lock file that must not exist yet. One older than LOCK_EXPIRY is of a writer that crashed, and goes."""
+        path, now = self.files.path("lock"), clock()
+        if self.files.exists(path) and (taken := _moment(self.files.read(path))) is not None and now - taken > LOCK_EXPIRY:
+            self.files.delete(path)
         try:
-            self.files.create(path, DATASET)
+            self.files.create(path, now.isoformat())
         except Exception as error:
             raise SyncError("the replica is locked by another writer") from error
         try:
@@ -59,6 +72,11 @@ class Replica:
         finally:
             self.files.delete(path)
 
+    def clear(self) -> None:
+        """Removes all states; the lock stays."""
+        for state in [n for n in self.files.names(self.files.root) if n.startswith("state-")]:
+            self.files.delete(self.files.path(state))
+
     def _states(self) -> list[str]:
         return [n for n in self.files.names(self.files.root) if n.startswith("state-") and self.files.exists(self.files.path(n, "state", "_SUCCESS"))]
 
@@ -104,11 +122,14 @@ class Sync:
         row = C.require_one(C.resolve_strict(self.publisher.lake.catalog.read(), features.SCHEMA_VERSION, features.FEATURE_VERSION), "to be served")
         return row, self.publisher.validate(row)
 
-    def run(self) -> Synced:
+    def run(self, afresh: bool = False) -> Synced:
+        """Brings the replica to its source. afresh: whatever it holds goes first, under the same lock."""
         row, source = self._source()
         digested = serving.digests(source)
         data = serving.table_digest(digested)
-        with self.replica.locked():
+        with self.replica.locked(self.clock):
+            if afresh:
+                self.replica.clear()
             prior, index, held = self.replica.state(), self.replica.digests(), self.replica.rows()
             before = None if prior is None else (prior.schema_version, prior.feature_version)
             after = (row.schema_version, row.feature_version)
@@ -129,6 +150,24 @@ class Sync:
             self.replica.apply(source, plan, state)
         return Synced(row.build_id, counts.inserted, counts.updated, counts.deleted, counts.unchanged)
 
+    def reconstruct(self, execute: bool = False) -> list[dict]:
+        """Makes the replica anew from its source: a report of the steps in order, which ends with the first that fails. Without execute nothing is changed."""
+        steps = [("source", lambda: self._source()[0].build_id), ("rebuild", lambda: vars(self.run(afresh=True))), ("verify", self.verify)]
+        report: list[dict] = []
+        for name, step in steps:
+            if name != "source" and not execute:
+                report.append({"step": name, "status": "PLANNED"})
+                continue
+            try:
+                result = step()
+            except Exception as error:
+                return [*report, {"step": name, "status": "FAIL", "result": type(error).__name__}]
+            status = result["status"] if name == "verify" else "PASS"
+            report.append({"step": name, "status": status, "result": result})
+            if status != "PASS":
+                return report
+        return report
+
     def verify(self) -> dict:
         """An independent comparison of source, digests, rows, summary and state: {"status": ..., "failed": [...], ...}."""
         try:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 import urllib.error
 import urllib.request
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 from urllib.parse import urlencode, urlsplit, urlunsplit
 
@@ -16,27 +16,15 @@ class TransportError(RuntimeError):
     """A fetch that failed for good: names the endpoint without its query."""
 
 
-@dataclass(frozen=True)
-class Retries:
-    attempts: int = 3
-    first_delay_s: float = 0.5
-    factor: float = 2.0
-    most_delay_s: float = 8.0
-
-    def __post_init__(self):
-        if self.attempts < 1 or self.first_delay_s < 0 or self.factor < 1 or self.most_delay_s < 0:
-            raise ValueError("retries need at least one attempt, no negative delay and a factor of 1 or more")
-
-    def delay(self, failed: int, retry_after: float | None = None) -> float:
-        """Seconds to wait after so many failed attempts."""
-        if failed < 1:
-            raise ValueError("a delay follows at least one failure")
-        wanted = retry_after if retry_after is not None and retry_after >= 0 else self.first_delay_s * self.factor ** (failed - 1)
-        return min(wanted, self.most_delay_s)
+# How often a request is sent at most, and the seconds waited in between.
+ATTEMPTS, FIRST_WAIT_S, LONGEST_WAIT_S = 3, 0.5, 8.0
 
 
-def transient(status: int) -> bool:
-    return status == 429 or 500 <= status <= 599
+def waits(attempts: int = ATTEMPTS, first: float = FIRST_WAIT_S, longest: float = LONGEST_WAIT_S) -> Iterator[float]:
+    """The waits between so many attempts: each is twice the one before, up to the longest."""
+    if attempts < 1 or min(first, longest) < 0:
+        raise ValueError("there must be an attempt, and no wait can be negative")
+    return (min(first * 2**k, longest) for k in range(attempts - 1))
 
 
 def endpoint(url: str) -> str:
@@ -53,7 +41,7 @@ class Response:
 
 
 def open_url(url: str) -> Response:
-    request = urllib.request.Request(url, headers={"Accept": "*/*"})
+    request = urllib.request.Request(url, headers={"Accept": "*/*", "User-Agent": "tideline/1"})
     try:
         with urllib.request.urlopen(request, timeout=TIMEOUT_S) as got:
             return Response(got.status, got.read(), dict(got.headers))
@@ -61,23 +49,27 @@ def open_url(url: str) -> Response:
         return Response(error.code, error.read(), dict(error.headers or {}))
 
 
-def fetch(url: str, query: Mapping[str, str] | None = None, *, retries: Retries | None = None, send: Callable[[str], Response] = open_url, sleep: Callable[[float], None] = time.sleep, accepted: Callable[[Response], bool] = lambda r: 200 <= r.status <= 299) -> Response:
-    """A response that is accepted; transient statuses and connection errors are tried again."""
-    retries = retries or Retries()
-    whole = f"{url}?{urlencode(query)}" if query else url
-    for attempt in range(1, retries.attempts + 1):
-        wait, what = None, ""
+def _asked_to_wait(response: Response) -> float | None:
+    told = {k.lower(): v for k, v in response.headers.items()}.get("retry-after", "")
+    return float(told) if told.replace(".", "", 1).isdigit() else None
+
+
+def fetch(url: str, query: Mapping[str, str] | None = None, *, pauses: Callable[[], Iterator[float]] = waits, longest: float = LONGEST_WAIT_S, send: Callable[[str], Response] = open_url, sleep: Callable[[float], None] = time.sleep, accepted: Callable[[Response], bool] = lambda r: 200 <= r.status <= 299) -> Response:
+    """A response that is accepted. What may pass (too many requests, a server's error, no connection) is tried again after each pause, or after what the server asks for, up to the longest."""
+    whole, left = f"{url}?{urlencode(query)}" if query else url, pauses()
+    while True:
+        asked = None
         try:
             got = send(whole)
-            if accepted(got):
-                return got
-            what = f"status {got.status}"
-            if not transient(got.status):
-                raise TransportError(f"{endpoint(url)}: {what}")
-            after = {k.lower(): v for k, v in got.headers.items()}.get("retry-after", "")
-            wait = float(after) if after.replace(".", "", 1).isdigit() else None
         except OSError as error:
             what = type(error).__name__
-        if attempt < retries.attempts:
-            sleep(retries.delay(attempt, wait))
-    raise TransportError(f"{endpoint(url)}: {what} after {retries.attempts} attempts") from None
+        else:
+            if accepted(got):
+                return got
+            what, asked = f"status {got.status}", _asked_to_wait(got)
+            if got.status != 429 and got.status // 100 != 5:
+                break
+        if (pause := next(left, None)) is None:
+            break
+        sleep(pause if asked is None else min(asked, longest))
+    raise TransportError(f"{endpoint(url)}: {what}") from None

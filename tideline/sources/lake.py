@@ -122,8 +122,8 @@ class MonthlyTable:
     def newest(self, **where: str):
         return self.read(**where).agg(F.max("observation_date")).first()[0]
 
-    def _stage(self, rows: DataFrame) -> DataFrame:
-        path = f"{self.files.root}/_staging/{uuid.uuid4().hex}"
+    def _stage(self, rows: DataFrame, writer: str) -> DataFrame:
+        path = f"{self.files.root}/_staging/{writer}/{uuid.uuid4().hex}"
         rows.write.parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
@@ -143,7 +143,8 @@ class MonthlyTable:
             incoming = diff.keep_when_same(existing, incoming, self.keys, self.kept, ignored=["source_url"] if "source_url" in incoming.columns else [])
         if not incoming.groupBy(*self.keys).count().where("count > 1").isEmpty():
             raise ValueError("incoming rows repeat a key")
-        marked = self._stage(diff.classify(existing, incoming, self.keys))
+        writer = uuid.uuid4().hex  # another writer's staged rows are left alone
+        marked = self._stage(diff.classify(existing, incoming, self.keys), writer)
         counts = {r.change_type: r.n for r in marked.groupBy("change_type").agg(F.count("*").alias("n")).collect()}
         counts = {k: counts.get(v, 0) for k, v in (("inserted", "insert"), ("revised", "revision"), ("unchanged", "unchanged"))} | {"months": 0}
         try:
@@ -154,9 +155,9 @@ class MonthlyTable:
             folders = new.select(*self.by, *[x.alias(n) for x, n in zip(months_of(F.col("observation_date")), ("year", "month"), strict=True)]).distinct()
             counts["months"] = folders.count()
             year, month = months_of(F.col("observation_date"))
-            before = self._stage(existing.withColumns({"year": year, "month": month}).join(F.broadcast(folders) if counts["months"] < 10_000 else folders, [*self.by, "year", "month"], "left_semi"))
+            before = self._stage(existing.withColumns({"year": year, "month": month}).join(F.broadcast(folders) if counts["months"] < 10_000 else folders, [*self.by, "year", "month"], "left_semi"), writer)
             kept = before.join(new.select(*self.keys), self.keys, "left_anti")
-            after = self._stage(kept.unionByName(new.withColumns({"year": year, "month": month})))
+            after = self._stage(kept.unionByName(new.withColumns({"year": year, "month": month})), writer)
             try:
                 self._write(after)
                 then(counts)
@@ -165,7 +166,7 @@ class MonthlyTable:
                 raise
             return counts
         finally:
-            self.files.delete(f"{self.files.root}/_staging")
+            self.files.delete(f"{self.files.root}/_staging/{writer}")
 
     def _restore(self, before: DataFrame, folders: DataFrame) -> None:
         """Old rows back; months that had none go."""

@@ -19,6 +19,7 @@ from tideline.functions.scalars import any_null, finite, first_date, missing, nu
 from tideline.operators.quality import duplicate_keys, violations
 from tideline.registry import Series
 
+# Fixed values, as all column names and date formats below: what the providers' files have.
 PRICES = ("open", "high", "low", "close")
 _DAY = "observation_date"
 _CHART = """struct<chart: struct<error: string, result: array<struct<timestamp: array<bigint>,
@@ -99,11 +100,6 @@ def _scalars(rows: DataFrame) -> DataFrame:
     return rows.where(~missing(F.col("text"))).select(_DAY, number(F.col("text")).alias("value"))
 
 
-def no_result(status: int, body: bytes) -> bool:
-    """Whether an error status only says that there is nothing for the window."""
-    return status in (404, 406) and any(x in body.decode(errors="ignore").lower() for x in ("no record", "no result", "no data"))
-
-
 def _json(spark: SparkSession, path: str, schema: str, required: str) -> DataFrame:
     """Whole files as one parsed column `j`; files that aren't JSON or lack the required part fail."""
     texts = spark.read.text(path, wholetext=True)
