@@ -10,7 +10,8 @@ connected components.
 3. Candidates are compared in batches of 32 values. After each the posterior of the similarity under a
    uniform prior decides: a pair whose chance to reach the threshold is below `miss` is dropped. Only then
    are the texts of what survives all four batches fetched, and the pairs verified on the full sets.
-4. Star round: every bucket's members against its least member, a number of pairs linear in members.
+4. Star round: every bucket's members against its hub, a number of pairs linear in members. The hub is the
+   member whose buckets are largest in all, which in a group of near copies is what they are copies of.
    Their links give first classes.
 5. Block round: buckets of three or more which still hold several classes have their remaining pairs
    compared, but those within the bucket's largest class, in blocks of `block` members (fewer if their
@@ -45,7 +46,9 @@ BANDS, ROWS, BATCH = 32, 4, 32
 VALUES = BANDS * ROWS
 MISS = 1e-6
 #: Members of a block, shingles of a block's sets, and rows of a group of small buckets, about.
-BLOCK, BLOCK_SHINGLES, GROUP_ROWS = 256, 500_000, 1000
+BLOCK, BLOCK_SHINGLES, GROUP_ROWS = 512, 500_000, 1000
+#: Ids that may be broadcast at most; more are joined.
+BROADCAST_IDS = 2_000_000
 #: Buckets of so many members at most share groups.
 SMALL = 64
 _A = np.random.default_rng(11).integers(0, 2**64, VALUES, dtype=np.uint64) | np.uint64(1)
@@ -237,14 +240,22 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The texts of the wanted (id, text_hash), one row each; all texts are shuffled only where the wanted are too many to broadcast."""
+    key = ["id", "text_hash"]
+    wanted = stored(wanted.distinct(), "wanted")
+    return texts.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted, key).dropDuplicates(key)
+
+
 def _star_links(members: DataFrame, signatures: DataFrame, texts: DataFrame, needed: list[int]) -> DataFrame:
-    """Links between each bucket's least member and its others."""
-    pairs = members.where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
+    """Links between each bucket's hub and its other members."""
+    weights = members.groupBy("id").agg(F.sum("members").alias("weight"))
+    hubs = members.select("bucket", "band", "id").join(weights, "id").groupBy("bucket", "band").agg(F.max_by("id", "weight").alias("hub"))
+    pairs = members.select("bucket", "band", "id").join(hubs, ["bucket", "band"]).where("id <> hub").select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct()
     left, right = (signatures.select(F.col("id").alias(x), F.col("text_hash").alias(f"hash_{x}"), F.col("signature").alias(f"signature_{x}")) for x in "ab")
-    likely = pairs.join(right, "b").join(left, "a").select("a", "hash_a", "b", "hash_b", "signature_a", "signature_b")
+    likely = stored(pairs, "pairs").join(right, "b").join(left, "a").select("a", "hash_a", "b", "hash_b", "signature_a", "signature_b")
     likely = stored(likely.mapInArrow(lambda batches: _likely_pairs(batches, needed), "a long, hash_a long, b long, hash_b long"), "likely-pairs")
-    wanted = likely.select(F.col("a").alias("id"), F.col("hash_a").alias("text_hash")).unionAll(likely.select("b", "hash_b")).distinct()
-    full = stored(texts.join(wanted, ["id", "text_hash"]).dropDuplicates(["id", "text_hash"]), "star-texts")
+    full = stored(_of(texts, likely.select(F.col("a").alias("id"), F.col("hash_a").alias("text_hash")).unionAll(likely.select("b", "hash_b"))), "star-texts")
     left, right = (full.select(F.col("id").alias(x), F.col("text_hash").alias(f"hash_{x}"), F.col("text").alias(f"text_{x}")) for x in "ab")
     rows = likely.join(right, ["b", "hash_b"]).join(left, ["a", "hash_a"]).select("a", "b", "text_a", "text_b")
     return stored(rows.mapInArrow(_verify_pairs, "a long, b long").distinct(), "stars")
@@ -284,8 +295,7 @@ def _block_links(members: DataFrame, first: DataFrame, signatures: DataFrame, te
     sized = likely.join(plan.select(*key, "all"), key).join(signatures.select("id", "text_hash", "n_shingles", "signature"), ["id", "text_hash"])
     n, size = sized.where(F.col("all") <= SMALL).agg(F.count("*"), F.sum("n_shingles")).first()
     groups = max(1, -(-n // GROUP_ROWS), -(-(size or 0) // BLOCK_SHINGLES))
-    full = texts.join(likely.select("id", "text_hash").distinct(), ["id", "text_hash"]).dropDuplicates(["id", "text_hash"])
-    rows = sized.join(full, ["id", "text_hash"]).withColumn("group", group(groups)).select("group", *PLACED, "signature", "text")
+    rows = sized.join(_of(texts, likely.select("id", "text_hash")), ["id", "text_hash"]).withColumn("group", group(groups)).select("group", *PLACED, "signature", "text")
     return rows.groupBy("group").applyInArrow(lambda found: _verify_members(found, needed), "a long, b long")
 
 
@@ -301,7 +311,7 @@ def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", miss
     at_nodes = stored(at_nodes.select("id", "text_hash", "n_shingles", "node", (F.col("node").isNotNull() & (F.col("row") == F.coalesce("least_row", "row"))).alias("is_node"), "signature"), "nodes")
     nodes = at_nodes.where("is_node")
     bands = nodes.select("id", F.col("n_shingles").cast("int").alias("n_shingles"), F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(F.substring(F.col("signature"), b * (4 * ROWS) + 1, F.lit(4 * ROWS)), b))).alias("band", "bucket"))
-    shared = stored(bands.groupBy("bucket", "band").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count("*").alias("members")).where("least < most").drop("most"), "buckets")
+    shared = stored(bands.groupBy("bucket", "band").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count("*").alias("members")).where("least < most").drop("least", "most"), "buckets")
     members = stored(bands.join(shared, ["bucket", "band"]), "members")
     signatures = stored(nodes.select("id", "text_hash", "n_shingles", "signature").join(members.select("id").distinct(), "id"), "signatures")
     texts = _texts(docs, doc_id, text).where("id is not null and text is not null")
