@@ -6,7 +6,7 @@ documents labelled toxic without any evidence. Only documents have labels, yet t
 finds which sentences must have caused them, and the trained scores then locate these sentences.
 
 The model is fitted on a sample of about `training_docs` labelled documents at most, chosen by a hash of
-their id, so the sample's ids can be broadcast and the documents need no shuffle. Vocabulary: over the
+their id, so the sample's ids can be broadcast and the documents need no shuffle; they are read once for it. Vocabulary: over the
 sample, words are counted by how many documents and toxic documents hold them; those in at least
 `least_docs` toxic documents whose share of toxic ones is `lift` times the overall share enter,
 `most_words` at most (by likelihood ratio). Words are runs of ASCII letters
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm import words as W
-from tideline.llm.tables import table
+from tideline.llm.tables import stored, table
 
 #: A document is toxic from this score on.
 THRESHOLD = 0.3
@@ -145,6 +145,7 @@ def train(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
     share = (training_docs << 20) // max(marked.count(), 1)
     marked = marked.where(F.pmod(F.xxhash64("__id"), F.lit(1 << 20)) < min(1 << 20, max(1, share))).groupBy("__id").agg(F.max("toxic").alias("toxic"))
     labelled = docs.select(F.col(doc_id).alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(marked), "__id")
+    labelled = stored(labelled.select("text", "toxic"), "labelled")  # read three times below
     n, toxic = labelled.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     words = vocabulary(labelled, n, toxic, **options)
     found = [(r.toxic, r.bag) for r in training_rows(labelled, words).collect()] if words else []
