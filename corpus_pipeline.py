@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm import bpe, decontamination, near_dedup, substring_dedup, toxicity
-from tideline.llm.tables import shared_dir, table
+from tideline.llm.tables import made, shared_dir, table
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +57,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows; each stage's are written to the shared folder and read again as the next one's."""
     docs = table(spark, sf_dir, "documents")
-    folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    folder = made(f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}")
     for k, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{k}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
