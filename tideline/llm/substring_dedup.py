@@ -14,10 +14,10 @@ id, and every word of a recurring passage is removed. Four steps:
    confirmed windows, with their words, go to the shards of their anchors as passages, and for each shard a
    task compiles an Aho-Corasick automaton from every run of 25 words at steps of 25 (each window of 50
    holds one whole).
-4. Stream: the documents with an anchor of the shard are streamed through the automaton. Where it finds a
-   run, the windows around it are looked up among the shard's passages and compared word by word; only
-   what is equal is removed. Documents of a shard are dealt to as many tasks as their bytes need, each with
-   the shard's automaton.
+4. Stream: of every document the parts with windows anchored in the shard are streamed through the
+   automaton. Where it finds a run, the windows around it are looked up among the shard's passages and compared word by word; only
+   what is equal is removed. A shard's parts are dealt to as many tasks as their bytes need, each with the
+   shard's automaton.
 
 Codes only narrow down what is compared: a window that is removed has been compared word by word. A window
 could stay by mistake if its code is that of another confirmed one of an earlier owner, with a chance of
@@ -46,11 +46,11 @@ from tideline.llm.tables import free_name, stored, table
 WINDOW, PHRASE = 50, 16
 #: Bytes of passages in a shard and of documents that one task streams, and phrases of a document that share a shard, about.
 SHARD_BYTES, SLICE_BYTES, STRETCH = 500_000, 4_000_000, 32
-#: Documents whose keys may be broadcast at most; more are joined.
-BROADCAST_KEYS = 2_000_000
+#: Documents whose keys, and groups of copies whose digests, may be broadcast at most; more are joined.
+BROADCAST_KEYS, BROADCAST_COPIES = 2_000_000, 500_000
 SKETCH = "id long, text_hash long, n_words long, n_bytes long, kept_sha256 string, phrases array<long>"
-_FOUND = "array<struct<phrase: long, shard: int>>"
-CANDIDATES = f"id long, text_hash long, n_bytes long, text string, found {_FOUND}, codes array<long>, shards array<int>"
+_PARTS = "array<struct<shard: int, at: int, words: string>>"
+CANDIDATES = f"id long, text_hash long, text string, codes array<long>, parts {_PARTS}"
 _NONE = hashlib.sha256(b"").hexdigest()
 
 
@@ -126,47 +126,56 @@ def _anchored(w: W.Words, found: pa.Scalar, window: int, phrase: int) -> tuple[n
     return places, windows[places], shards[near[places]]
 
 
+def _parts(w: W.Words, places: np.ndarray, shards: np.ndarray, window: int) -> list[dict]:
+    """What windows cover, as runs of windows that follow each other and have one shard: shard, first word, words."""
+    out = []
+    for run in np.split(np.arange(len(places)), np.flatnonzero((np.diff(places) > 1) | (np.diff(shards) != 0)) + 1):
+        if len(run):
+            at = int(places[run[0]])
+            out.append({"shard": int(shards[run[0]]), "at": at, "words": joined(w, at, int(places[run[-1]]) + window).decode()})
+    return out
+
+
 def candidates(texts: DataFrame, window: int, phrase: int) -> DataFrame:
-    """Of rows (id, text_hash, n_bytes, text, found) the codes of the windows that an anchor found leads to, and these anchors' shards.
+    """Of rows (id, text_hash, text, found) the codes of the windows that an anchor found leads to, and what they cover by shard.
 
     Equal windows have the same anchor, and winnowing chooses it in every document.
     """
+    kind = pa.list_(pa.struct([("shard", pa.int32()), ("at", pa.int32()), ("words", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, codes, shards = [], [], []
+            rows, codes, parts = [], [], []
             for k in range(batch.num_rows):
-                _, w = _one(batch.column(3)[k].as_py())
-                places, own, shard = _anchored(w, batch.column(4)[k], window, phrase)
+                _, w = _one(batch.column(2)[k].as_py())
+                places, own, shards = _anchored(w, batch.column(3)[k], window, phrase)
                 if len(places):
                     rows.append(k)
                     codes.append(np.unique(own).view(np.int64))
-                    shards.append(np.unique(shard))
+                    parts.append(_parts(w, places, shards, window))
             taken = batch.take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*taken.columns, _lists(codes, pa.int64()), _lists(shards, pa.int32())], ["id", "text_hash", "n_bytes", "text", "found", "codes", "shards"])
+            yield pa.RecordBatch.from_arrays([*taken.columns[:3], _lists(codes, pa.int64()), pa.array(parts, kind)], ["id", "text_hash", "text", "codes", "parts"])
 
-    return texts.select("id", "text_hash", "n_bytes", "text", "found").mapInArrow(run, CANDIDATES)
+    return texts.select("id", "text_hash", "text", "found").mapInArrow(run, CANDIDATES)
 
 
-def owned_passages(owners: DataFrame, window: int, phrase: int) -> DataFrame:
-    """Of rows (id, text, found, confirmed: codes) the passages that these codes make up: (shard, id, words)."""
+def owned_passages(owners: DataFrame, window: int) -> DataFrame:
+    """Of rows (id, parts, confirmed: codes) the passages that windows with these codes make up: (shard, id, words)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, shards, texts = [], [], []
+            ids, found = [], []
             for k in range(batch.num_rows):
-                _, w = _one(batch.column(1)[k].as_py())
-                places, codes, shard = _anchored(w, batch.column(2)[k], window, phrase)
-                good = np.isin(codes, np.asarray(batch.column(3)[k].values, np.int64).view(np.uint64))
-                places, shard = places[good], shard[good]
-                for part in np.split(np.arange(len(places)), np.flatnonzero((np.diff(places) > 1) | (np.diff(shard) != 0)) + 1):
-                    if len(part):
-                        ids.append(batch.column(0)[k].as_py())
-                        shards.append(int(shard[part[0]]))
-                        texts.append(joined(w, int(places[part[0]]), int(places[part[-1]]) + window).decode())
-            yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), pa.array(ids, pa.int64()), pa.array(texts, pa.string())], ["shard", "id", "words"])
+                codes = np.asarray(batch.column(2)[k].values, np.int64).view(np.uint64)
+                for part in batch.column(1)[k].as_py():
+                    _, w = _one(part["words"])
+                    at, own = w.runs(window)
+                    at = at[np.isin(own, codes)]
+                    found += _parts(w, at, np.full(len(at), part["shard"]), window)
+                ids += [batch.column(0)[k].as_py()] * (len(found) - len(ids))
+            yield pa.RecordBatch.from_arrays([pa.array([x["shard"] for x in found], pa.int32()), pa.array(ids, pa.int64()), pa.array([x["words"] for x in found], pa.string())], ["shard", "id", "words"])
 
-    return owners.select("id", "text", "found", "confirmed").mapInArrow(run, "shard int, id long, words string")
+    return owners.select("id", "parts", "confirmed").mapInArrow(run, "shard int, id long, words string")
 
 
 class Shard:
@@ -240,11 +249,11 @@ class Shard:
 
 
 def _streamed(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Spans found in documents. Rows (shard, slice, kind, id, text_hash, text) are sorted: a group's passages (kind 0) stand before its documents."""
+    """Spans found in documents. Rows (shard, slice, kind, id, text_hash, at, words) are sorted: a group's passages (kind 0) stand before parts of documents."""
     group, passages, shard = None, [], None
     for batch in batches:
         ids, hashes, spans = [], [], []
-        for key, kind, doc, text_hash, text in zip(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True), *(batch.column(c).to_pylist() for c in range(2, 6)), strict=True):
+        for key, kind, doc, text_hash, at, text in zip(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True), *(batch.column(c).to_pylist() for c in range(2, 7)), strict=True):
             if key != group:
                 group, passages, shard = key, [], None
             if kind == 0:
@@ -254,7 +263,7 @@ def _streamed(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Rec
             if found := shard.find(doc, text):
                 ids.append(doc)
                 hashes.append(text_hash)
-                spans.append([{"first": a, "end": b} for a, b in found])
+                spans.append([{"first": at + a, "end": at + b} for a, b in found])
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())])))], ["id", "text_hash", "spans"])
 
 
@@ -262,11 +271,14 @@ def repeated_passages(docs: DataFrame, *, window: int = WINDOW, phrase: int = PH
     """(sketches with is_copy, candidate documents with their text, (id, text_hash, spans) of the words that each of them must drop)."""
     sketches = stored(sketch(docs, window, phrase, doc_id, text), "sketches")
     long = sketches.where((F.col("n_words") >= window) & F.col("id").isNotNull())
-    # only groups of copies are joined back, and as a stored table, so that a hot group's rows can be split
+    # only groups of copies are joined back; where they are too many to broadcast, once and as a stored table, so that a hot group's rows can be split
     copied = stored(long.groupBy("kept_sha256").agg(F.min("id").alias("copy_of"), F.max("id").alias("last_id")).where("copy_of < last_id").drop("last_id"), "copies")
-    marked = sketches.join(copied, "kept_sha256", "left").withColumn("is_copy", F.coalesce((F.col("id") > F.col("copy_of")) & (F.col("n_words") >= window), F.lit(False)))
+    few = copied.count() <= BROADCAST_COPIES
+    marked = sketches.join(F.broadcast(copied) if few else copied, "kept_sha256", "left")
+    marked = marked.withColumn("is_copy", F.coalesce((F.col("id") > F.col("copy_of")) & (F.col("n_words") >= window), F.lit(False)))
+    marked = marked if few else stored(marked, "marked")
     key = ["id", "text_hash"]
-    phrases = marked.where((F.col("n_words") >= window) & F.col("id").isNotNull() & ~F.col("is_copy")).select(*key, "n_bytes", F.posexplode("phrases").alias("place", "phrase"))
+    phrases = marked.where((F.col("n_words") >= window) & F.col("id").isNotNull() & ~F.col("is_copy")).select(*key, F.posexplode("phrases").alias("place", "phrase"))
     recurring = phrases.groupBy("phrase").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.min_by("place", "id").alias("place")).where("low < high")
     recurring = stored(recurring.select("phrase", "low", F.floor(F.col("place") / STRETCH).alias("stretch")), "phrases")
     n_words, n_bytes = sketches.agg(F.sum("n_words"), F.sum("n_bytes")).first()
@@ -274,7 +286,7 @@ def repeated_passages(docs: DataFrame, *, window: int = WINDOW, phrase: int = PH
     passage_bytes = recurring.count() * (window - phrase + 1) / 2 * (n_bytes or 0) / max(n_words or 0, 1)
     shards = max(1, -(-int(passage_bytes) // shard_bytes))
     found = phrases.join(recurring.select("phrase", F.pmod(F.xxhash64("low", "stretch"), F.lit(shards)).cast("int").alias("shard")), "phrase")
-    found = stored(found.groupBy(*key, "n_bytes").agg(F.collect_set(F.struct("phrase", "shard")).alias("found")), "found")
+    found = stored(found.groupBy(*key).agg(F.collect_set(F.struct("phrase", "shard")).alias("found")), "found")
     texts = docs.where(F.col(doc_id).isNotNull() & F.col(text).isNotNull()).select(*_own_key(doc_id, text), F.col(text).alias("text"))
     if found.count() <= BROADCAST_KEYS:
         texts = texts.join(F.broadcast(found.select(*key)), key, "left_semi")
@@ -283,12 +295,13 @@ def repeated_passages(docs: DataFrame, *, window: int = WINDOW, phrase: int = PH
     windows = near.select("id", F.explode("codes").alias("code"))
     confirmed = windows.groupBy("code").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
     owned = confirmed.groupBy(F.col("low").alias("id")).agg(F.collect_list("code").alias("confirmed"))
-    passages = stored(owned_passages(near.select("id", "text", "found").join(owned, "id"), window, phrase), "passages")
-    sent = near.select("n_bytes", F.explode("shards").alias("shard")).join(passages.select("shard").distinct(), "shard", "left_semi")
-    slices = stored(sent.groupBy("shard").agg(F.ceil(F.sum("n_bytes") / F.lit(slice_bytes)).cast("int").alias("slices")), "slices")
-    each = passages.select("shard", F.lit(0).alias("kind"), "id", F.lit(0).cast("long").alias("text_hash"), F.col("words").alias("text")).join(slices, "shard").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
-    streamed = near.select(F.explode("shards").alias("shard"), F.lit(1).alias("kind"), *key, "text").join(slices, "shard").withColumn("slice", F.pmod(F.xxhash64(*key), F.col("slices")).cast("int"))
-    rows = each.unionByName(streamed).select("shard", "slice", "kind", *key, "text").repartition("shard", "slice").sortWithinPartitions("shard", "slice", "kind")
+    passages = stored(owned_passages(near.select("id", "parts").join(owned, "id"), window), "passages")
+    parts = near.select(*key, F.explode("parts").alias("part")).select(*key, "part.*")
+    sent = parts.join(passages.select("shard").distinct(), "shard", "left_semi")
+    slices = stored(sent.groupBy("shard").agg(F.ceil(F.sum(F.octet_length("words")) / F.lit(slice_bytes)).cast("int").alias("slices")), "slices")
+    each = passages.join(slices, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.lit(0).alias("kind"), "id", F.lit(0).cast("long").alias("text_hash"), F.lit(0).alias("at"), "words")
+    streamed = parts.join(slices, "shard").select("shard", F.pmod(F.xxhash64(*key, "at"), F.col("slices")).cast("int").alias("slice"), F.lit(1).alias("kind"), *key, "at", "words")
+    rows = each.unionByName(streamed).repartition("shard", "slice").sortWithinPartitions("shard", "slice", "kind")
     spans = rows.mapInArrow(lambda batches: _streamed(batches, window), "id long, text_hash long, spans array<struct<first: long, end: long>>")
     gone = spans.groupBy(*key).agg(F.flatten(F.collect_set("spans")).alias("spans"))
     return marked, near, stored(gone, "spans")
