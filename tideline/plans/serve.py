@@ -1,7 +1,7 @@
 """A serving replica of the current snapshot: row-digest delta, applied under a lock, verified before it counts.
 
 The replica is a folder of tables here: consumer rows, an index of row digests, and the state, which is
-written last. A database takes the same delta over JDBC (see jdbc_apply).
+written last. A database takes the same delta in one transaction (see jdbc_apply).
 """
 
 from __future__ import annotations
@@ -189,30 +189,48 @@ class Sync:
         return {"status": "FAIL" if failed else "PASS", "failed": failed, "row_count": summary.row_count}
 
 
-def jdbc_apply(source: DataFrame, plan: DataFrame, connect: Callable[[], object], table: str) -> None:
-    """The delta on a database table, each partition in one transaction of a DB-API connection that `connect` makes on the executor.
+def quoted(name: str) -> str:
+    """A name in SQL; dots part a schema and a table."""
+    return ".".join('"' + part.replace('"', '""') + '"' for part in name.split("."))
 
-    Every update and delete must hit exactly one row, else the partition's transaction is rolled back.
+
+def jdbc_apply(source: DataFrame, plan: DataFrame, connect: Callable[[], object], table: str, digests_table: str, state_table: str, state: tuple, mark: str = "%s") -> None:
+    """The delta on a database's consumer rows and row digests, and then the state, in one transaction: all of it or nothing.
+
+    `connect` makes a DB-API connection on the executor, `mark` is its parameter style. Every update and delete must hit
+    exactly one row. One task does it: a delta has a row a day at most, some ten thousand if the replica is new.
     """
     columns = [c for c in source.columns if c != KEY]
-    names = lambda cs: ", ".join('"' + c.replace('"', '""') + '"' for c in cs)
-    insert = f"INSERT INTO {table} ({names([KEY, *columns])}) VALUES ({', '.join(['%s'] * (len(columns) + 1))})"
-    update = f"UPDATE {table} SET {', '.join(names([c]) + ' = %s' for c in columns)} WHERE {names([KEY])} = %s"
-    delete = f"DELETE FROM {table} WHERE {names([KEY])} = %s"
-    rows = plan.where("op <> 'unchanged'").join(source, KEY, "left")
+    fields, key = schemas.SYNC_STATE.fieldNames(), quoted(KEY)
+    kept = [("dataset_id", DATASET)]
+
+    def statements(name: str, values: list[str], fixed: list[tuple[str, str]]) -> dict[str, str]:
+        where = " AND ".join(f"{quoted(c)} = {mark}" for c in [*(c for c, _ in fixed), KEY])
+        names = [*(c for c, _ in fixed), KEY, *values]
+        return {
+            "insert": f"INSERT INTO {quoted(name)} ({', '.join(map(quoted, names))}) VALUES ({', '.join([mark] * len(names))})",
+            "update": f"UPDATE {quoted(name)} SET {', '.join(f'{quoted(c)} = {mark}' for c in values)} WHERE {where}",
+            "delete": f"DELETE FROM {quoted(name)} WHERE {where}",
+        }
+
+    targets = [(statements(table, columns, []), columns, []), (statements(digests_table, ["row_sha256"], kept), ["row_sha256"], [v for _, v in kept])]
+    rows = plan.where("op <> 'unchanged'").select(KEY, "op").join(source, KEY, "left").join(serving.digests(source).withColumnRenamed("row_sha256", "new_sha256"), KEY, "left").select("op", KEY, *columns, F.col("new_sha256").alias("row_sha256"))
+    last = source.sparkSession.range(1).select(F.lit("state").alias("op"), F.lit(None).cast(source.schema[KEY].dataType).alias(KEY))
 
     def run(part) -> None:
+        part = list(part)
         connection = connect()
         try:
             cursor = connection.cursor()
             for r in part:
-                values = [r[c] for c in columns]
-                if r.op == "insert":
-                    cursor.execute(insert, [r[KEY], *values])
-                    continue
-                cursor.execute(*((update, [*values, r[KEY]]) if r.op == "update" else (delete, [r[KEY]])))
-                if cursor.rowcount != 1:
-                    raise SyncError(f"{r.op} hit {cursor.rowcount} rows")
+                for sql, names, fixed in targets if r.op != "state" else ():
+                    values = [r[c] for c in names]
+                    cursor.execute(sql[r.op], {"insert": [*fixed, r[KEY], *values], "update": [*values, *fixed, r[KEY]], "delete": [*fixed, r[KEY]]}[r.op])
+                    if r.op != "insert" and cursor.rowcount != 1:
+                        raise SyncError(f"{r.op} hit {cursor.rowcount} rows")
+            if any(r.op == "state" for r in part):
+                cursor.execute(f"DELETE FROM {quoted(state_table)} WHERE {quoted('dataset_id')} = {mark}", [DATASET])
+                cursor.execute(f"INSERT INTO {quoted(state_table)} ({', '.join(map(quoted, fields))}) VALUES ({', '.join([mark] * len(fields))})", list(state))
             connection.commit()
         except BaseException:
             connection.rollback()
@@ -220,4 +238,4 @@ def jdbc_apply(source: DataFrame, plan: DataFrame, connect: Callable[[], object]
         finally:
             connection.close()
 
-    rows.foreachPartition(run)
+    rows.unionByName(last, allowMissingColumns=True).coalesce(1).foreachPartition(run)
