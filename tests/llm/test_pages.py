@@ -104,6 +104,10 @@ def test_all_pages_of_a_table_give_their_articles(spark):
     assert {r.page_id: r.text for r in H.extract(boxes, learnt).collect()} == want
 
 
+def test_a_heading_after_the_text(weights):
+    assert H.Page("<nav>Menu</nav><p>One two.</p><p>Three.</p><footer><h1>Site</h1></footer>").text(weights) == "One two.\n\nThree."
+
+
 def test_names_that_nobody_lists_are_learnt(spark):
     box = "<html><body><div class=qq1>menu words</div>{}<h1>Title here</h1><p>Some words.</p>{}<p>More words.</p>{}<div class=zz9><p>below</p></div></body></html>"
     rows = [(i, "u", box.format("<article>", "", "</article><section class='k77x'><p>Odd words</p></section>")) for i in range(30)]

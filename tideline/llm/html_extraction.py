@@ -54,7 +54,7 @@ _STOP = re.compile(r">|=\s*[\"']")
 _ATTRIBUTE = re.compile(r"([^\s=>\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
 _MARK = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _END = {name: re.compile(f"</{name}(?=[\\s/>])", re.I) for name in UNSHOWN}
-_IN_A = "in a "
+_IN_A, _AHEAD = "in a ", "before the first heading"
 DEPTH = 48
 #: The largest score of a word, the score of a tag without evidence, and odds from which on a feature decides alone.
 LARGEST, PRIOR_TAG, CUT = 4.0, -0.3, -2.0
@@ -208,10 +208,13 @@ class Page:
                 outs += out
 
         for k in ahead if headed else ():
-            self.blocks[k].features += ("before the first heading",)
+            self.blocks[k].features += (_AHEAD,)
 
     def text(self, weights: Weights) -> str:
-        """The blocks with positive words of the best run of tokens."""
+        """The blocks with positive words of the best run of tokens. Where nothing is left, as if the only heading came after the text, headings don't count."""
+        return self._best(weights) or self._best(Weights({f: x for f, x in weights.cuts.items() if f != _AHEAD}, weights.parents, weights.other, weights.tags))
+
+    def _best(self, weights: Weights) -> str:
         best, run, begin, found = 0.0, 0.0, 0, (0, 0)
         score = {}
         for k, (name, block, _) in enumerate(self.tokens):
