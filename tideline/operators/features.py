@@ -91,9 +91,8 @@ def long_features(silver: DataFrame) -> DataFrame:
 
 def wide(long: DataFrame, series: Sequence[str], features: Sequence[str] = LONG_FEATURES) -> DataFrame:
     """One row a day with columns {series}_{feature}; days on which no series has a row don't occur."""
-    # one aggregate a series, not one for each of its features, keeps the plan small
-    days = long.groupBy(midnight(F.col("observation_date")).alias("timestamp_m1")).pivot("series_id", list(series)).agg(F.first(F.struct(*features)))
-    return days.select("timestamp_m1", *[F.col(s)[f].alias(f"{s}_{f}") for s in series for f in features])
+    # of plain columns Spark pivots in two small aggregations; a struct a series, tried instead, takes half as long again
+    return long.groupBy(midnight(F.col("observation_date")).alias("timestamp_m1")).pivot("series_id", list(series)).agg(*[F.first(f).alias(f) for f in features])
 
 
 def _between(names: dict[str, tuple[str, str]], how) -> dict[str, Column]:
