@@ -91,7 +91,8 @@ def test_bpe_is_the_librarys(spark):
 
 
 def test_bpe_forgets_without_changing_results(monkeypatch):
-    monkeypatch.setattr(bpe, "REMEMBERED", 3)
+    monkeypatch.setattr(bpe, "PIECES", 3)
+    monkeypatch.setattr(bpe, "TOKENS", 3)
     small, large = bpe.BytePairEncoder(bpe.public_path()), bpe.encoder(bpe.public_path())
     for t in HARD[:10] * 2:
         assert small.encode(t) == large.encode(t)

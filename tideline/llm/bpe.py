@@ -39,8 +39,8 @@ _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\
 _PIECE = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 #: The pre-tokenizer's fixed pattern, with white space spelt out.
 _PRE_TOKEN = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
-#: Entries in each generation of a worker's two tables, and the most characters of what is remembered.
-REMEMBERED, LONGEST = 300_000, 64
+#: Entries in each generation of a worker's tables of pieces and of pre-tokens (some 200 MB in all), and the most characters of what is remembered.
+PIECES, TOKENS, LONGEST = 100_000, 250_000, 64
 
 
 def byte_characters() -> dict[int, str]:
@@ -98,7 +98,7 @@ class BytePairEncoder:
         self.bytes_of |= {i: content.encode() for content, i in added.items()}
         self.added = {content: self.as_piece([i]) for content, i in added.items()}
         self.split_added = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
-        self.tokens, self.known = Remembered(REMEMBERED), Remembered(REMEMBERED)
+        self.tokens, self.known = Remembered(TOKENS), Remembered(PIECES)
 
     def merge(self, data: bytes) -> list[int]:
         """Ids of one pre-token's bytes."""
