@@ -39,8 +39,8 @@ _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\
 _PIECE = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 #: The pre-tokenizer's fixed pattern, with white space spelt out.
 _PRE_TOKEN = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
-#: Entries in each generation of a worker's tables of pieces and of pre-tokens (some 200 MB in all), and the most characters of what is remembered.
-PIECES, TOKENS, LONGEST = 100_000, 250_000, 64
+#: Bytes of each generation of a worker's tables of pieces and of pre-tokens (64 MB in all), what an entry has besides its characters, and the most characters of what is remembered.
+PIECES, TOKENS, ENTRY, LONGEST = 16_000_000, 16_000_000, 300, 64
 
 
 def byte_characters() -> dict[int, str]:
@@ -54,7 +54,7 @@ class Remembered:
     """What a worker has met, in two generations: when the newer is full, it becomes the older, and the older goes."""
 
     def __init__(self, size: int):
-        self.size, self.newer, self.older = size, {}, {}
+        self.size, self.held, self.newer, self.older = size, 0, {}, {}
 
     def find(self, key: str):
         """What is known of a key, else None; an older entry becomes a newer one."""
@@ -65,8 +65,9 @@ class Remembered:
     def add(self, key: str, value) -> None:
         if len(key) > LONGEST:
             return
-        if len(self.newer) >= self.size:
-            self.older, self.newer = self.newer, {}
+        if self.held >= self.size:
+            self.held, self.older, self.newer = 0, self.newer, {}
+        self.held += ENTRY + 4 * len(key)
         self.newer[key] = value
 
 
