@@ -181,7 +181,7 @@ def _combined(copies: DataFrame, fan_in: int) -> tuple[DataFrame, list[DataFrame
         left = merged.where("into is null")
         if left.count() == before:
             return copies, links  # different contents of one hash: nothing to merge
-        links.append(merged.where("into is not null").select("copy", "into"))
+        links.append(merged.where("into <> copy").select("copy", "into"))
         copies = copies.join(hot, "code", "left_anti").unionByName(left.select(copies.columns))
 
 
