@@ -366,10 +366,10 @@ _RANKED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best
 
 def _rank(docs: pa.Table, pairs: pa.Table) -> pa.Table:
     """Documents of a block with the sums of their links' counts."""
-    top = int(pairs.column("place").to_numpy().max()) + 1 if pairs.num_rows else 0
+    top = int(pairs.column("at").to_numpy().max()) + 1 if pairs.num_rows else 0
     counts, best = np.zeros(top, np.int64), np.zeros(top, bool)
     if top:
-        place = pairs.column("place").to_numpy()
+        place = pairs.column("at").to_numpy()
         counts[place], best[place] = pairs.column("docs").to_numpy(), pairs.column("best").to_numpy()
     sums = np.zeros((docs.num_rows, 2), np.int64)
     for i, data in enumerate(docs.column("links") if docs.num_rows else ()):
@@ -397,16 +397,20 @@ def align(docs: DataFrame, *, a: str | None = None, b: str | None = None, doc_id
     ranges = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / RANGE_BYTES))
     taken = stored(rows.mapInArrow(lambda batches: _cut(batches, block_bytes, ranges, cut), from_arrow_schema(_CUT)), "cut-documents")
     texts, dealt = taken.where("range is null").select("block", "id", "numbers"), taken.where("range is not null").select("range", "block", "numbers", "segments")
-    groups = dealt.groupBy("range").applyInArrow(lambda batches: _align(batches, a, b, cut), from_arrow_schema(_GROUPS))
+
+    def of_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _align(batches, a, b, cut)
+
+    groups = dealt.groupBy("range").applyInArrow(of_range, from_arrow_schema(_GROUPS))
     composed = stored(texts.groupBy("block").cogroup(groups.groupBy("block")).applyInArrow(_compose, from_arrow_schema(_COMPOSED)), "composed-documents")
 
     pairs = composed.where("place is not null").select("block", "place", "a", "b", "docs")
     counts = stored(pairs.groupBy("a", "b").agg(F.sum("docs").alias("docs")), "pair-counts")
     highest = stored(counts.groupBy("a").agg(F.max("docs").alias("highest")), "highest-counts")
     ranked = stored(counts.join(highest, "a").select("a", "b", "docs", (F.col("docs") == F.col("highest")).alias("best")), "ranked-pairs")
-    standing = pairs.drop("docs").join(ranked, ["a", "b"]).select("block", "place", "docs", "best")
+    standing = pairs.drop("docs").join(ranked, ["a", "b"]).select(F.col("block").alias("of_block"), F.col("place").alias("at"), "docs", "best")
     done = composed.where("place is null").select("block", "doc_id", *_TOTALS, "groups_sha256", "links")
-    return done.groupBy("block").cogroup(standing.groupBy("block")).applyInArrow(_rank, _RANKED)
+    return done.groupBy("block").cogroup(standing.groupBy("of_block")).applyInArrow(_rank, _RANKED)
 
 
 def op12_tokenizer_alignment(spark, sf_dir: str) -> DataFrame:
