@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import struct
+from collections.abc import Sequence
+from datetime import UTC, datetime, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.functions.scalars import row_digest
+from tideline.functions.scalars import DIGEST_PREFIX, row_digest
 
 KEY = "timestamp_m1"
 #: Fixed values: (schema, feature) versions from which a replica may move to which. None stands for any equal feature version.
@@ -14,7 +18,14 @@ UPGRADES = (((1, None), (2, None)), ((2, 1), (3, 2)), ((3, 2), (4, 3)))
 
 def digests(frame: DataFrame, key: str = KEY) -> DataFrame:
     """(key, row_sha256) of every row."""
-    return frame.select(key, row_digest(F.col(key), [c for c in frame.columns if c != key]).alias("row_sha256"))
+    return frame.select(key, row_digest(F.col(key), [c for c in frame.columns if c != key], key).alias("row_sha256"))
+
+
+def row_bytes(key: datetime, values: Sequence[tuple[str, float | None]], key_name: str = KEY) -> bytes:
+    """What a row's digest is taken of; a helper for tests and for looking at single rows."""
+    micros = (key.astimezone(UTC) - datetime(1970, 1, 1, tzinfo=UTC)) // timedelta(microseconds=1)
+    cells = [name.encode() + b"\0" + (b"N" if x is None else b"F" + struct.pack(">d", x + 0.0)) for name, x in values]
+    return DIGEST_PREFIX + key_name.encode() + b"\0T" + struct.pack(">q", micros) + b"".join(cells)
 
 
 def summary(frame: DataFrame, key: str = KEY) -> DataFrame:

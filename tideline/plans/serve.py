@@ -1,12 +1,12 @@
 """A serving replica of the current snapshot: row-digest delta, applied under a lock, verified before it counts.
 
 The replica is a folder of tables here: consumer rows, an index of row digests, and the state, which is
-written last. A database takes the same delta in one transaction (see jdbc_apply).
+written last. A database takes the same delta in one transaction (see plans/database.py).
 """
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -48,29 +48,40 @@ class Synced:
     unchanged: int
 
 
-def lock_number(name: str) -> int:
-    """A signed 64-bit number for a database's advisory lock."""
-    return int.from_bytes(hashlib.sha256(name.encode()).digest()[:8], "big", signed=True)
-
-
 class Replica:
     def __init__(self, spark, root: str):
         self.spark, self.files = spark, Files(spark, root)
 
     @contextmanager
     def locked(self, clock: Callable[[], datetime] = lambda: datetime.now(UTC)):
-        """One writer at a time: a lock file that must not exist yet. One older than LOCK_EXPIRY is of a writer that crashed, and goes."""
-        path, now = self.files.path("lock"), clock()
-        if self.files.exists(path) and (taken := _moment(self.files.read(path))) is not None and now - taken > LOCK_EXPIRY:
-            self.files.delete(path)
+        """One writer at a time: a lock file that must not exist yet, with a token of its writer. One older than LOCK_EXPIRY is of a
+        writer that crashed: it is moved away, which only one of several writers can do, and only if it is still the one that was read.
+        """
+        path, now, token = self.files.path("lock"), clock(), uuid.uuid4().hex
         try:
-            self.files.create(path, now.isoformat())
+            if self.files.exists(path):
+                self._take_over(path, now, token)
+            self.files.create(path, f"{now.isoformat()} {token}")
         except Exception as error:
             raise SyncError("the replica is locked by another writer") from error
         try:
             yield
         finally:
-            self.files.delete(path)
+            if self.files.exists(path) and self.files.read(path).endswith(token):
+                self.files.delete(path)
+
+    def _take_over(self, path: str, now: datetime, token: str) -> None:
+        held = self.files.read(path)
+        taken = _moment(held.split(" ")[0])
+        if taken is None or now - taken <= LOCK_EXPIRY:
+            raise SyncError("locked")
+        aside = self.files.path(f"lock-{token}")
+        self.files.move(path, aside)  # of several writers one succeeds
+        if self.files.read(aside) != held:  # a successor's, taken since it was read
+            if not self.files.exists(path):
+                self.files.move(aside, path)
+            raise SyncError("locked")
+        self.files.delete(aside)
 
     def clear(self) -> None:
         """Removes all states; the lock stays."""
@@ -131,6 +142,8 @@ class Sync:
             if afresh:
                 self.replica.clear()
             prior, index, held = self.replica.state(), self.replica.digests(), self.replica.rows()
+            if prior is None and not (index.isEmpty() and (held is None or held.isEmpty())):
+                raise SyncError("the replica has rows or digests, but no state")
             before = None if prior is None else (prior.schema_version, prior.feature_version)
             after = (row.schema_version, row.feature_version)
             if before is not None and not serving.may_move(before, after):
@@ -187,55 +200,3 @@ class Sync:
             return {"status": "FAIL", "failed": [type(error).__name__]}
         failed = sorted(k for k, ok in checks.items() if not ok)
         return {"status": "FAIL" if failed else "PASS", "failed": failed, "row_count": summary.row_count}
-
-
-def quoted(name: str) -> str:
-    """A name in SQL; dots part a schema and a table."""
-    return ".".join('"' + part.replace('"', '""') + '"' for part in name.split("."))
-
-
-def jdbc_apply(source: DataFrame, plan: DataFrame, connect: Callable[[], object], table: str, digests_table: str, state_table: str, state: tuple, mark: str = "%s") -> None:
-    """The delta on a database's consumer rows and row digests, and then the state, in one transaction: all of it or nothing.
-
-    `connect` makes a DB-API connection on the executor, `mark` is its parameter style. Every update and delete must hit
-    exactly one row. One task does it: a delta has a row a day at most, some ten thousand if the replica is new.
-    """
-    columns = [c for c in source.columns if c != KEY]
-    fields, key = schemas.SYNC_STATE.fieldNames(), quoted(KEY)
-    kept = [("dataset_id", DATASET)]
-
-    def statements(name: str, values: list[str], fixed: list[tuple[str, str]]) -> dict[str, str]:
-        where = " AND ".join(f"{quoted(c)} = {mark}" for c in [*(c for c, _ in fixed), KEY])
-        names = [*(c for c, _ in fixed), KEY, *values]
-        return {
-            "insert": f"INSERT INTO {quoted(name)} ({', '.join(map(quoted, names))}) VALUES ({', '.join([mark] * len(names))})",
-            "update": f"UPDATE {quoted(name)} SET {', '.join(f'{quoted(c)} = {mark}' for c in values)} WHERE {where}",
-            "delete": f"DELETE FROM {quoted(name)} WHERE {where}",
-        }
-
-    targets = [(statements(table, columns, []), columns, []), (statements(digests_table, ["row_sha256"], kept), ["row_sha256"], [v for _, v in kept])]
-    rows = plan.where("op <> 'unchanged'").select(KEY, "op").join(source, KEY, "left").join(serving.digests(source).withColumnRenamed("row_sha256", "new_sha256"), KEY, "left").select("op", KEY, *columns, F.col("new_sha256").alias("row_sha256"))
-    last = source.sparkSession.range(1).select(F.lit("state").alias("op"), F.lit(None).cast(source.schema[KEY].dataType).alias(KEY))
-
-    def run(part) -> None:
-        part = list(part)
-        connection = connect()
-        try:
-            cursor = connection.cursor()
-            for r in part:
-                for sql, names, fixed in targets if r.op != "state" else ():
-                    values = [r[c] for c in names]
-                    cursor.execute(sql[r.op], {"insert": [*fixed, r[KEY], *values], "update": [*values, *fixed, r[KEY]], "delete": [*fixed, r[KEY]]}[r.op])
-                    if r.op != "insert" and cursor.rowcount != 1:
-                        raise SyncError(f"{r.op} hit {cursor.rowcount} rows")
-            if any(r.op == "state" for r in part):
-                cursor.execute(f"DELETE FROM {quoted(state_table)} WHERE {quoted('dataset_id')} = {mark}", [DATASET])
-                cursor.execute(f"INSERT INTO {quoted(state_table)} ({', '.join(map(quoted, fields))}) VALUES ({', '.join([mark] * len(fields))})", list(state))
-            connection.commit()
-        except BaseException:
-            connection.rollback()
-            raise
-        finally:
-            connection.close()
-
-    rows.unionByName(last, allowMissingColumns=True).coalesce(1).foreachPartition(run)

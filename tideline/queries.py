@@ -521,15 +521,34 @@ def replica_summary(spark, sf_dir):
     return serving.summary(I.read(spark, sf_dir, "orders").withColumnRenamed("o_orderdate", "timestamp_m1"))
 
 
-_ROW = "sha256(concat_ws(chr(30), 'T' || epoch_us(ts)::VARCHAR, 'value' || chr(31) || 'F' || CASE WHEN value = floor(value) THEN value::BIGINT::VARCHAR || '.0' ELSE value::VARCHAR END))"
+def _hex_of(x: str) -> str:
+    """DuckDB's SQL for the 16 digits of a double's bits, from its exact hexadecimal text."""
+    text, fraction = f"printf('%a', abs({x}))", f"split_part(split_part(printf('%a', abs({x})), 'p', 1), '.', 2)"
+    exponent = f"(CASE WHEN {text} LIKE '0x1%' THEN split_part({text}, 'p', 2)::INT + 1023 ELSE 0 END + CASE WHEN {x} < 0 THEN 2048 ELSE 0 END)"
+    return f"(format('{{:03x}}', {exponent}) || rpad({fraction}, 13, '0'))"
 
 
-@_query(f"SELECT event_id, {_ROW} AS row_sha256 FROM events WHERE value < 1000")
+_FRAMED = lambda name, tag: name.encode().hex() + "00" + tag.encode().hex()
+_ROW = f"sha256(unhex('{S.DIGEST_PREFIX.hex()}{_FRAMED('timestamp_m1', 'T')}' || format('{{:016x}}', epoch_us(ts)) || '{b'value'.hex()}00' || CASE WHEN value IS NULL THEN '4e' ELSE '46' || {_hex_of('value')} END))"
+
+
+@_query(f"SELECT event_id, {_ROW} AS row_sha256 FROM events")
 def row_digests(spark, sf_dir):
-    rows = I.read(spark, sf_dir, "events").where("value < 1000").withColumn("at", F.col("ts").cast("timestamp"))
+    rows = I.read(spark, sf_dir, "events").withColumn("at", F.col("ts").cast("timestamp"))
     return rows.select("event_id", S.row_digest(F.col("at"), ["value"]).alias("row_sha256"))
 
 
+#: Doubles of all kinds out of a balance: itself, tiny ones down to below the least normal number, and huge ones.
+_KINDS = {"bits": "c_acctbal", "small_bits": "c_acctbal * 1e-300 * 1e-12", "huge_bits": "c_acctbal * 1e300"}
+
+
+@_query(f"SELECT c_custkey, {', '.join(f'{_hex_of(f"({x})")} AS {name}' for name, x in _KINDS.items())} FROM (SELECT c_custkey, c_acctbal::DOUBLE AS c_acctbal FROM customer)".replace("1e-300", "1e-300::DOUBLE").replace("1e-12", "1e-12::DOUBLE").replace("1e300", "1e300::DOUBLE"))
+def double_bits(spark, sf_dir):
+    balance = F.col("c_acctbal").cast("double")
+    kinds = {"bits": balance, "small_bits": balance * F.lit(1e-300) * F.lit(1e-12), "huge_bits": balance * F.lit(1e300)}
+    return I.read(spark, sf_dir, "customer").select("c_custkey", *[S.double_hex(S.unsigned_zero(x)).alias(name) for name, x in kinds.items()])
+
+
 @_query("WITH x AS (SELECT o_orderkey, o_totalprice, o_orderdate FROM orders) SELECT strftime(o_orderdate, '%Y%m%dT%H%M%SZ') AS build_id, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.000000Z') AS iso, count(*) AS n FROM x GROUP BY 1, 2")
 def time_texts(spark, sf_dir):
     at = F.col("o_orderdate").cast("timestamp")
