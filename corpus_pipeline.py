@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from tideline.llm import bpe, decontamination, near_dedup, substring_dedup, toxicity
 from tideline.llm.tables import made, shared_dir, table
 
+#: What a Python worker's encoder remembers: little, since workers keep it through the other stages.
+TABLE_BYTES = 80_000_000
+
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that score 0.3 or more, by a model of the labels that aren't held out."""
@@ -39,7 +42,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, their number, and digests of them and of the text they decode to."""
-    return bpe.encode(docs).withColumnRenamed("id", "doc_id")
+    return bpe.encode(docs, table_bytes=TABLE_BYTES).withColumnRenamed("id", "doc_id")
 
 
 STAGES = [

@@ -91,13 +91,11 @@ def test_bpe_is_the_librarys(spark):
 
 
 def test_bpe_forgets_without_changing_results(monkeypatch):
-    monkeypatch.setattr(bpe, "PIECES", 900)
-    monkeypatch.setattr(bpe, "TOKENS", 900)
-    small, large = bpe.BytePairEncoder(bpe.public_path()), bpe.encoder(bpe.public_path())
+    small, large = bpe.BytePairEncoder(bpe.public_path(), 3000), bpe.encoder(bpe.public_path())
     for t in HARD[:10] * 2:
         assert small.encode(t) == large.encode(t)
-    assert all(len(x) <= 3 for table in (small.known, small.tokens) for x in (table.newer, table.older))
-    small = bpe.BytePairEncoder(bpe.public_path())
+    assert all(len(x) <= 4 for table in (small.known, small.tokens) for x in (table.newer, table.older))
+    small = bpe.BytePairEncoder(bpe.public_path(), 3000)
     merged = []
     monkeypatch.setattr(small, "merge", lambda data, own=small.merge: merged.append(data) or own(data))
     for k in range(9):  # what is met again and again stays, although more than six others come along

@@ -39,8 +39,8 @@ _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\
 _PIECE = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 #: The pre-tokenizer's fixed pattern, with white space spelt out.
 _PRE_TOKEN = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
-#: Bytes of each generation of a worker's tables of pieces and of pre-tokens (64 MB in all), what an entry has besides its characters, and the most characters of what is remembered.
-PIECES, TOKENS, ENTRY, LONGEST = 16_000_000, 16_000_000, 300, 64
+#: What a worker remembers of pieces and of pre-tokens, in bytes; what an entry has besides its characters, and the most characters of what is remembered.
+TABLE_BYTES, ENTRY, LONGEST = 400_000_000, 300, 64
 
 
 def byte_characters() -> dict[int, str]:
@@ -78,28 +78,31 @@ Piece = tuple[bytes, str, bytes]
 class BytePairEncoder:
     """Encoder and decoder of a byte-level BPE tokenizer file of the tokenizers library."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, table_bytes: int = TABLE_BYTES):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         vocabulary: dict[str, int] = spec["model"]["vocab"]
         characters = byte_characters()
         values = {c: b for b, c in characters.items()}
         self.first = [vocabulary[characters[b]] for b in range(256)]
-        #: By rank the id that a merge makes, and by both of its symbols in one number the rank, 32 bits up.
+        #: By rank the id that a merge makes, and by the id of its first symbol the ranks by the second.
         self.made: list[int] = []
-        self.merges: dict[int, int] = {}
+        nothing: dict[int, int] = {}
+        self.ranks: list[dict[int, int]] = [nothing] * (1 + max(vocabulary.values()))
         for rank, merge in enumerate(spec["model"]["merges"]):
             a, b = merge if isinstance(merge, list) else merge.split(" ")
             self.made.append(vocabulary[a + b])
-            self.merges[vocabulary[a] << 32 | vocabulary[b]] = rank << 32
+            if self.ranks[vocabulary[a]] is nothing:
+                self.ranks[vocabulary[a]] = {}
+            self.ranks[vocabulary[a]][vocabulary[b]] = rank
         #: The same for two bytes; -1 where they don't merge.
-        self.pairs = [[self.merges.get(a << 32 | b, -1) for b in self.first] for a in self.first]
+        self.pairs = [[self.ranks[a].get(b, -1) for b in self.first] for a in self.first]
         self.bytes_of = {i: bytes(values[c] for c in token) for token, i in vocabulary.items()}
         added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.bytes_of |= {i: content.encode() for content, i in added.items()}
         self.added = {content: self.as_piece([i]) for content, i in added.items()}
         self.split_added = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
-        self.tokens, self.known = Remembered(TOKENS), Remembered(PIECES)
+        self.tokens, self.known = Remembered(table_bytes // 10), Remembered(table_bytes * 4 // 10)  # in two generations each
 
     def merge(self, data: bytes) -> list[int]:
         """Ids of one pre-token's bytes."""
@@ -107,35 +110,34 @@ class BytePairEncoder:
         symbols = [self.first[b] for b in data]
         pairs = self.pairs
         # of each symbol: the entry (rank and place in one number) of its merge with the next one, if there is one
-        entries = [-1 if (x := pairs[a][b]) < 0 else x | i for i, (a, b) in enumerate(zip(data, data[1:]))]
+        shift = 12 if n <= 4096 else 32
+        entries = [-1 if (x := pairs[a][b]) < 0 else x << shift | i for i, (a, b) in enumerate(zip(data, data[1:]))]
         queue = [x for x in entries if x >= 0]
         if not queue:
             return symbols
         heapq.heapify(queue)
         entries.append(-1)
-        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-        pop, push, rank, made = heapq.heappop, heapq.heappush, self.merges.get, self.made
+        before, after, places = list(range(-1, n - 1)), list(range(1, n + 1)), (1 << shift) - 1
+        pop, push, ranks, made = heapq.heappop, heapq.heappush, self.ranks, self.made
         while queue:
             entry = pop(queue)
-            i = entry & 0xFFFFFFFF
+            i = entry & places
             if entries[i] != entry:
                 continue  # stale: a symbol of the pair has changed since
             j = after[i]
-            new = symbols[i] = made[entry >> 32]
+            new = symbols[i] = made[entry >> shift]
             symbols[j] = entries[j] = entries[i] = -1
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-                if (x := rank(new << 32 | symbols[k])) is not None:
-                    x |= i
-                    entries[i] = x
+                if (x := ranks[new].get(symbols[k])) is not None:
+                    entries[i] = x = x << shift | i
                     push(queue, x)
             if (h := before[i]) >= 0:
-                if (x := rank(symbols[h] << 32 | new)) is None:
+                if (x := ranks[symbols[h]].get(new)) is None:
                     entries[h] = -1
                 else:
-                    x |= h
-                    entries[h] = x
+                    entries[h] = x = x << shift | h
                     push(queue, x)
         return [s for s in symbols if s >= 0]
 
@@ -146,12 +148,18 @@ class BytePairEncoder:
         """What is remembered of a piece, or is worked out now."""
         if (out := self.known.find(piece)) is None:
             ids: list[int] = []
-            alone = piece.isalpha() or piece[0] == " " and piece[1:].isalpha()  # letters alone are one pre-token
-            for token in (piece,) if alone else _PRE_TOKEN.findall(piece):
-                if (found := self.tokens.find(token)) is None:
-                    found = tuple(self.merge(token.encode()))
-                    self.tokens.add(token, found)
-                ids += found
+            if piece.isalpha() or piece[0] == " " and piece[1:].isalpha():  # letters alone are one pre-token
+                ids = self.merge(piece.encode())
+            else:
+                for token in _PRE_TOKEN.findall(piece):
+                    if (found := self.known.newer.get(token)) is not None:
+                        ids += memoryview(found[0]).cast("i")
+                    elif (packed := self.tokens.find(token)) is not None:
+                        ids += memoryview(packed).cast("i")
+                    else:
+                        own = self.merge(token.encode())
+                        self.tokens.add(token, array("i", own).tobytes())
+                        ids += own
             out = self.as_piece(ids)
             self.known.add(piece, out)
         return out
@@ -175,14 +183,14 @@ class BytePairEncoder:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
-_encoders: dict[str, BytePairEncoder] = {}
+_encoders: dict[tuple[str, int], BytePairEncoder] = {}
 
 
-def encoder(path: str) -> BytePairEncoder:
+def encoder(path: str, table_bytes: int = TABLE_BYTES) -> BytePairEncoder:
     """The worker's encoder for a tokenizer file: made once and kept while the worker lives."""
-    if path not in _encoders:
-        _encoders[path] = BytePairEncoder(path)
-    return _encoders[path]
+    if (path, table_bytes) not in _encoders:
+        _encoders[path, table_bytes] = BytePairEncoder(path, table_bytes)
+    return _encoders[path, table_bytes]
 
 
 def public_path(name: str = "byte_bpe_50k.json") -> str:
@@ -192,8 +200,8 @@ def public_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def _encode_batches(batches: Iterator[pa.RecordBatch], tokenizer: str | None, with_ids: bool) -> Iterator[pa.RecordBatch]:
-    own = encoder(tokenizer or public_path())
+def _encode_batches(batches: Iterator[pa.RecordBatch], tokenizer: str | None, with_ids: bool, table_bytes: int) -> Iterator[pa.RecordBatch]:
+    own = encoder(tokenizer or public_path(), table_bytes)
     digest = lambda data: hashlib.sha256(data).hexdigest()
     for batch in batches:
         values, counts, digests, sums = [], [], [], []
@@ -213,13 +221,14 @@ def _encode_batches(batches: Iterator[pa.RecordBatch], tokenizer: str | None, wi
         yield pa.RecordBatch.from_pydict(columns)
 
 
-def encode(docs: DataFrame, *, tokenizer: str | None = None, doc_id: str = "doc_id", text: str = "text", with_ids: bool = True) -> DataFrame:
+def encode(docs: DataFrame, *, tokenizer: str | None = None, doc_id: str = "doc_id", text: str = "text", with_ids: bool = True, table_bytes: int = TABLE_BYTES) -> DataFrame:
     """id, n_tokens and digests of the ids and of the decoded text of every whole text, and its ids unless with_ids is False.
 
     tokenizer: a byte-level BPE file of the tokenizers library, at this path on every machine; by default the public one.
+    table_bytes: what each Python worker remembers of pieces it has met; less takes more time and gives the same result.
     """
     schema = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    return docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(lambda batches: _encode_batches(batches, tokenizer, with_ids), schema)
+    return docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(lambda batches: _encode_batches(batches, tokenizer, with_ids, table_bytes), schema)
 
 
 def decode(encoded: DataFrame, *, tokenizer: str | None = None, doc_id: str = "id", ids: str = "ids") -> DataFrame:

@@ -46,7 +46,7 @@ from tideline.llm.bpe import byte_characters, public_path
 from tideline.llm.tables import stored, table
 
 #: Text in a block; a longer text is a block of its own.
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 6_000_000
 #: Text whose segments a range has about.
 RANGE_BYTES = 16_000_000
 #: Segments that are encoded at a time.
