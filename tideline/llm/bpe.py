@@ -18,6 +18,7 @@ proportion to their length times its logarithm and aren't remembered; further co
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import heapq
 import json
@@ -100,6 +101,7 @@ class BytePairEncoder:
         self.bytes_of = {i: bytes(values[c] for c in token) for token, i in vocabulary.items()}
         added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.bytes_of |= {i: content.encode() for content, i in added.items()}
+        self.decimals = list(map(str, range(1 + max(self.bytes_of))))
         self.added = {content: self.as_piece([i]) for content, i in added.items()}
         self.split_added = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         self.tokens, self.known = Remembered(table_bytes // 10), Remembered(table_bytes * 4 // 10)  # in two generations each
@@ -142,7 +144,7 @@ class BytePairEncoder:
         return [s for s in symbols if s >= 0]
 
     def as_piece(self, ids: list[int]) -> Piece:
-        return array("i", ids).tobytes(), ",".join(map(str, ids)), b"".join(map(self.bytes_of.__getitem__, ids))
+        return array("i", ids).tobytes(), ",".join(map(self.decimals.__getitem__, ids)), b"".join(map(self.bytes_of.__getitem__, ids))
 
     def piece(self, piece: str) -> Piece:
         """What is remembered of a piece, or is worked out now."""
@@ -202,6 +204,16 @@ def public_path(name: str = "byte_bpe_50k.json") -> str:
 
 def _encode_batches(batches: Iterator[pa.RecordBatch], tokenizer: str | None, with_ids: bool, table_bytes: int) -> Iterator[pa.RecordBatch]:
     own = encoder(tokenizer or public_path(), table_bytes)
+    collected = gc.isenabled()
+    gc.disable()  # nothing here refers to itself, and looking through full tables takes time
+    try:
+        yield from _encoded(own, batches, with_ids)
+    finally:
+        if collected:
+            gc.enable()
+
+
+def _encoded(own: BytePairEncoder, batches: Iterator[pa.RecordBatch], with_ids: bool) -> Iterator[pa.RecordBatch]:
     digest = lambda data: hashlib.sha256(data).hexdigest()
     for batch in batches:
         values, counts, digests, sums = [], [], [], []
