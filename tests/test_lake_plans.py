@@ -13,7 +13,7 @@ from tideline.operators.catalog import CatalogError, resolve_latest, resolve_str
 from tideline.operators.quality import QualityError
 from tideline.plans import daily, ingest, planner
 from tideline.plans.publish import DATASET, Publisher
-from tideline.plans.serve import Replica, Sync, SyncError, lock_number
+from tideline.plans.serve import Replica, Sync, SyncError
 from tideline.sources.lake import Lake, SmallTable
 
 TODAY = date(2020, 3, 1)
@@ -65,7 +65,133 @@ def test_small_tables_replace_and_upsert(spark, tmp_path):
     for s, n in (("a", 1), ("b", 2), ("a", 3)):
         table.upsert(row(s, n))
     assert [(r.series_id, r.row_count) for r in table.read().collect()] == [("a", 3), ("b", 2)]
-    assert len([n for n in os.listdir(tmp_path / "t") if n.startswith("state")]) == 2
+    assert sorted(n for n in os.listdir(tmp_path / "t") if not n.startswith("rows-")) == [f"commit-00000000{k}" for k in (1, 2, 3)]
+
+
+def inventory_row(spark, s, n):
+    return spark.createDataFrame([(s, "p", None, None, n, 0, 0)], schemas.INVENTORY)
+
+
+def test_two_writers_of_a_small_table_lose_nothing(spark, tmp_path, monkeypatch):
+    one, two = (SmallTable(spark, str(tmp_path / "t"), schemas.INVENTORY, ["series_id"]) for _ in range(2))
+    one.upsert(inventory_row(spark, "a", 1))
+    publish, between = one.files.publish, [lambda: two.upsert(inventory_row(spark, "b", 2)), lambda: two.update(lambda now: now.withColumn("row_count", F.col("row_count") + 10))]
+
+    def late(path, content):  # another writer's commit comes after this one has read and before it publishes
+        if between and "commit-" in path:
+            between.pop(0)()
+        return publish(path, content)
+
+    monkeypatch.setattr(one.files, "publish", late)
+    one.upsert(inventory_row(spark, "c", 3))
+    held = lambda: [(r.series_id, r.row_count) for r in two.read().collect()]
+    assert held() == [("a", 11), ("b", 12), ("c", 3)] and not between
+    between.append(lambda: two.upsert(inventory_row(spark, "d", 4)))
+    one.update(lambda now: now.withColumn("row_count", F.col("row_count") + 1))
+    assert held() == [("a", 12), ("b", 13), ("c", 4), ("d", 5)]
+    assert not one.update(lambda now: None) and held() == [("a", 12), ("b", 13), ("c", 4), ("d", 5)]
+    monkeypatch.setattr(one.files, "publish", publish)
+    # a writer that slept through all the commits that are kept doesn't take an old number for a free one
+    monkeypatch.setattr(SmallTable, "KEPT", 2)
+    two.upsert(inventory_row(spark, "e", 5))
+    newest = one._newest()[0]
+    assert not one._commit(newest - 5, []) and one._newest()[0] == newest and len(held()) == 5
+
+
+def test_upserts_write_their_own_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(SmallTable, "FAN_IN", 3)
+    table = SmallTable(spark, str(tmp_path / "t"), schemas.INVENTORY, ["series_id"])
+    written, write = [], table._write
+    monkeypatch.setattr(table, "_write", lambda rows: written.append(rows.count()) or write(rows))
+    for k in range(10):
+        table.upsert(inventory_row(spark, f"s{k}", k))
+    assert table.read().count() == 10 and len(table._newest()[1]) <= 4
+    assert sum(written) <= 10 * 3 and sorted(written)[-2:] == [3, 9]  # 9 rows are written once for themselves, in threes, and together
+
+
+def test_a_replaced_file_is_never_missing(spark, tmp_path):
+    import threading
+
+    files, missed, ended = Lake(spark, str(tmp_path)).files, [], threading.Event()
+    path = files.path("view")
+    files.write(path, "0")
+
+    def look():
+        while not ended.is_set():
+            try:
+                with open(tmp_path / "view") as file:
+                    if not file.read():
+                        missed.append("empty")
+            except OSError as error:
+                missed.append(error)
+
+    reader = threading.Thread(target=look)
+    reader.start()
+    for k in range(200):
+        files.write(path, str(k))
+    ended.set()
+    reader.join()
+    assert not missed and files.read(path) == "199" and os.listdir(tmp_path) == ["view"]
+    assert not files.publish(path, "other") and files.read(path) == "199" and files.publish(files.path("new"), "x") and sorted(os.listdir(tmp_path)) == ["new", "view"]
+
+
+def test_files_with_other_columns_are_named(spark, tmp_path):
+    table = Lake(spark, str(tmp_path)).bronze["scalar"]
+    table.check_files()
+    table.upsert(scalar(spark, {date(2020, 1, 5): 1.0, date(2020, 2, 5): 2.0}))
+    table.check_files()
+    month = f"{table.files.root}/provider={registry.series('us_2y').provider}/series_id=us_2y/year=2020/month=02"
+    good = spark.read.parquet(month)
+    held = spark.createDataFrame(good.collect(), good.schema)
+    for spoilt in (held.withColumn("value", F.col("value").cast("string")), held.drop("value"), held.withColumn("more", F.lit(1))):
+        spoilt.write.mode("overwrite").parquet(month)
+        with pytest.raises(TypeError, match="year=2020/month=02"):
+            table.check_files(series_id="us_2y", provider=registry.series("us_2y").provider)
+
+
+def test_a_lock_is_its_writers_own(spark, tmp_path):
+    replica, now = Replica(spark, str(tmp_path / "r")), datetime(2024, 1, 1, tzinfo=UTC)
+    path = replica.files.path("lock")
+    with pytest.raises(SyncError, match="locked"), replica.locked(lambda: now):
+        with replica.locked(lambda: now):
+            pass
+    assert not replica.files.exists(path)
+    with replica.locked(lambda: now):  # it takes so long that another takes over; what is the other's stays
+        later = replica.locked(lambda: now + timedelta(hours=13))
+        later.__enter__()
+    assert replica.files.exists(path)
+    later.__exit__(None, None, None)
+    assert not replica.files.exists(path)
+
+
+def test_reconstruction_goes_on_where_it_was_killed(spark, tmp_path, monkeypatch):
+    from tideline.plans import reconstruct
+    from tideline.plans.database import DatabaseReplica
+    from tideline.sources.database import Database
+
+    lake, clock = Lake(spark, str(tmp_path / "lake")), Clock()
+    ingestion, publisher = ingest.Ingestion(lake, source(spark, clock), clock), Publisher(lake, clock)
+    daily.run_daily(ingestion, publisher, TODAY)
+    replica = DatabaseReplica(spark, Database.of("sqlite3", database=str(tmp_path / "db")))
+    replica.migrate()
+    work = lambda: reconstruct.Reconstruction(ingestion, publisher, Sync(publisher, replica, clock), TODAY, clock=clock)
+    assert [x["status"] for x in work().run()] == ["PLANNED"] * 12 and not lake.files.exists(lake.files.path("maintenance"))
+    monkeypatch.setattr(reconstruct.Reconstruction, "_schema", lambda self: 1 / 0)
+    killed = work().run(execute=True)
+    assert [(x["step"], x["status"]) for x in killed] == [(s, "PASS") for s in reconstruct.STEPS[:7]] + [("schema", "FAIL")]
+    with pytest.raises(daily.Maintenance):
+        daily.run_daily(ingestion, publisher, TODAY)
+    monkeypatch.undo()
+    monkeypatch.setattr(reconstruct.Reconstruction, "_reconcile", lambda self: 1 / 0)  # isn't done again
+    done = work().run(execute=True)
+    assert [x["status"] for x in done] == ["PASSED BEFORE"] * 7 + ["PASS"] * 5 and done[6]["result"] == publisher.lake.catalog.read().where("current").first().build_id
+    assert not lake.files.exists(lake.files.path("maintenance")) and work().journal.passed() == {} and Sync(publisher, replica, clock).verify()["status"] == "PASS"
+    with pytest.raises(SyncError, match="next step"):
+        work().journal.mark("gold", None)
+    out = io.StringIO()
+    args = ["--root", str(tmp_path / "lake"), "--database", f'sqlite3:{json.dumps({"database": str(tmp_path / "db")})}']
+    assert cli.main([*args, "verify"], spark, out=out) == cli.OK and cli.main([*args, "migrate"], spark, out=out) == cli.OK
+    assert cli.main([*args, "reconstruct-all"], spark, out=out) == cli.OK and len(json.loads(out.getvalue().splitlines()[-1])) == 12
 
 
 def test_paths_stay_inside(spark, tmp_path):
@@ -201,6 +327,5 @@ def test_rules_of_resolution(spark, tmp_path):
         Sync(Publisher(lake), Replica(spark, str(tmp_path / "r"))).run()
     with pytest.raises(QualityError):
         daily.gold_frame(lake)
-    assert lock_number("x") == lock_number("x") != lock_number("y")
     assert cli.redacted({"a": ["k=abc"], "b": 1}, ["abc"]) == {"a": ["k=***"], "b": 1}
     assert features.SCHEMA_VERSION == 4

@@ -14,10 +14,13 @@ from tideline import registry
 from tideline.operators.catalog import CatalogError
 from tideline.operators.quality import QualityError
 from tideline.plans import daily, ingest, planner
+from tideline.plans.database import DatabaseReplica
 from tideline.plans.publish import Publisher
+from tideline.plans.reconstruct import Reconstruction
 from tideline.plans.serve import Replica, Sync, SyncError
 from tideline.session import session
 from tideline.sources import providers
+from tideline.sources.database import Database, DatabaseError
 from tideline.sources.http import TransportError
 from tideline.sources.lake import Lake
 from tideline.sources.payloads import PayloadError, observations
@@ -28,14 +31,15 @@ _log = logging.getLogger("tideline")
 
 #: The commands, and which of them take --series, --provider, --json and --execute.
 COMMANDS = {
-    "bootstrap": ["series"], "update": ["series"], "reconcile": ["series"], "silver-build": ["series"], "run-daily": ["series"], "gold-build": [], "sync": [], "verify": [], "reconstruct": ["execute"], "inventory": ["json", "series", "provider"],
+    "bootstrap": ["series"], "update": ["series"], "reconcile": ["series"], "silver-build": ["series"], "run-daily": ["series"], "gold-build": [], "sync": [], "verify": [], "reconstruct": ["execute"], "reconstruct-all": ["execute"], "migrate": [], "inventory": ["json", "series", "provider"],
 }
 
 
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="tideline")
     top.add_argument("--root", default="lake")
-    top.add_argument("--replica", default="replica")
+    top.add_argument("--replica", default="replica", help="folder of the replica")
+    top.add_argument("--database", help="a database instead of that folder: the DB-API module, a colon, and JSON of what its connect takes; an argument env:NAME is taken from the environment")
     top.add_argument("--landing", default="landing", help="folder of payloads, one file or folder named by series")
     top.add_argument("--fetch", action="store_true", help="ask the providers, and keep their answers in the landing folder")
     top.add_argument("--today", type=date.fromisoformat)
@@ -69,6 +73,13 @@ def landed_fetcher(spark, folder: str, clock: Callable[[], datetime]) -> ingest.
     return lambda series, plan: observations(spark, series, f"{folder}/{series.series_id}", clock(), f"{folder}/{series.series_id}")
 
 
+def replica(args: argparse.Namespace, spark) -> Replica | DatabaseReplica:
+    if not args.database:
+        return Replica(spark, args.replica)
+    driver, _, arguments = args.database.partition(":")
+    return DatabaseReplica(spark, Database.of(driver, **json.loads(arguments)))
+
+
 def dispatch(args: argparse.Namespace, spark, clock: Callable[[], datetime] = lambda: datetime.now(UTC), fetch: ingest.Fetcher | None = None, out=sys.stdout) -> int:
     lake = Lake(spark, args.root)
     keys = {name: os.environ[f"{name.upper()}_API_KEY"] for name, asked in providers.PROVIDERS.items() if asked.key and os.environ.get(f"{name.upper()}_API_KEY")}
@@ -85,15 +96,20 @@ def dispatch(args: argparse.Namespace, spark, clock: Callable[[], datetime] = la
     elif args.command == "gold-build":
         daily.build_gold(publisher)
     elif args.command == "sync":
-        print(json.dumps(vars(Sync(publisher, Replica(spark, args.replica), clock).run())), file=out)
+        print(json.dumps(vars(Sync(publisher, replica(args, spark), clock).run())), file=out)
+    elif args.command == "migrate":
+        if not args.database:
+            raise ValueError("only a database is migrated")
+        print(json.dumps(replica(args, spark).migrate(clock)), file=out)
     elif args.command == "verify":
-        report = Sync(publisher, Replica(spark, args.replica), clock).verify()
+        report = Sync(publisher, replica(args, spark), clock).verify()
         print(json.dumps(report), file=out)
         return OK if report["status"] == "PASS" else PIPELINE
-    elif args.command == "reconstruct":
-        steps = Sync(publisher, Replica(spark, args.replica), clock).reconstruct(args.execute)
-        print(json.dumps(steps), file=out)
-        return OK if all(x["status"] in ("PASS", "PLANNED") for x in steps) else PIPELINE
+    elif args.command in ("reconstruct", "reconstruct-all"):
+        sync = Sync(publisher, replica(args, spark), clock)
+        steps = sync.reconstruct(args.execute) if args.command == "reconstruct" else Reconstruction(ingestion, publisher, sync, today, clock=clock).run(args.execute)
+        print(json.dumps(steps, default=str), file=out)
+        return OK if all(x["status"] != "FAIL" for x in steps) else PIPELINE
     else:
         rows = ingest.select_inventory(ingest.refresh_inventory(lake), args.series, args.provider)
         for r in (ingest.as_json if args.json else ingest.as_lines)(rows).toLocalIterator():
@@ -113,7 +129,7 @@ def main(argv: Sequence[str] | None = None, spark=None, **options) -> int:
         code, kind = INPUT, type(error).__name__
     except (PayloadError, TransportError, daily.SourceFailure) as error:
         code, kind = SOURCE, type(error).__name__
-    except (QualityError, CatalogError, SyncError, OSError, ValueError) as error:
+    except (QualityError, CatalogError, SyncError, DatabaseError, daily.Maintenance, OSError, ValueError, TypeError) as error:
         code, kind = PIPELINE, type(error).__name__
     log_event("failed", command=args.command, kind=kind, code=code)
     return code

@@ -40,11 +40,25 @@ def build_gold(publisher: Publisher) -> Row:
     return publisher.publish(frame, inputs)
 
 
+class Maintenance(RuntimeError):
+    """A reconstruction is under way."""
+
+
+def maintenance(lake: Lake) -> str:
+    """A file that is there while daily runs are refused."""
+    return lake.files.path("maintenance")
+
+
 def run_daily(ingestion: ingest.Ingestion, publisher: Publisher, today: date, series: Sequence[str] = ()) -> Row:
-    """A failed series ends the run before the long table is touched."""
+    """A failed series ends the run before the long table is touched, as does a stored file with other columns than its table's."""
+    if publisher.lake.files.exists(maintenance(publisher.lake)):
+        raise Maintenance("a reconstruction is under way")
     publisher.reconcile()
     chosen = registry.selected(series)
     require_all(ingestion.run_many(chosen, today))
+    for series_id in chosen:
+        s = registry.series(series_id)
+        publisher.lake.bronze[s.shape].check_files(provider=s.provider, series_id=s.series_id)
     ingest.build_silver(publisher.lake, chosen)
     row = build_gold(publisher)
     publisher.retain()

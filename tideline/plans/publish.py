@@ -1,6 +1,6 @@
 """Publishing snapshots: register, build, validate, promote in the catalog, then clean up.
 
-The catalog alone says which snapshot counts. A promotion is one replacement of the catalog's table, so a
+The catalog alone says which snapshot counts. A promotion is one commit of the catalog's table, so a
 reader sees the old current snapshot or the new one; what fails before it leaves a failed row and nothing
 that anyone reads, what fails after it doesn't undo it.
 """
@@ -75,27 +75,37 @@ class Publisher:
         catalog = self.lake.catalog.read()
         if not catalog.where("current and status = 'building'").isEmpty():
             raise C.CatalogError("the current snapshot is building; this needs a person")
-        if not catalog.where("status = 'building'").isEmpty():
-            self.lake.catalog.replace(C.fail_stale(catalog, self.clock()))
+        self._fail_stale()
         self.refresh_view()
         return self.lake.catalog.read()
 
+    def _fail_stale(self, build_id: str | None = None) -> None:
+        """Rows that are building, all or one, become failed."""
+
+        def failed(now: DataFrame) -> DataFrame | None:
+            stale = now.where("status = 'building'")
+            if build_id is not None:
+                stale = stale.where(F.col("build_id") == build_id)
+            return None if stale.isEmpty() else C.fail_stale(now, self.clock(), *([] if build_id is None else [build_id]))
+
+        self.lake.catalog.update(failed)
+
+    def _promoted(self, now: DataFrame, build_id: str, results: dict) -> DataFrame:
+        promoted = C.promote(now, build_id, results)
+        quality.require(C.broken_rules(promoted), "catalog")
+        return promoted
+
     def publish(self, frame: DataFrame, inputs: Sequence[dict] = ()) -> Row:
         """The new current snapshot's catalog row."""
-        catalog = self.reconcile()
+        self.reconcile()
         build_id, started = self.next_id(), self.clock()
         row = (DATASET, build_id, "building", False, started, None, features.SCHEMA_VERSION, features.FEATURE_VERSION, *[None] * 7)
-        registered = catalog.unionByName(self.lake.spark.createDataFrame([row], schemas.CATALOG))
-        self.lake.catalog.replace(registered)
+        self.lake.catalog.upsert(self.lake.spark.createDataFrame([row], schemas.CATALOG))
         try:
             results = self._build(frame, build_id, started, inputs)
-            promoted = C.promote(self.lake.catalog.read(), build_id, results)
-            quality.require(C.broken_rules(promoted), "catalog")
-            self.lake.catalog.replace(promoted)
+            self.lake.catalog.update(lambda now: self._promoted(now, build_id, results))
         except BaseException:
-            now = self.lake.catalog.read()
-            if not now.where((F.col("build_id") == build_id) & (F.col("status") == "building")).isEmpty():
-                self.lake.catalog.replace(C.fail_stale(now, self.clock(), build_id))
+            self._fail_stale(build_id)
             self.lake.files.delete(self.folder(build_id))
             raise
         self.refresh_view()
@@ -158,7 +168,7 @@ class Publisher:
         catalog = self.lake.catalog.read()
         marked = [r.build_id for r in C.excess(catalog, self.keep).orderBy("completed_at_utc", "build_id").select("build_id").collect()]
         if marked:
-            self.lake.catalog.replace(C.mark_pruned(catalog, self.clock(), self.keep))
+            self.lake.catalog.update(lambda now: C.mark_pruned(now, self.clock(), self.keep))
             self.refresh_view()
         swept = [r.build_id for r in C.to_sweep(self.lake.catalog.read()).select("build_id").collect()]
         for build_id in swept:

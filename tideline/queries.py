@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tideline import inputs as I
 from tideline import registry
 from tideline.functions import scalars as S
 from tideline.operators import catalog as C
-from tideline.operators import diff, features, profile, quality, serving, silver
+from tideline.operators import contract, diff, features, profile, quality, serving, silver
 from tideline.plans import planner
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -549,6 +549,63 @@ def double_bits(spark, sf_dir):
     return I.read(spark, sf_dir, "customer").select("c_custkey", *[S.double_hex(S.unsigned_zero(x)).alias(name) for name, x in kinds.items()])
 
 
+@_query(
+    """WITH attributes AS (SELECT c_nationkey AS attrelid, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS attnum, c_name AS attname FROM customer),
+lists AS (SELECT s_name, s_nationkey, CASE WHEN s_suppkey % 3 = 0 THEN 'p' ELSE 'u' END AS contype, [s_suppkey % 3 + 8, s_suppkey % 4 + 1, s_suppkey % 3 + 5] AS conkey FROM supplier),
+keys AS (SELECT s_name, s_nationkey, contype, unnest(conkey) AS attnum, generate_subscripts(conkey, 1) AS ordinal FROM lists)
+SELECT r_name AS table_schema, n_name AS table_name, s_name AS key_name, contype AS key_type, array_to_string(list(attname ORDER BY ordinal), ',') AS key_columns
+FROM keys JOIN attributes ON attrelid = s_nationkey AND attributes.attnum = keys.attnum JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey GROUP BY ALL"""
+)
+def key_columns(spark, sf_dir):
+    """A database's catalog made of nations (tables of regions), their customers (columns) and their suppliers (keys)."""
+    customers, suppliers, nations, regions = (I.read(spark, sf_dir, t) for t in ("customer", "supplier", "nation", "region"))
+    place = F.row_number().over(Window.partitionBy("c_nationkey").orderBy("c_custkey"))
+    attributes = customers.select(F.col("c_nationkey").alias("attrelid"), place.alias("attnum"), F.col("c_name").alias("attname"))
+    n = F.col("s_suppkey")
+    constraints = suppliers.select(F.col("s_name").alias("conname"), F.col("s_nationkey").alias("conrelid"), F.when(n % 3 == 0, "p").otherwise("u").alias("contype"), F.array(*[x.cast("int") for x in (n % 3 + 8, n % 4 + 1, n % 3 + 5)]).alias("conkey"))
+    classes = nations.select(F.col("n_nationkey").alias("oid"), F.col("n_name").alias("relname"), F.col("n_regionkey").alias("relnamespace"))
+    found = contract.key_columns(constraints, classes, regions.select(F.col("r_regionkey").alias("oid"), F.col("r_name").alias("nspname")), attributes)
+    return found.select("table_schema", "table_name", "key_name", "key_type", F.array_join("columns", ",").alias("key_columns"))
+
+
+_LINES = "SELECT l_orderkey AS o, l_linenumber AS l, min(l_returnflag) AS low, max(l_returnflag) AS high, min(l_partkey) % 2 = 0 AS nullable FROM lineitem GROUP BY 1, 2"
+
+
+@_query(
+    f"""WITH x AS ({_LINES}),
+w AS (SELECT o, 'c' || l AS c, row_number() OVER (PARTITION BY o ORDER BY l) AS p, low || CASE WHEN nullable THEN '' ELSE ' not null' END AS t FROM x WHERE o % 13 > 0 AND (o + l) % 9 > 0),
+f AS (SELECT o, 'c' || l AS c, row_number() OVER (PARTITION BY o ORDER BY l) AS p, CASE WHEN o % 5 = 0 THEN high ELSE low END || CASE WHEN nullable THEN '' ELSE ' not null' END AS t FROM x WHERE o % 11 > 0 AND (o + l) % 7 > 0),
+tw AS (SELECT DISTINCT o FROM w), tf AS (SELECT DISTINCT o FROM f), both_ AS (SELECT o FROM tw JOIN tf USING (o)),
+wk AS (SELECT o, string_agg(c, ',' ORDER BY p) AS k FROM w WHERE p <= 2 AND o % 8 > 0 GROUP BY o),
+fk AS (SELECT o, CASE WHEN o % 4 = 0 THEN string_agg(c, ',' ORDER BY p DESC) ELSE string_agg(c, ',' ORDER BY p) END AS k FROM f WHERE p <= 2 AND o % 6 > 0 GROUP BY o),
+joined AS (SELECT coalesce(w.o, f.o) AS o, coalesce(w.c, f.c) AS c, w.p AS wp, f.p AS fp, w.t AS wt, f.t AS ft FROM w FULL JOIN f ON w.o = f.o AND w.c = f.c),
+found AS (
+  SELECT coalesce(tw.o, tf.o) AS o, CASE WHEN tf.o IS NULL THEN 'missing_table' WHEN tw.o IS NULL THEN 'extra_table' END AS violation, 'o' || coalesce(tw.o, tf.o) AS item, NULL AS wanted, NULL AS found FROM tw FULL JOIN tf ON tw.o = tf.o
+  UNION ALL SELECT o, CASE WHEN fp IS NULL THEN 'missing_column' WHEN wp IS NULL THEN 'extra_column' END, c, wt, ft FROM joined WHERE o IN (FROM both_)
+  UNION ALL SELECT o, 'moved_column', c, wp::VARCHAR, fp::VARCHAR FROM joined WHERE o IN (FROM both_) AND wp <> fp
+  UNION ALL SELECT o, 'retyped_column', c, wt, ft FROM joined WHERE o IN (FROM both_) AND wt <> ft
+  UNION ALL SELECT coalesce(wk.o, fk.o), CASE WHEN fk.o IS NULL THEN 'missing_key' WHEN wk.o IS NULL THEN 'extra_key' WHEN wk.k <> fk.k THEN 'wrong_key' END, 'p', wk.k, fk.k FROM wk FULL JOIN fk ON wk.o = fk.o WHERE coalesce(wk.o, fk.o) IN (FROM both_))
+SELECT 's' AS table_schema, 'o' || o AS table_name, violation, item, wanted, found FROM found WHERE violation IS NOT NULL"""
+)
+def contract_violations(spark, sf_dir):
+    """Orders as tables of which the contract and the database each lack some, with lines as columns."""
+    o, l = F.col("l_orderkey"), F.col("l_linenumber")  # noqa: E741
+    lines = I.read(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_returnflag").alias("low"), F.max("l_returnflag").alias("high"), (F.min("l_partkey") % 2 == 0).alias("nullable"))
+
+    def columns(rows, kind):
+        place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber"))
+        return rows.select(o.alias("o"), F.lit("s").alias("table_schema"), F.concat(F.lit("o"), o.cast("string")).alias("table_name"), place.alias("position"), F.concat(F.lit("c"), l.cast("string")).alias("column_name"), kind.alias("data_type"), "nullable")
+
+    def keys(rows, reverse):
+        listed = rows.where("position <= 2").groupBy("o", "table_schema", "table_name").agg(F.transform(F.array_sort(F.collect_list(F.struct("position", "column_name"))), lambda x: x.column_name).alias("columns"))
+        return listed.select("table_schema", "table_name", F.lit("p").alias("key_type"), F.when(reverse, F.reverse("columns")).otherwise(F.col("columns")).alias("columns"))
+
+    wanted = columns(lines.where((o % 13 > 0) & ((o + l) % 9 > 0)), F.col("low"))
+    found = columns(lines.where((o % 11 > 0) & ((o + l) % 7 > 0)), F.when(o % 5 == 0, F.col("high")).otherwise(F.col("low")))
+    n = F.col("o")
+    return contract.violations(wanted.drop("o"), found.drop("o"), keys(wanted.where(n % 8 > 0), F.lit(False)), keys(found.where(n % 6 > 0), n % 4 == 0))
+
+
 @_query("WITH x AS (SELECT o_orderkey, o_totalprice, o_orderdate FROM orders) SELECT strftime(o_orderdate, '%Y%m%dT%H%M%SZ') AS build_id, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.000000Z') AS iso, count(*) AS n FROM x GROUP BY 1, 2")
 def time_texts(spark, sf_dir):
     at = F.col("o_orderdate").cast("timestamp")

@@ -99,7 +99,7 @@ def fetcher(spark: SparkSession, landing: str, clock: Callable[[], datetime], ke
         if got.status != 200:
             return spark.createDataFrame([], schemas.bronze(series.shape))
         path = files.path(series.series_id, f"{clock():%Y%m%dT%H%M%S}-{uuid.uuid4().hex}")
-        files.create(path, got.body.decode("utf-8-sig", "replace"))
+        files.create(path, got.body)
         return payloads.observations(spark, series, path, clock(), http.endpoint(url))
 
     return fetch
