@@ -46,14 +46,24 @@ def test_trie_is_brute_force():
 def test_many_rules_on_a_host_cost_no_more():
     rules = [("block", "a.com", f"/x/{i}") for i in range(100_000)] + [("allow", "a.com", "/x/77777/y")]
     trie = U.RuleTrie(rules)
-    began = time.process_time()
-    for i in range(2000):
-        assert trie.fit("www.a.com", f"/x/{i}z")[1] == "block"
-    assert time.process_time() - began < 0.2  # 100 us each
+
+    def seconds(of):
+        began = time.process_time()
+        for i in range(2000):
+            assert of.fit("www.a.com", f"/x/{i}z")[1] == "block"
+        return time.process_time() - began
+
+    assert seconds(trie) < 20 * max(0.01, seconds(U.RuleTrie(rules[:2000])))  # fifty times the rules
     assert trie.fit("a.com", "/x/77777/yy") == ("a.com/x/77777/y", "allow") and trie.fit("a.com", "/x") is None
     assert trie.fit("a" * 100_000 + ".com", "/" * 100_000) is None
 
 
+def test_columns_of_other_case_are_replaced(spark):
+    df = spark.createDataFrame([(1, "http://a.net/es/", "x", "y", 3)], "page_id long, url string, Host string, VERDICT string, Own_Judged int")
+    out = U.judge(df, U.RULES)
+    assert out.columns == ["page_id", "url", "Own_Judged", "host", "path", "rule", "verdict"] and out.first().verdict == "block" and out.select("host").first()[0] == "a.net"
+
+
 def test_verdicts(spark):
     urls = {1: "http://WWW.Example.com/en/1?x", 2: "https://blog.x.example.com/en/#t", 3: "http://q.net/es/a", 4: "http://org/en/", 5: None, 6: "no scheme", 7: "http://com", 8: "x://net?/es/", 9: "http://example.com/EN/"}
     df = table(spark, [(i, u, "") for i, u in urls.items()] + [(1, urls[1], "")])
@@ -159,9 +169,13 @@ def test_extraction(spark, weights):
 
 @pytest.mark.parametrize("page", ["<p " * 400_000, '<a "' * 300_000, '<a x="' * 200_000 + ">", "<b>x" * 100_000, "<!--" * 300_000, "<" * 1_000_000, "</p>" * 200_000, '<p class="' * 100_000 + ">", "<a x='\">" * 100_000])
 def test_malformed_pages_are_linear(weights, page):
-    began = time.process_time()
-    H.Page(page).text(weights)
-    assert time.process_time() - began < 2
+    def seconds(source):
+        began = time.process_time()
+        H.Page(source).text(weights)
+        return time.process_time() - began
+
+    seconds(page[: len(page) // 8])
+    assert seconds(page) < 24 * max(0.05, seconds(page[: len(page) // 8]))  # eight times as long: quadratic work would take 64 times
 
 
 def test_tags_end_where_they_end():
@@ -204,6 +218,31 @@ def test_damage_raises():
     assert list(warc.ArchiveReader(io.BytesIO(b""))) == []
 
 
+@pytest.mark.parametrize("url", ["http://x.org/a%2Fb?q=%20c", "http://x.org/%252F%zz", "http://ü.org/é?x=ß#漢", "http://x.org/[a]|{b}^`\"<>", "http://x.org/\u00a0", ""])
+def test_urls_are_kept_as_they_are(url):
+    (headers, _, _), *more = warc.ArchiveReader(io.BytesIO(archive((1, url, b"p", None))))
+    assert headers["warc-target-uri"] == url and not more
+    (headers, _, _), *_ = warc.ArchiveReader(io.BytesIO(record("response", b"x", [f"WARC-Target-URI: {url}"])))
+    assert headers["warc-target-uri"] == url
+    (headers, _, _), *_ = warc.ArchiveReader(io.BytesIO(archive((1, f"{url}\r\nX: y z\x7f", b"p", None))))
+    assert headers["warc-target-uri"] == f"{url}%0D%0AX:%20y%20z%7F" and "x" not in headers
+
+
+def test_folded_lines_go_on():
+    (headers, http, _), *_ = warc.ArchiveReader(io.BytesIO(record("response", b"HTTP/1.1 200 OK\r\nX-Long: a\r\n\tb\r\n\r\n", ["WARC-Filename: one", "  two", "\tthree", "WARC-Other: x"])))
+    assert (headers["warc-filename"], headers["warc-other"], http["x-long"]) == ("one two three", "x", "a b")
+
+
+def test_headers_without_an_end_are_refused_early():
+    endless = gzip.compress(b"WARC/1.1\r\n" + b"x" * 60_000_000)
+    reader = warc.ArchiveReader(io.BytesIO(endless))
+    with pytest.raises(ValueError, match="end of its header"):
+        list(reader)
+    assert len(reader.plain) <= warc.HEADER_BYTES + 2 * warc.READ_BYTES
+    (headers, _, _), *_ = warc.ArchiveReader(io.BytesIO(record("response", b"x", [f"X-Long: {'y' * 900_000}"])), 1000)
+    assert len(headers["x-long"]) == 900_000
+
+
 def record(kind, block, more=(), content="application/http; msgtype=response"):
     lines = ["WARC/1.0", f"WARC-Type: {kind}", "WARC-Record-ID: <urn:uuid:1-2>", f"Content-Type: {content}", f"Content-Length: {len(block)}", *more]
     return gzip.compress("\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n")
@@ -250,7 +289,8 @@ def test_round_trip(spark, tmp_path, monkeypatch):
     for r in found:
         payload = (next(h for i, _, h in rows if i == r.page_id) or "").encode()
         assert (r.payload_bytes, r.payload_digest) == (len(payload), hashlib.sha256(payload).hexdigest())
-        assert r.url == next(u for i, u, _ in rows if i == r.page_id)
+        url = next(u for i, u, _ in rows if i == r.page_id)
+        assert r.url == (url and url.replace(" ", "%20"))  # what a header can't hold stays escaped
         assert (r.record_type, r.refers_to) == (("revisit", 4) if r.page_id in (7, 9) else ("response", None))
         assert r.payload == (b"" if r.record_type == "revisit" else payload)
     unnamed = warc.write_archives(warc.with_revisits(table(spark, [(None, "u", copy), (4, "v", copy), (None, None, None)])), folder + "n")

@@ -62,6 +62,19 @@ def test_rows_of_one_id_or_none_are_judged_by_their_own_text(spark, benchmark):
         assert sorted((r.id or 0, r.text or "") for r in cut) == [(0, ""), (0, "clean"), (1, ""), (1, "clean"), (1, "clean"), (2, ""), (2, "")]
 
 
+def test_one_block_is_held_at_a_time(spark, benchmark, monkeypatch):
+    docs, alive, held = table(spark, [(d, t, "s") for d, t in texts().items()]), [], []
+    broadcast, stored = spark.sparkContext.broadcast, decontamination.stored
+    kind = type(broadcast(1))
+    destroy = kind.destroy
+    monkeypatch.setattr(kind, "destroy", lambda self, blocking=False: (alive.remove(id(self)), destroy(self, blocking)))
+    monkeypatch.setattr(spark.sparkContext, "broadcast", lambda x: (b := broadcast(x), alive.append(id(b)))[0])
+    monkeypatch.setattr(decontamination, "stored", lambda df, name: (held.append(len(alive)), stored(df, name))[1])
+    found = decontamination.scan(docs, benchmark, block_bytes=8)
+    assert len(held) > 10 and set(held) == {1} and not alive
+    assert {r.id: r.n_hit for r in found.collect()} == {d: w[1] for d, w in brute.contamination(texts(), dict(ITEMS)).items()}
+
+
 def test_decontamination_of_nothing(spark, benchmark):
     docs = table(spark, [(1, "a b", "s"), (1, "a b", "s")])
     assert decontamination.scan(docs.limit(0), benchmark).collect() == []

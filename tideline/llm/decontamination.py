@@ -5,9 +5,11 @@ windows of the benchmark, `n` consecutive words or a shorter item as a whole, be
 64-bit codes that is broadcast; every window of every document is looked up in it, and each hit is
 verified word by word before it counts. Then whole documents or just the hit spans are removed.
 
-The set is broadcast in blocks of at most `block_bytes` of benchmark text each, as arrays of some ten
-times that size, so it is bounded however large the benchmark is; one block is one scan of the
-documents, and only rows with hits are put together by a shuffle.
+The set is broadcast in blocks of some `block_bytes` of benchmark text each, as arrays of some ten
+times that size. One block at a time is made, broadcast, used for a scan of the documents whose hits are
+stored, and destroyed, so what is held at once is bounded however large the benchmark is; what grows with
+it is the number of scans. A benchmark of one block is scanned for without storing anything; of more, only
+rows with hits are put together by a shuffle.
 
 Edge cases: null or empty texts have no words and no hits; items without words and items with a null id
 are ignored; repeated items count once by id; repeated documents, and those with a null id, each get
@@ -26,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm import words as W
-from tideline.llm.tables import free_name, table
+from tideline.llm.tables import free_name, stored, table
 
 SCAN = "id long, n_words long, n_hit long, items array<string>, spans array<struct<first:long,last:long>>"
 #: A document is contaminated if at least one of so many of its words is hit.
@@ -77,13 +79,21 @@ class NgramSet:
                     yield first, length, items
 
 
-def ngram_sets(spark: SparkSession, benchmark: DataFrame, *, n: int = 13, item_id: str = "item_id", item_text: str = "text", block_bytes: int = 16_000_000) -> list[Broadcast]:
-    """Broadcast sets of the windows of blocks of items, at least one."""
+def ngram_sets(spark: SparkSession, benchmark: DataFrame, *, n: int = 13, item_id: str = "item_id", item_text: str = "text", block_bytes: int = 16_000_000) -> tuple[int, Iterator[Broadcast]]:
+    """How many blocks of items there are, at least one, and a broadcast set of the windows of each, made when it is asked for. Who asks for the next is done with the one before, which is destroyed."""
     bench = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).alias("text")).where("item is not null and text is not null")
     size = bench.select(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-size // block_bytes) or 1
-    made = ([(r.item, r.text) for r in bench.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block).collect()] for block in range(blocks))
-    return [spark.sparkContext.broadcast(NgramSet(rows, n)) for rows in made]
+
+    def made() -> Iterator[Broadcast]:
+        for block in range(blocks):
+            rows = bench.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block).collect()
+            shared = spark.sparkContext.broadcast(NgramSet([(r.item, r.text) for r in rows], n))
+            yield shared
+            if blocks > 1:
+                shared.destroy()
+
+    return blocks, made()
 
 
 def _covered(texts: pa.Array, ngrams: NgramSet) -> Iterator[tuple[int, W.Words, np.ndarray, list[set[str]]]]:
@@ -119,12 +129,15 @@ def _own_key(doc_id: str, text: str) -> list[Column]:
     return [F.col(doc_id).cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash")]
 
 
-def _scan(docs: DataFrame, sets: list[Broadcast], doc_id: str, text: str) -> DataFrame:
+def _scan(docs: DataFrame, sets: tuple[int, Iterator[Broadcast]], doc_id: str, text: str) -> DataFrame:
     """SCAN's columns and text_hash of every document."""
-    rows = docs.select(*_own_key(doc_id, text), F.col(text).alias("text"))
-    parts = [rows.mapInArrow(lambda batches, shared=shared: _scan_batches(batches, shared.value), f"{SCAN}, text_hash long") for shared in sets]
-    if len(parts) == 1:
-        return parts[0]
+    rows, (blocks, shared_sets) = docs.select(*_own_key(doc_id, text), F.col(text).alias("text")), sets
+    part = lambda shared: rows.mapInArrow(lambda batches: _scan_batches(batches, shared.value), f"{SCAN}, text_hash long")
+    if blocks == 1:
+        return part(next(shared_sets))
+    parts: list[DataFrame] = []
+    for shared in shared_sets:
+        parts.append(stored(part(shared).where("n_hit > 0") if parts else part(shared), "benchmark-hits"))
     hits = parts[0].where("n_hit > 0")
     for part in parts[1:]:
         hits = hits.unionAll(part.where("n_hit > 0"))
@@ -151,12 +164,12 @@ def is_contaminated(n_hit: str = "n_hit", n_words: str = "n_words", share: int =
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents, with all their columns, that aren't contaminated; with one block nothing is shuffled."""
     sets = ngram_sets(docs.sparkSession, benchmark, **options)
-    if len(sets) > 1:
+    if sets[0] > 1:
         bad_id, bad_hash = free_name(docs, "bad_id"), free_name(docs, "bad_hash")
         bad = _scan(docs, sets, doc_id, text).where(is_contaminated()).select(F.col("id").alias(bad_id), F.col("text_hash").alias(bad_hash))
         own_id, own_hash = _own_key(doc_id, text)
         return docs.join(bad, own_id.eqNullSafe(F.col(bad_id)) & (own_hash == F.col(bad_hash)), "left_anti")
-    shared, place = sets[0], docs.columns.index(text)
+    shared, place = next(sets[1]), docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -86,7 +86,7 @@ class RuleTrie:
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]], *, url: str = "url", default: str = "allow", max_rules: int = 1_000_000) -> DataFrame:
-    """The rows of pages with host, path, rule (null where none fits) and verdict; columns of these names are replaced."""
+    """The rows of pages with host, path, rule (null where none fits) and verdict; columns of these names, in whatever case, are replaced."""
     if len(rules) > max_rules:
         raise ValueError(f"{len(rules)} rules; the trie is broadcast and takes {max_rules} at most")
     trie = pages.sparkSession.sparkContext.broadcast(RuleTrie(rules))
@@ -102,7 +102,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], *, url: str = "ur
             rows.append((host, path, rule, verdict))
         return pd.DataFrame(rows, columns=["host", "path", "rule", "verdict"])
 
-    kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    kept = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
     name = free_name(pages, "judged")
     found = pages.select(*kept, judged(F.col(url)).alias(name))
     return found.select(*kept, f"{name}.*")

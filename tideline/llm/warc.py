@@ -33,7 +33,6 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from typing import BinaryIO
-from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -48,6 +47,10 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ARCHIVE_BYTES = 64_000_000
 READ_BYTES = 256 * 1024
 _RECORD_ID = "<urn:page:{}>"
+#: What a header's line can't hold as it is; all else of a URL is written and read verbatim.
+_ILLEGAL = re.compile(r"[\x00-\x20\x7f]")
+#: A record's header is at most so long.
+HEADER_BYTES = 1_000_000
 #: Duplicates whose keys may be broadcast at most; more are joined.
 BROADCAST_ROWS = 500_000
 _ALGORITHMS = {"sha1": hashlib.sha1, "sha256": hashlib.sha256, "md5": hashlib.md5}
@@ -67,7 +70,7 @@ def record_bytes(page_id: int | None, url: str | None, payload: bytes, digest: s
     block = http if refers_to is not None else http + payload
     lines = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {_RECORD_ID.format('' if page_id is None else page_id)}", f"WARC-Date: {DATE}"]
     if url is not None:
-        lines.append("WARC-Target-URI: " + quote(url, safe="!#$&'()*+,/:;=?@[]~"))
+        lines.append("WARC-Target-URI: " + _ILLEGAL.sub(lambda m: f"%{ord(m[0]):02X}", url))
     if refers_to is not None:
         lines += [f"WARC-Refers-To: {_RECORD_ID.format(refers_to)}", f"WARC-Profile: {PROFILE}"]
     lines += [f"WARC-Payload-Digest: sha256:{digest}", f"WARC-Block-Digest: sha256:{hashlib.sha256(block).hexdigest()}", "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
@@ -95,7 +98,14 @@ def _differs(text: str | None, *data: bytes) -> bool:
 
 
 def _fields(lines: list[str]) -> dict[str, str]:
-    return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
+    """Values by lower-case names. A line that begins with white space goes on with the one before."""
+    whole: list[str] = []
+    for line in lines:
+        if line[:1] in (" ", "\t") and whole:
+            whole[-1] += " " + line.strip(" \t")
+        else:
+            whole.append(line)
+    return {k.strip(" \t").lower(): v.strip(" \t") for k, _, v in (x.partition(":") for x in whole)}
 
 
 def unchunked(body: bytes) -> bytes:
@@ -142,8 +152,10 @@ class ArchiveReader:
         return False
 
     def _headers(self) -> tuple[str, dict[str, str]]:
-        while (end := self.plain.find(b"\r\n\r\n")) < 0:
-            if not self._more():
+        looked = 0
+        while (end := self.plain.find(b"\r\n\r\n", looked)) < 0:
+            looked = max(0, len(self.plain) - 3)
+            if looked > HEADER_BYTES or not self._more():
                 raise ValueError("a record without the end of its header")
         head, self.plain = self.plain[:end].decode("utf-8", "replace"), self.plain[end + 4 :]
         first, *lines = head.split("\r\n")
@@ -236,7 +248,7 @@ def _row(headers: dict[str, str], http: dict[str, str], payload: bytes, payloads
     if headers["warc-type"] == "revisit":  # it tells of a payload that it doesn't hold
         told, length = digest_of(headers.get("warc-payload-digest", "")), http.get("content-length", "")
         size, digest = int(length) if length.isdigit() else None, told[1].hex() if told else None
-    return record_id, refers, as_id(record_id), None if uri is None else unquote(uri), headers["warc-type"], size, digest, as_id(refers), payload if payloads else None
+    return record_id, refers, as_id(record_id), uri, headers["warc-type"], size, digest, as_id(refers), payload if payloads else None
 
 
 def read_archives(archives: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
