@@ -84,3 +84,32 @@ def test_nan_becomes_null_and_infinity_is_counted(spark):
     frame = X.assemble(long)
     assert frame.where("vix_level is not null").isEmpty()
     assert X.infinite_cells(frame).first().cells == 5
+
+
+def test_digests_are_those_of_the_bytes(spark):
+    import hashlib
+    import random
+    import struct
+    from datetime import UTC, datetime
+
+    from pyspark.sql import functions as F
+
+    from tideline.functions import scalars as S
+    from tideline.operators import serving
+
+    r = random.Random(8)
+    some = [0.0, -0.0, 1.0, -1.5, 5e-324, -5e-324, 2.2250738585072009e-308, 2.2250738585072014e-308, 1.7976931348623157e308, -1.7976931348623157e308, 0.1, 1 / 3, 1e15, 123456789.0, 2.0**-1022, 2.0**1023]
+    some += [x for x in (struct.unpack(">d", r.randbytes(8))[0] for _ in range(3000)) if x == x and abs(x) != float("inf")]
+    df = spark.createDataFrame([(x,) for x in some], "x double")
+    assert all(bytes.fromhex(h) == struct.pack(">d", x + 0.0) for x, h in df.select("x", S.double_hex(S.unsigned_zero(F.col("x")))).collect())
+    assert [h for (h,) in spark.createDataFrame([(0,), (-1,), (-(2**63),)], "x long").select(S.long_hex(F.col("x"))).collect()] == ["0" * 16, "f" * 16, "8" + "0" * 15]
+    rows = [(datetime(1960 + k % 90, 1, 1 + k % 28, 1, 2, 3, k), x, None if k % 3 else -x) for k, x in enumerate(some[:300])]
+    frame = spark.createDataFrame(rows, f'{serving.KEY} timestamp, a double, `b"\u00e9` double')
+    found = {row[0]: row[1] for row in serving.digests(frame).collect()}
+    for at, a, b in rows:
+        assert found[at] == hashlib.sha256(serving.row_bytes(at.replace(tzinfo=UTC), [("a", a), ('b"\u00e9', b)])).hexdigest()
+    bare = frame.select(serving.KEY).limit(1)
+    assert serving.digests(bare).first().row_sha256 == hashlib.sha256(serving.row_bytes(bare.first()[0].replace(tzinfo=UTC), [])).hexdigest()
+    for bad in (float("nan"), float("inf"), float("-inf")):
+        with pytest.raises(Exception, match="neither null nor finite"):
+            serving.digests(spark.createDataFrame([(datetime(2024, 1, 1), bad)], f"{serving.KEY} timestamp, a double")).collect()
