@@ -3,6 +3,11 @@
 Toxic documents go; of each class of near duplicates the one with the least id stays; passages that an
 earlier document holds are cut out; documents contaminated by the benchmark go; the rest is encoded.
 Every stage but the last returns the columns of documents, with n_chars as the length of the text.
+
+Edge cases, in all stages: rows with a null or empty text are kept, as nothing is found in them; rows without an id
+are kept and judged by their own text; of repeated rows the second stage keeps all whose id is their class's, since rows
+of one id are one document; very long texts are worked on whole; an empty table gives an empty table of the same columns;
+further columns, whatever their names, are carried along until the last stage, which returns its own.
 """
 
 from __future__ import annotations

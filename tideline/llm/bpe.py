@@ -13,7 +13,8 @@ one, so common entries stay and rare ones go. The tables never change a result.
 Edge cases: null and empty texts have no tokens and decode to the empty text; the string of an added
 token (such as <|endoftext|>) in a text becomes that token, as the tokenizers library does (op4 counts
 such a string as ordinary text); repeated documents each get a row; very long pre-tokens take time in
-proportion to their length times its logarithm and aren't remembered; further columns are not looked at.
+proportion to their length times its logarithm and aren't remembered; an empty table has no rows; further
+columns are not looked at.
 """
 
 from __future__ import annotations

@@ -12,7 +12,7 @@ it is the number of scans. A benchmark of one block is scanned for without stori
 rows with hits are put together by a shuffle.
 
 Edge cases: null or empty texts have no words and no hits; items without words and items with a null id
-are ignored; repeated items count once by id; repeated documents, and those with a null id, each get
+are ignored; very long texts are scanned whole; repeated items count once by id; repeated documents, and those with a null id, each get
 their own row and are judged by their own text; an empty benchmark hits nothing; further columns of
 either table are not looked at.
 """

@@ -24,7 +24,8 @@ Output: character references are decoded, white space within a block becomes one
 trimmed, empty ones go, and the rest are joined by two newlines.
 
 Edge cases: a null or empty page, or one without text, has the empty text; without labelled pages in the
-table the examples alone count; unclosed and stray tags are tolerated; repeated rows each get a result;
+table the examples alone count; of runs that score the same the first is taken; a very long page is read
+whole, in linear time; an empty table has no rows; unclosed and stray tags are tolerated; repeated rows each get a result;
 further columns, whatever their names, are not looked at.
 """
 

@@ -23,7 +23,8 @@ connected components.
 
 Edge cases: null and empty texts and texts without words have empty sets, link with nothing and are kept;
 rows of one id are one document: repeated rows count once, what one of its texts links with all do, and each
-row gets the size of its own set; documents with a null id form no class and are kept; an empty table gives
+row gets the size of its own set; documents with a null id form no class and are kept; a very long text's
+set is made and compared whole; of hubs that tie any is taken, which changes no class; an empty table gives
 no rows; columns of any other name, also of one used in here, are carried along or not looked at.
 """
 

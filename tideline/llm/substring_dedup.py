@@ -25,7 +25,8 @@ about one in 10**19 per pair of different windows.
 
 Edge cases: null and empty texts have no words; texts under `window` words lose nothing; rows of one id
 don't remove each other's words, whether their texts are equal or not, and each gets a row by its own text;
-documents with a null id are kept whole and remove nothing; an empty table gives no rows; columns of any
+documents with a null id are kept whole and remove nothing; a very long text is worked on whole, and its
+parts go to as many shards as they need; an empty table gives no rows; columns of any
 other name, also of one used in here, are carried along or not looked at.
 """
 

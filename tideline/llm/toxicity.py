@@ -15,7 +15,8 @@ and digits and of all characters beyond ASCII, A-Z folded; sentences end at . !
 Scores depend on nothing but the text. Edge cases: null and empty texts and texts without evidence score
 `leak`; without labels, or without toxic ones, everything scores 0 or the leak; labels of one document
 that differ count as toxic; repeated documents each get a score; documents with a null id are scored,
-never learnt from and not held out; further columns are not looked at.
+never learnt from and not held out; a very long text is scored whole, as one slice of its task; an empty
+table has no scores and teaches nothing; further columns are not looked at.
 """
 
 from __future__ import annotations

@@ -18,7 +18,8 @@ counted. What a failed attempt leaves behind is in no result.
 Edge cases: a null payload is empty; a null id gives a record id without a number, is always a response
 and reads back as null; a null url gives no WARC-Target-URI and reads back as null; smaller
 payloads are all responses; repeated rows of one id are all responses or all revisits; a damaged or cut
-archive raises ValueError; an empty table writes no archives; further columns, whatever their names, are not
+archive raises ValueError; a space or control in a URL is written as its escape and stays so, all else of it
+is kept verbatim; a very long payload is one record, held whole by the task that writes or reads it; an empty table writes no archives; further columns, whatever their names, are not
 looked at.
 """
 
