@@ -505,6 +505,34 @@ def catalog_rules(spark, sf_dir):
     return C.broken_rules(_catalog(spark, sf_dir))
 
 
+_BROKEN = (
+    "SELECT CASE WHEN k % 17 = 0 THEN 'lost' ELSE status END AS status, CASE WHEN k % 43 = 0 THEN k + 1 ELSE k END AS b, CASE WHEN k % 19 = 0 THEN -1 ELSE k END AS n, started, CASE WHEN k % 23 = 0 THEN started - INTERVAL 1 DAY ELSE started END AS high, "
+    "CASE WHEN k % 41 = 0 THEN NULL WHEN k % 29 = 0 THEN started - INTERVAL 1 HOUR ELSE completed END AS completed, pruned, path, CASE WHEN k % 31 = 0 THEN NULL ELSE path END AS plot, k % 37 = 0 AS current FROM (SELECT *, build_id::BIGINT AS k FROM cat)"
+)
+
+
+@_query(
+    f"WITH {_CATALOG}, x AS ({_BROKEN}) SELECT unnest(['unknown_status', 'negative_count', 'bounds_out_of_order', 'completed_before_started', 'paths_incomplete', 'current_not_usable', 'complete_without_time', 'several_current', 'duplicate_build_id']) AS \"check\", "
+    "unnest([count(*) FILTER (status NOT IN ('building', 'complete', 'failed')), count(*) FILTER (n < 0), count(*) FILTER (high < started), count(*) FILTER (completed < started), count(*) FILTER ((path IS NULL) <> (plot IS NULL)), "
+    "count(*) FILTER (current AND NOT (status = 'complete' AND completed IS NOT NULL AND pruned IS NULL AND path IS NOT NULL AND plot IS NOT NULL)), count(*) FILTER (status = 'complete' AND completed IS NULL), greatest(count(*) FILTER (current) - 1, 0), count(*) FILTER (several > 1)]) AS violations FROM (SELECT *, count(*) OVER (PARTITION BY b) AS several FROM x)"
+)
+def catalog_rules_broken(spark, sf_dir):
+    """The rules over a catalog of which some rows break each."""
+    k = F.col("build_id").cast("long")
+    at = F.col("started_at_utc")
+    broken = _catalog(spark, sf_dir).withColumns({
+        "status": F.when(k % 17 == 0, "lost").otherwise(F.col("status")),
+        "row_count": F.when(k % 19 == 0, F.lit(-1)).otherwise(k).cast("long"),
+        "min_timestamp": at,
+        "max_timestamp": F.when(k % 23 == 0, at - F.expr("INTERVAL 1 DAY")).otherwise(at),
+        "completed_at_utc": F.when(k % 41 == 0, F.lit(None).cast("timestamp")).when(k % 29 == 0, at - F.expr("INTERVAL 1 HOUR")).otherwise(F.col("completed_at_utc")),
+        "plot_path": F.when(k % 31 != 0, F.col("plot_path")),
+        "current": k % 37 == 0,
+        "build_id": F.lpad(F.when(k % 43 == 0, k + 1).otherwise(k).cast("string"), 12, "0"),
+    })
+    return C.broken_rules(broken)
+
+
 @_query(f"WITH {_CATALOG} SELECT sv AS schema_version, fv AS feature_version, count(*) AS n, greatest(count(*) - 5, 0)::BIGINT AS excess FROM cat WHERE {_USABLE} GROUP BY 1, 2")
 def builds_by_version(spark, sf_dir):
     held = _catalog(spark, sf_dir).where(C.selectable())
