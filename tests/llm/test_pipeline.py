@@ -75,6 +75,23 @@ def test_stages_take_null_ids_and_repeated_ids(spark):
     assert P.STAGES[4][1](spark, docs, SF).count() == len(rows)
 
 
+def test_stages_take_further_columns_and_very_long_texts(spark):
+    long = " ".join(f"w{i % 7919}x{i % 104729}" for i in range(120_000))
+    more = "id string, ID2 string, Own_Text string, text_hash int, dropped string, own_dropped string, words int, bucket string, score double, rows string"
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + more
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t), "a", "b", "c", 1, "d", "e", 2, "f", 0.5, "g") for d, t in ((1, long), (2, long + " tail of it"), (3, "short one"))], schema)
+    left = {"near_duplicates": [1, 3]}
+    for name, stage in P.STAGES[:4]:
+        out = stage(spark, docs, SF)
+        found = out.orderBy("doc_id").collect()
+        assert out.columns == docs.columns and [r.doc_id for r in found] == left.get(name, [1, 2, 3])
+        assert all(tuple(r)[5:] == ("a", "b", "c", 1, "d", "e", 2, "f", 0.5, "g") for r in found)
+        if name == "substrings":
+            assert [r.text for r in found] == [long, "tail of it", "short one"] and [r.n_chars for r in found] == [len(long), 10, 9]
+    tokens = {r.doc_id: r for r in P.STAGES[4][1](spark, docs, SF).collect()}
+    assert tokens[1].decoded_sha256 == brute.sha(long) and tokens[1].n_tokens == len(tokens[1].ids) > 200_000
+
+
 def test_intermediate_folders(spark, tmp_path):
     kept = tables.stored(spark.range(3).toDF("id"), "some")
     path = tables._made[-1]
