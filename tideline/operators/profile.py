@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideline.operators.quality import duplicate_keys
-
 
 def bounds(df: DataFrame, column: str = "observation_date", by: Sequence[str] = ()) -> DataFrame:
     """Least and greatest value, null without rows; by some columns or over all."""
@@ -18,16 +16,18 @@ def bounds(df: DataFrame, column: str = "observation_date", by: Sequence[str] =
 def inventory(registry: DataFrame, bronze: DataFrame, keys: Sequence[str] = ("series_id", "observation_date"), file: str | None = None) -> DataFrame:
     """For each registered series, also those without rows: day bounds, rows, rows in duplicate keys, and files.
 
-    file: a column that names each row's file, such as _metadata.file_path; without one, file_count is 0.
+    keys: series_id among them. file: a column that names each row's file, such as _metadata.file_path; without one, file_count is 0. A series has a file a month.
     """
-    files = F.count_distinct(file) if file else F.lit(0).cast("long")
-    found = bronze.groupBy("series_id").agg(F.min("observation_date").alias("min_observation_date"), F.max("observation_date").alias("max_observation_date"), F.count("*").alias("row_count"), files.alias("file_count"))
-    twice = duplicate_keys(bronze, keys).groupBy("series_id").agg(F.sum("n").alias("duplicate_key_count"))
+    files = [F.collect_set(file).alias("files")] if file else []
+    by_key = bronze.groupBy(*keys).agg(F.count("*").alias("n"), F.min("observation_date").alias("low"), F.max("observation_date").alias("high"), *files)
+    counted = F.size(F.array_distinct(F.flatten(F.collect_set("files")))) if file else F.lit(0)
+    found = by_key.groupBy("series_id").agg(
+        F.min("low").alias("min_observation_date"), F.max("high").alias("max_observation_date"), F.sum("n").alias("row_count"), F.sum(F.when(F.col("n") > 1, F.col("n"))).alias("duplicate_key_count"), counted.alias("file_count"),
+    )
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
     return (
         registry.select("series_id", "provider")
         .join(found, "series_id", "left")
-        .join(twice, "series_id", "left")
         .select("series_id", "provider", "min_observation_date", "max_observation_date", zero("row_count"), zero("duplicate_key_count"), zero("file_count"))
     )
 
