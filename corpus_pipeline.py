@@ -21,7 +21,7 @@ from tideline.llm import bpe, decontamination, near_dedup, substring_dedup, toxi
 from tideline.llm.tables import made, shared_dir, table
 
 #: What a Python worker's encoder remembers: little, since workers keep it through the other stages.
-TABLE_BYTES = 80_000_000
+TABLE_BYTES = 24_000_000
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
