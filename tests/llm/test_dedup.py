@@ -65,15 +65,35 @@ def test_substring_dedup_is_brute_force(spark, docs):
 def test_substring_dedup_needs_its_automata(monkeypatch):
     """What the automata find is all that a document can lose."""
     text, other = (" ".join(f"{c}{i}" for i in range(90)) for c in "wv")
-    rows = [(0, 0, 0, 1, 5, 0, text), (0, 0, 1, 2, 6, 100, f"x {text}"), (0, 0, 1, 3, 7, 0, other), (0, 1, 0, 1, 5, 0, text), (0, 1, 1, 4, 8, 0, text[:-8]), (1, 0, 0, 2, 5, 0, other), (1, 0, 1, 4, 8, 0, f"{other} {text}")]
-    names = ["shard", "slice", "kind", "id", "text_hash", "at", "words"]
+    rows = [(0, 0, 0, 1, 5, text), (0, 0, 1, 2, 6, f"x {text}"), (0, 0, 1, 3, 7, other), (0, 1, 0, 1, 5, text), (0, 1, 1, 4, 8, text[:-8]), (1, 0, 0, 2, 5, other), (1, 0, 1, 4, 8, f"{other} {text}")]
+    names = ["shard", "slice", "kind", "id", "text_hash", "text"]
     batches = [pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows[a:b]]) for a, b in ((0, 2), (2, 2), (2, 5), (5, 7))]
     found = lambda: {(r["id"], x["first"], x["end"]) for batch in S._streamed(iter(b for b in batches if b.num_rows), 50) for r in batch.to_pylist() for x in r["spans"]}
-    assert found() == {(2, 101, 191), (4, 0, 88), (4, 0, 90)}
+    assert found() == {(2, 1, 91), (4, 0, 88), (4, 0, 90)}
     monkeypatch.setattr(S.Shard, "ends", lambda self, text: [])
     assert found() == set()
 
 
+@pytest.mark.parametrize("slice_bytes", [1500, 10**9])
+def test_whole_texts_alone_give_every_occurrence(spark, slice_bytes):
+    """The stream step gets passages and whole texts, without codes or places, and finds all places of all passages."""
+    r = random.Random(8)
+    text = lambda k: [f"w{r.random()}" for _ in range(k)]
+    shared = [text(k) for k in (50, 61, 120)]
+    docs, want = {}, {}
+    for d in range(1, 40):
+        w, want[d] = text(r.randint(0, 30)), set()
+        for _ in range(r.randint(0, 4)):
+            k = r.randrange(3)
+            want[d] |= set(range(len(w), len(w) + len(shared[k]))) if d > k else set()  # passage k is document k's
+            w += shared[k] + text(r.randint(1, 70))
+        docs[d] = "\n".join(w) if d % 2 else "  ".join(w)
+    near = spark.createDataFrame([(d, d * 7, t, [0, 1, 2]) for d, t in docs.items()], "id long, text_hash long, text string, shards array<int>")
+    passages = spark.createDataFrame([(k, k, " ".join(w)) for k, w in enumerate(shared)], "shard int, id long, words string")
+    found = {x.id: {p for span in x.spans for p in range(span.first, span.end)} for x in S.located(near, passages, 50, slice_bytes).collect()}
+    assert found == {d: places for d, places in want.items() if places} and len(found) > 20
+
+
 def test_shard_compares_words_not_codes(monkeypatch):
     one, two = (" ".join(f"{c}{i}" for i in range(80)) for c in "ab")
     shard = S.Shard([(4, one), (6, " ".join(["a"] * 70))], 50)

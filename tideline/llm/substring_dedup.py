@@ -6,18 +6,19 @@ id, and every word of a recurring passage is removed. Four steps:
 1. Sketch: each document is reduced to a digest of its word sequence and to its phrases, runs of `phrase`
    words chosen by winnowing, so that any two documents with a passage in common have a phrase in common.
    Exact copies of an earlier document go whole; only first copies go on.
-2. Confirm: phrases of two documents or more lead to the passages around them: a window belongs to the
+2. Confirm: phrases of two documents or more lead to the windows around them: a window belongs to the
    least of its phrases, its anchor. Windows are grouped by a 64-bit code, and those of two documents are
-   confirmed; the document with the least id owns them.
+   confirmed; the document with the least id owns them. Nothing else of the codes is kept.
 3. Compile: every recurring phrase has a shard, the same for phrases near each other in the first document
    that holds them; there are as many shards as keep each at about `shard_bytes` of passages. The owners'
    confirmed windows, with their words, go to the shards of their anchors as passages, and for each shard a
    task compiles an Aho-Corasick automaton from every run of 25 words at steps of 25 (each window of 50
    holds one whole).
-4. Stream: of every document the parts with windows anchored in the shard are streamed through the
-   automaton. Where it finds a run, the windows around it are looked up among the shard's passages and compared word by word; only
-   what is equal is removed. A shard's parts are dealt to as many tasks as their bytes need, each with the
-   shard's automaton.
+4. Stream: every first copy is streamed, as a whole text, through the automata of the shards that it has a
+   phrase of. This loses nothing: a document with an occurrence of a passage has the phrase that is its
+   anchor. Places come from the automaton alone: around the runs that it finds, windows are looked up among
+   the shard's passages and compared word by word, and only what is equal is removed. A shard's documents
+   are dealt to as many tasks as their bytes need, each with the shard's automaton.
 
 Codes only narrow down what is compared: a window that is removed has been compared word by word. A window
 could stay by mistake if its code is that of another confirmed one of an earlier owner, with a chance of
@@ -25,8 +26,8 @@ about one in 10**19 per pair of different windows.
 
 Edge cases: null and empty texts have no words; texts under `window` words lose nothing; rows of one id
 don't remove each other's words, whether their texts are equal or not, and each gets a row by its own text;
-documents with a null id are kept whole and remove nothing; a very long text is worked on whole, and its
-parts go to as many shards as they need; an empty table gives no rows; columns of any
+documents with a null id are kept whole and remove nothing; a very long text is worked on whole, once for
+each shard that it has a phrase of; an empty table gives no rows; columns of any
 other name, also of one used in here, are carried along or not looked at.
 """
 
@@ -46,13 +47,15 @@ from tideline.llm.tables import free_name, stored, table
 
 WINDOW, PHRASE = 50, 16
 #: Bytes of passages in a shard and of documents that one task streams, and phrases of a document that share a shard, about.
-SHARD_BYTES, SLICE_BYTES, STRETCH = 500_000, 4_000_000, 32
-#: Documents whose keys, and groups of copies whose digests, may be broadcast at most; more are joined.
-BROADCAST_KEYS, BROADCAST_COPIES = 2_000_000, 500_000
+SHARD_BYTES, SLICE_BYTES, STRETCH = 500_000, 4_000_000, 256
+#: Codes that a task hands on at a time, about.
+CODES = 100_000
+#: Documents whose keys may be broadcast at most; more are joined.
+BROADCAST_KEYS = 2_000_000
 SKETCH = "id long, text_hash long, n_words long, n_bytes long, kept_sha256 string, phrases array<long>"
-_PARTS = "array<struct<shard: int, at: int, words: string>>"
-CANDIDATES = f"id long, text_hash long, text string, codes array<long>, parts {_PARTS}"
 _NONE = hashlib.sha256(b"").hexdigest()
+#: What tells rows apart.
+_KEY = ["id", "text_hash"]
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -137,46 +140,45 @@ def _parts(w: W.Words, places: np.ndarray, shards: np.ndarray, window: int) -> l
     return out
 
 
-def candidates(texts: DataFrame, window: int, phrase: int) -> DataFrame:
-    """Of rows (id, text_hash, text, found) the codes of the windows that an anchor found leads to, and what they cover by shard.
+def window_codes(near: DataFrame, window: int, phrase: int) -> DataFrame:
+    """(id, text_hash, code) of the windows of rows (id, text_hash, text, found) whose anchor was found.
 
     Equal windows have the same anchor, and winnowing chooses it in every document.
     """
-    kind = pa.list_(pa.struct([("shard", pa.int32()), ("at", pa.int32()), ("words", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, codes, parts = [], [], []
+            rows, found, n = [], [], 0
             for k in range(batch.num_rows):
                 _, w = _one(batch.column(2)[k].as_py())
-                places, own, shards = _anchored(w, batch.column(3)[k], window, phrase)
-                if len(places):
-                    rows.append(k)
-                    codes.append(np.unique(own).view(np.int64))
-                    parts.append(_parts(w, places, shards, window))
-            taken = batch.take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*taken.columns[:3], _lists(codes, pa.int64()), pa.array(parts, kind)], ["id", "text_hash", "text", "codes", "parts"])
+                _, codes, _ = _anchored(w, batch.column(3)[k], window, phrase)
+                found.append(np.unique(codes))
+                rows.append(np.full(len(found[-1]), k))
+                n += len(found[-1])
+                if n >= CODES or k + 1 == batch.num_rows:
+                    of = pa.array(np.concatenate(rows))
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(of), batch.column(1).take(of), _signed(np.concatenate(found))], ["id", "text_hash", "code"])
+                    rows, found, n = [], [], 0
 
-    return texts.select("id", "text_hash", "text", "found").mapInArrow(run, CANDIDATES)
+    return near.select("id", "text_hash", "text", "found").mapInArrow(run, "id long, text_hash long, code long")
 
 
-def owned_passages(owners: DataFrame, window: int) -> DataFrame:
-    """Of rows (id, parts, confirmed: codes) the passages that windows with these codes make up: (shard, id, words)."""
+def owned_passages(owners: DataFrame, window: int, phrase: int) -> DataFrame:
+    """Of rows (id, text, found, confirmed: codes) the passages that windows with these codes make up: (shard, id, words)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, found = [], []
             for k in range(batch.num_rows):
-                codes = np.asarray(batch.column(2)[k].values, np.int64).view(np.uint64)
-                for part in batch.column(1)[k].as_py():
-                    _, w = _one(part["words"])
-                    at, own = w.runs(window)
-                    at = at[np.isin(own, codes)]
-                    found += _parts(w, at, np.full(len(at), part["shard"]), window)
+                codes = np.asarray(batch.column(3)[k].values, np.int64).view(np.uint64)
+                _, w = _one(batch.column(1)[k].as_py())
+                at, own, shards = _anchored(w, batch.column(2)[k], window, phrase)
+                good = np.isin(own, codes)
+                found += _parts(w, at[good], shards[good], window)
                 ids += [batch.column(0)[k].as_py()] * (len(found) - len(ids))
             yield pa.RecordBatch.from_arrays([pa.array([x["shard"] for x in found], pa.int32()), pa.array(ids, pa.int64()), pa.array([x["words"] for x in found], pa.string())], ["shard", "id", "words"])
 
-    return owners.select("id", "parts", "confirmed").mapInArrow(run, "shard int, id long, words string")
+    return owners.select("id", "text", "found", "confirmed").mapInArrow(run, "shard int, id long, words string")
 
 
 class Shard:
@@ -250,11 +252,11 @@ class Shard:
 
 
 def _streamed(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Spans found in documents. Rows (shard, slice, kind, id, text_hash, at, words) are sorted: a group's passages (kind 0) stand before parts of documents."""
+    """Spans found in documents. Rows (shard, slice, kind, id, text_hash, text) are sorted: a group's passages (kind 0) stand before its documents."""
     group, passages, shard = None, [], None
     for batch in batches:
         ids, hashes, spans = [], [], []
-        for key, kind, doc, text_hash, at, text in zip(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True), *(batch.column(c).to_pylist() for c in range(2, 7)), strict=True):
+        for key, kind, doc, text_hash, text in zip(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True), *(batch.column(c).to_pylist() for c in range(2, 6)), strict=True):
             if key != group:
                 group, passages, shard = key, [], None
             if kind == 0:
@@ -264,22 +266,36 @@ def _streamed(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Rec
             if found := shard.find(doc, text):
                 ids.append(doc)
                 hashes.append(text_hash)
-                spans.append([{"first": at + a, "end": at + b} for a, b in found])
+                spans.append([{"first": a, "end": b} for a, b in found])
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())])))], ["id", "text_hash", "spans"])
 
 
+def _among(df: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows whose key is one of keys, where these are few enough to be broadcast, so that a join that follows doesn't move the others; else all."""
+    return df.join(F.broadcast(keys.select(*_KEY)), _KEY, "left_semi") if keys.count() <= BROADCAST_KEYS else df
+
+
+def located(near: DataFrame, passages: DataFrame, window: int, slice_bytes: int) -> DataFrame:
+    """(id, text_hash, spans) of the documents (id, text_hash, text, shards) in which the automata of passages (shard, id, words) find windows of earlier owners."""
+    routed = near.select(*_KEY, F.explode("shards").alias("shard"), "text")
+    slices = routed.join(passages.select("shard").distinct(), "shard", "left_semi").groupBy("shard")
+    slices = stored(slices.agg(F.ceil(F.sum(F.octet_length("text")) / F.lit(slice_bytes)).cast("int").alias("slices")), "slices")
+    each = passages.join(slices, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.lit(0).alias("kind"), "id", F.lit(0).cast("long").alias("text_hash"), F.col("words").alias("text"))
+    streamed = routed.join(slices, "shard").select("shard", F.pmod(F.xxhash64(*_KEY), F.col("slices")).cast("int").alias("slice"), F.lit(1).alias("kind"), *_KEY, "text")
+    rows = each.unionByName(streamed).repartition("shard", "slice").sortWithinPartitions("shard", "slice", "kind")
+    spans = rows.mapInArrow(lambda batches: _streamed(batches, window), "id long, text_hash long, spans array<struct<first: long, end: long>>")
+    return spans.groupBy(*_KEY).agg(F.flatten(F.collect_set("spans")).alias("spans"))
+
+
 def repeated_passages(docs: DataFrame, *, window: int = WINDOW, phrase: int = PHRASE, shard_bytes: int = SHARD_BYTES, slice_bytes: int = SLICE_BYTES, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(sketches with is_copy, candidate documents with their text, (id, text_hash, spans) of the words that each of them must drop)."""
     sketches = stored(sketch(docs, window, phrase, doc_id, text), "sketches")
     long = sketches.where((F.col("n_words") >= window) & F.col("id").isNotNull())
-    # only groups of copies are joined back; where they are too many to broadcast, once and as a stored table, so that a hot group's rows can be split
-    copied = stored(long.groupBy("kept_sha256").agg(F.min("id").alias("copy_of"), F.max("id").alias("last_id")).where("copy_of < last_id").drop("last_id"), "copies")
-    few = copied.count() <= BROADCAST_COPIES
-    marked = sketches.join(F.broadcast(copied) if few else copied, "kept_sha256", "left")
-    marked = marked.withColumn("is_copy", F.coalesce((F.col("id") > F.col("copy_of")) & (F.col("n_words") >= window), F.lit(False)))
-    marked = marked if few else stored(marked, "marked")
-    key = ["id", "text_hash"]
-    phrases = marked.where((F.col("n_words") >= window) & F.col("id").isNotNull() & ~F.col("is_copy")).select(*key, F.posexplode("phrases").alias("place", "phrase"))
+    # digests alone are joined, with a stored table so that a hot group's rows can be split; phrases stay where they are
+    copied = stored(long.groupBy("kept_sha256").agg(F.min("id").alias("copy_of"), F.max("id").alias("last_id")).where("copy_of < last_id").drop("last_id"), "copied")
+    copies = stored(long.select(*_KEY, "kept_sha256").join(copied, "kept_sha256").where("id > copy_of").select(*_KEY).distinct(), "copies")
+    marked = sketches.drop("phrases").join(copies.withColumn("is_copy", F.lit(True)), _KEY, "left").withColumn("is_copy", F.coalesce("is_copy", F.lit(False)))
+    phrases = long.select(*_KEY, "phrases").join(copies, _KEY, "left_anti").select(*_KEY, F.posexplode("phrases").alias("place", "phrase"))
     recurring = phrases.groupBy("phrase").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.min_by("place", "id").alias("place")).where("low < high")
     recurring = stored(recurring.select("phrase", "low", F.floor(F.col("place") / STRETCH).alias("stretch")), "phrases")
     n_words, n_bytes = sketches.agg(F.sum("n_words"), F.sum("n_bytes")).first()
@@ -287,24 +303,14 @@ def repeated_passages(docs: DataFrame, *, window: int = WINDOW, phrase: int = PH
     passage_bytes = recurring.count() * (window - phrase + 1) / 2 * (n_bytes or 0) / max(n_words or 0, 1)
     shards = max(1, -(-int(passage_bytes) // shard_bytes))
     found = phrases.join(recurring.select("phrase", F.pmod(F.xxhash64("low", "stretch"), F.lit(shards)).cast("int").alias("shard")), "phrase")
-    found = stored(found.groupBy(*key).agg(F.collect_set(F.struct("phrase", "shard")).alias("found")), "found")
+    found = stored(found.groupBy(*_KEY).agg(F.collect_set(F.struct("phrase", "shard")).alias("found")), "found")
     texts = docs.where(F.col(doc_id).isNotNull() & F.col(text).isNotNull()).select(*_own_key(doc_id, text), F.col(text).alias("text"))
-    if found.count() <= BROADCAST_KEYS:
-        texts = texts.join(F.broadcast(found.select(*key)), key, "left_semi")
-    near = stored(candidates(texts.join(found, key).dropDuplicates(key), window, phrase), "near")
-
-    windows = near.select("id", F.explode("codes").alias("code"))
-    confirmed = windows.groupBy("code").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
-    owned = confirmed.groupBy(F.col("low").alias("id")).agg(F.collect_list("code").alias("confirmed"))
-    passages = stored(owned_passages(near.select("id", "parts").join(owned, "id"), window), "passages")
-    parts = near.select(*key, F.explode("parts").alias("part")).select(*key, "part.*")
-    sent = parts.join(passages.select("shard").distinct(), "shard", "left_semi")
-    slices = stored(sent.groupBy("shard").agg(F.ceil(F.sum(F.octet_length("words")) / F.lit(slice_bytes)).cast("int").alias("slices")), "slices")
-    each = passages.join(slices, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.lit(0).alias("kind"), "id", F.lit(0).cast("long").alias("text_hash"), F.lit(0).alias("at"), "words")
-    streamed = parts.join(slices, "shard").select("shard", F.pmod(F.xxhash64(*key, "at"), F.col("slices")).cast("int").alias("slice"), F.lit(1).alias("kind"), *key, "at", "words")
-    rows = each.unionByName(streamed).repartition("shard", "slice").sortWithinPartitions("shard", "slice", "kind")
-    spans = rows.mapInArrow(lambda batches: _streamed(batches, window), "id long, text_hash long, spans array<struct<first: long, end: long>>")
-    gone = spans.groupBy(*key).agg(F.flatten(F.collect_set("spans")).alias("spans"))
+    near = stored(_among(texts, found).join(found, _KEY).dropDuplicates(_KEY), "near")
+
+    confirmed = window_codes(near, window, phrase).groupBy("code").agg(F.min(F.struct(*_KEY)).alias("low"), F.max("id").alias("high")).where("low.id < high")
+    owned = stored(confirmed.groupBy("low").agg(F.collect_list("code").alias("confirmed")).select("low.*", "confirmed"), "owned")
+    passages = stored(owned_passages(_among(near, owned).join(owned, _KEY), window, phrase), "passages")
+    gone = located(near.withColumn("shards", F.array_distinct("found.shard")), passages, window, slice_bytes)
     return marked, near, stored(gone, "spans")
 
 
@@ -325,14 +331,14 @@ def _dropped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def shortened(near: DataFrame, gone: DataFrame) -> DataFrame:
     """id, text_hash, dropped (a number of words), dropped_sha256 and kept_text of the documents that lose words."""
-    rows = near.select("id", "text_hash", "text").join(gone, ["id", "text_hash"])
+    rows = _among(near.select(*_KEY, "text"), gone).join(gone, _KEY)
     return rows.mapInArrow(_dropped, "id long, text_hash long, dropped long, dropped_sha256 string, kept_text string")
 
 
 def removals(docs: DataFrame, **options) -> DataFrame:
     """(id, n_words, n_removed, kept_sha256) of every document."""
     marked, near, gone = repeated_passages(docs, **options)
-    rows = marked.join(shortened(near, gone).drop("kept_text"), ["id", "text_hash"], "left")
+    rows = marked.join(shortened(near, gone).drop("kept_text"), _KEY, "left")
     return rows.select(
         "id",
         "n_words",
