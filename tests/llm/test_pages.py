@@ -118,6 +118,21 @@ def test_a_heading_after_the_text(weights):
     assert H.Page("<nav>Menu</nav><p>One two.</p><p>Three.</p><footer><h1>Site</h1></footer>").text(weights) == "One two.\n\nThree."
 
 
+@pytest.mark.parametrize("depth", [1, 60, 5000])
+def test_a_menu_goes_however_deep_it_is(weights, depth):
+    deep = "<div>" * depth + "{}" + "</div>" * depth
+    page = f"<nav>{deep.format('Menu words')}</nav><article><h1>Title</h1><p>One.</p><div><p>Two.</p></div></article><footer>{deep.format('Rights')}</footer>"
+    assert H.Page(page).text(weights) == "Title\n\nOne.\n\nTwo."
+
+
+@pytest.mark.parametrize("box", ["<article>{}</article>", "<div>{}</div>", "<article><section>{}</section></article>"])
+@pytest.mark.parametrize("heading", ["<h1>Title</h1>", "<hgroup><h1>Title</h1></hgroup>"])
+def test_a_lead_before_the_heading_stays(weights, box, heading):
+    inside = box.format(f"<p>A lead.</p>{heading}<p>One.</p>")
+    page = f"<body><nav>Menu</nav><div><p>Welcome to the site</p></div>{inside}<footer>Rights</footer></body>"
+    assert H.Page(page).text(weights) == "A lead.\n\nTitle\n\nOne."
+
+
 def test_names_that_nobody_lists_are_learnt(spark):
     box = "<html><body><div class=qq1>menu words</div>{}<h1>Title here</h1><p>Some words.</p>{}<p>More words.</p>{}<div class=zz9><p>below</p></div></body></html>"
     rows = [(i, "u", box.format("<article>", "", "</article><section class='k77x'><p>Odd words</p></section>")) for i in range(30)]

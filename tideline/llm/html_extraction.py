@@ -6,7 +6,8 @@ largest sum, found in one linear scan, is the content region, and of its blocks
 the text: an advert or a list of comments within the article has negative words and is cut by the same scores.
 
 A block's features are the names of the elements around it, the words of their class, id and role attributes,
-whether it is mostly linked, and whether it stands before the page's first heading. Labelled blocks are those
+whether it is mostly linked, and whether it stands before the page's first heading and outside of the element
+that holds that heading (<header> and <hgroup> don't count as such, nor do <body> and <html>). Labelled blocks are those
 of a table's pages which mark their article with an <article> or <main> element (neither name is a feature),
 and those of `EXAMPLES`, small pages labelled by hand with furniture of many kinds, each of which counts as
 `COPIES` pages; the examples also say what inside of the table's articles isn't article text. Each source
@@ -18,13 +19,15 @@ At most about `training_pages` pages are learnt from, chosen by a hash of their
 of features in them the `most_sets` commonest: which elements and attributes occur is what they tell.
 
 Reading a page takes time in proportion to its length, also where tags or quotes aren't closed: a tag without
-an end is text, and a quote without an end is none. Features are those of the `DEPTH` innermost elements.
+an end is text, and a quote without an end is none. The worst odds of the elements around a block are handed down
+from element to element, however deep they are nested; what is learnt from a labelled block are the features of its
+`LEARNT_DEPTH` innermost elements.
 
 Output: character references are decoded, white space within a block becomes one space, blocks are
 trimmed, empty ones go, and the rest are joined by two newlines.
 
 Edge cases: a null or empty page, or one without text, has the empty text; without labelled pages in the
-table the examples alone count; of runs that score the same the first is taken; a very long page is read
+table the examples alone count; of runs that score the same the first is taken; text at a page's end behind so many tags that its words don't outweigh them is left out; a very long page is read
 whole, in linear time; an empty table has no rows; unclosed and stray tags are tolerated; repeated rows each get a result;
 further columns, whatever their names, are not looked at.
 """
@@ -56,7 +59,9 @@ _ATTRIBUTE = re.compile(r"([^\s=>\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\
 _MARK = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _END = {name: re.compile(f"</{name}(?=[\\s/>])", re.I) for name in UNSHOWN}
 _IN_A, _AHEAD = "in a ", "before the first heading"
-DEPTH = 48
+LEARNT_DEPTH = 48
+#: Elements that hold a heading for the element around them, and those that hold all of a page.
+_HEAD, _WHOLE = frozenset(("header", "hgroup")), frozenset(("html", "body"))
 #: The largest score of a word, the score of a tag without evidence, and odds from which on a feature decides alone.
 LARGEST, PRIOR_TAG, CUT = 4.0, -0.3, -2.0
 #: Pages that an example counts as.
@@ -77,17 +82,22 @@ EXAMPLES = [
 
 @dataclass
 class Block:
-    features: tuple[str, ...]
+    """A block of text: the number of the element around it, that element's name as a feature, and its text."""
+
+    around: int
+    at: str
     parts: list[str]
     inside: bool
     words: int = 0
     linked: int = 0
+    ahead: bool = False
 
     def text(self) -> str:
         return " ".join(entities.unescape("".join(self.parts)).split())
 
-    def all_features(self) -> tuple[str, ...]:
-        return (*self.features, "linked") if 2 * self.linked > self.words else self.features
+    def own_features(self) -> list[str]:
+        """Features that don't come from the elements around it."""
+        return [self.at, *["linked"] * (2 * self.linked > self.words), *[_AHEAD] * self.ahead]
 
 
 def tags(source: str) -> Iterator[tuple[str, str, str]]:
@@ -137,22 +147,21 @@ def _marks(attributes: str) -> tuple[list[str], bool]:
 
 
 class Page:
-    """A page's blocks of text, and its tokens: (tag name, None, inside) or ("", block, inside)."""
+    """A page's blocks of text, its elements as (number of the one around, features), and its tokens: (tag name, None, inside) or ("", block, inside)."""
 
     def __init__(self, source: str):
         self.blocks: list[Block] = []
         self.tokens: list[tuple[str, Block | None, bool]] = []
+        self.elements: list[tuple[int, tuple[str, ...]]] = [(0, ())]
         self.labelled = False
-        # an entry: name, its features, and what was counted of content and outs
-        stack: list[tuple[str, tuple[str, ...], bool, bool]] = []
+        # an entry: name, its number, the blocks before it, and what was counted of content and outs
+        stack: list[tuple[str, int, int, bool, bool]] = []
         open_names: Counter = Counter()
         content = outs = 0
         fresh, linked, headed = True, False, False
-        ahead: list[int] = []
-
         def close() -> None:
             nonlocal content, outs
-            name, _, is_content, is_out = stack.pop()
+            name, _, _, is_content, is_out = stack.pop()
             open_names[name] -= 1
             content -= is_content
             outs -= is_out
@@ -162,11 +171,8 @@ class Page:
                 words = len(text.split())
                 if words or not fresh:
                     if fresh:
-                        around = {f for _, own, _, _ in stack[-DEPTH:] for f in own}
-                        around.add("alone" if not stack else "at div" if stack[-1][0] in _CONTENT else f"at {stack[-1][0]}")
-                        if not headed:
-                            ahead.append(len(self.blocks))
-                        self.blocks.append(Block(tuple(sorted(around)), [], content > 0 and not outs))
+                        at = "alone" if not stack else "at div" if stack[-1][0] in _CONTENT else f"at {stack[-1][0]}"
+                        self.blocks.append(Block(stack[-1][1] if stack else 0, at, [], content > 0 and not outs))
                         fresh = False
                     block = self.blocks[-1]
                     block.parts.append(text)
@@ -201,15 +207,25 @@ class Page:
                 marks, out = _marks(attributes) if attributes else ((), False)
                 is_content = own in _CONTENT
                 self.labelled = self.labelled or is_content
-                headed = headed or own == "h1"
-                features = () if is_content or own in ("html", "body") else (f"in {own}", *(_IN_A + m for m in marks))
-                stack.append((own, features, is_content, out))
+                if own == "h1" and not headed:
+                    headed = True
+                    holders = (entry for entry in reversed(stack) if entry[0] not in _HEAD)
+                    holder = next(holders, None)
+                    for block in self.blocks[: holder[2] if holder and holder[0] not in _WHOLE else None]:
+                        block.ahead = True
+                self.elements.append((stack[-1][1] if stack else 0, () if is_content or own in _WHOLE else (f"in {own}", *(_IN_A + m for m in marks))))
+                stack.append((own, len(self.elements) - 1, len(self.blocks), is_content, out))
                 open_names[own] += 1
                 content += is_content
                 outs += out
 
-        for k in ahead if headed else ():
-            self.blocks[k].features += (_AHEAD,)
+    def features(self, block: Block) -> tuple[str, ...]:
+        """What is learnt from a block: its features and those of the innermost elements around it."""
+        found, k = set(block.own_features()), block.around
+        for _ in range(LEARNT_DEPTH):
+            found.update(self.elements[k][1])
+            k = self.elements[k][0]
+        return tuple(sorted(found))
 
     def text(self, weights: Weights) -> str:
         """The blocks with positive words of the best run of tokens. Where nothing is left, as if the only heading came after the text, headings don't count."""
@@ -217,13 +233,13 @@ class Page:
 
     def _best(self, weights: Weights) -> str:
         best, run, begin, found = 0.0, 0.0, 0, (0, 0)
-        score = {}
+        score, handed = {}, weights.handed_down(self)
         for k, (name, block, _) in enumerate(self.tokens):
             if block is None:
                 run += weights.tags.get(name, PRIOR_TAG)
             else:
                 if id(block) not in score:
-                    score[id(block)] = weights.score(block)
+                    score[id(block)] = weights.score(block, handed)
                 run += score[id(block)] * block.words
             if run <= 0:
                 run, begin = 0.0, k + 1
@@ -242,12 +258,18 @@ class Weights:
     other: float
     tags: dict[str, float]
 
-    def score(self, block: Block) -> float:
+    def handed_down(self, page: Page) -> list[float]:
+        """Of each element the worst odds that decide alone, its own or of one around it; 0 for none."""
+        worst = [0.0]
+        for around, features in page.elements[1:]:
+            worst.append(min((self.cuts[f] for f in features if f in self.cuts), default=0.0))
+            worst[-1] = min(worst[-1], worst[around])
+        return worst
+
+    def score(self, block: Block, handed: list[float]) -> float:
         """The score of each of a block's words."""
-        features = block.all_features()
-        if found := [self.cuts[f] for f in features if f in self.cuts]:
-            return min(found)
-        return next((self.parents[f] for f in features if f in self.parents), self.other)
+        worst = min([self.cuts.get(f, 0.0) for f in block.own_features()] + [handed[block.around]])
+        return worst if worst < 0 else self.parents.get(block.at, self.other)
 
 
 #: (features, inside) by number of blocks, and (tag name, inside) by number of tags.
@@ -260,9 +282,10 @@ def counted(pages: list[Page], first: Weights | None = None) -> Counts:
     names: Counter = Counter()
     for page in pages:
         if page.labelled:
+            handed = first.handed_down(page) if first else []
             for block in page.blocks:
                 if block.words:
-                    blocks[block.all_features(), block.inside and not (first and first.score(block) < 0)] += 1
+                    blocks[page.features(block), block.inside and not (first and first.score(block, handed) < 0)] += 1
             names.update((name, inside) for name, block, inside in page.tokens if block is None)
     return dict(blocks), dict(names)
 
