@@ -1,3 +1,4 @@
+import json
 import random
 
 import brute
@@ -116,6 +117,18 @@ def test_bpe_forgets_without_changing_results(monkeypatch):
     assert merged.count(b" common") == 1
 
 
+@pytest.mark.parametrize("change", [{"normalizer": {"type": "NFC"}}, {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True}}, {"pre_tokenizer": None}, {"decoder": None}, {"ignore_merges": True}, {"end_of_word_suffix": "</w>"}, {"type": "WordPiece"}, {"lstrip": True}])
+def test_files_that_ask_for_more_are_refused(tmp_path, change):
+    with open(bpe.public_path(), encoding="utf-8") as file:
+        spec = json.load(file)
+    assert bpe.unsupported(spec) == []
+    (name,) = change
+    (spec["added_tokens"][0] if name == "lstrip" else spec["model"] if name in ("ignore_merges", "end_of_word_suffix", "type") else spec).update(change)
+    (tmp_path / "x.json").write_text(json.dumps(spec))
+    with pytest.raises(ValueError, match="doesn't do"):
+        bpe.BytePairEncoder(str(tmp_path / "x.json"))
+
+
 def test_letters_are_letters_to_the_pattern_too():
     letters = [c for c in map(chr, range(0x110000)) if c.isalpha()]
     assert len(letters) > 100_000

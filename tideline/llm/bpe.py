@@ -73,16 +73,32 @@ class Remembered:
         self.newer[key] = value
 
 
+def unsupported(spec: dict) -> list[str]:
+    """What a tokenizer file asks for that the encoder doesn't do."""
+    model, before = spec["model"], spec.get("pre_tokenizer") or {}
+    out = [x for x in ("normalizer", "truncation", "padding") if spec.get(x)]
+    out += [x for x in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges") if model.get(x)]
+    if model.get("type", "BPE") != "BPE":
+        out.append(f"model {model['type']}")
+    if before.get("type") != "ByteLevel" or before.get("add_prefix_space", True) or not before.get("use_regex", True):
+        out.append("pre_tokenizer")
+    if (spec.get("decoder") or {}).get("type") != "ByteLevel":
+        out.append("decoder")
+    return out + [f"{x} of {t['content']}" for t in spec.get("added_tokens") or [] for x in ("lstrip", "rstrip", "single_word") if t.get(x)]
+
+
 #: Ids as 32-bit integers, the same as decimals joined by commas, and the bytes that they decode to.
 Piece = tuple[bytes, str, bytes]
 
 
 class BytePairEncoder:
-    """Encoder and decoder of a byte-level BPE tokenizer file of the tokenizers library."""
+    """Encoder and decoder of a byte-level BPE tokenizer file of the tokenizers library; other files are refused."""
 
     def __init__(self, path: str, table_bytes: int = TABLE_BYTES):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
+        if found := unsupported(spec):
+            raise ValueError(f"{path} asks for what this encoder doesn't do: {', '.join(found)}")
         vocabulary: dict[str, int] = spec["model"]["vocab"]
         characters = byte_characters()
         values = {c: b for b, c in characters.items()}
