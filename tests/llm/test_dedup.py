@@ -4,6 +4,7 @@ import brute
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tideline.llm import near_dedup as N
 from tideline.llm import substring_dedup as S
@@ -151,6 +152,51 @@ def test_near_dedup_in_small_blocks(spark, monkeypatch):
     assert len({c for _, c in found.values()}) > 1
 
 
+def test_size_ranges_lose_no_pair(spark):
+    sizes = spark.range(1, 200_000).select(F.col("id").alias("n"), N.size_range(F.col("id")).alias("r")).orderBy("n").toPandas()
+    ranges = sizes["r"].to_numpy()
+    n = sizes["n"].to_numpy()
+    farthest = np.minimum(100 * n // N.PERCENT, n[-1])  # the largest set that can link with one of n
+    assert (np.diff(ranges) >= 0).all() and (ranges[farthest - 1] - ranges <= N.RANGES).all() and ranges[0] == 0
+
+
+def test_a_hot_band_is_parted_by_size(spark, monkeypatch):
+    """Sets of all sizes in one bucket: most pairs of members are never dealt to one task, and no link is lost."""
+    r = random.Random(6)
+    docs = {}
+    for d in range(600):
+        w = [f"w{k}" for k in range(int(10 * 1.4 ** r.uniform(0, 14)))]
+        if d % 3:
+            w[r.randrange(len(w))] = f"x{d}"
+        docs[d] = " ".join(w)
+    sets = {d: brute.shingles(t) for d, t in docs.items()}
+    rows = spark.createDataFrame([(7, 0, d, len(s), 600) for d, s in sets.items()], "bucket long, band int, id long, n_shingles int, members long")
+    sketches = N.sketch(spark.createDataFrame(list(docs.items()), "id long, text string"), "id", "text").select("id", "text_hash", "n_shingles", "signature")
+    sketches = sketches.withColumn("signature", F.concat(F.unhex(F.lit("00" * 16)), F.expr("substring(signature, 17)")))  # band 0 is shared by all
+    none = spark.createDataFrame([], "id long, component long")
+    texts = N._texts(spark.createDataFrame(list(docs.items()), "id long, text string"), "id", "text")
+    dealt, keep = [], N.stored
+
+    def found(block):
+        links = N._block_links(rows, none, sketches, texts, N.least_matches(N.MISS), block)
+        return {x.id: x.component for x in N.components(links).collect()}
+
+    def noted(df, name):
+        out = keep(df, name)
+        if name == "cells":
+            dealt.append([c for x in out.collect() for c in x.cells])
+        return out
+
+    monkeypatch.setattr(N, "stored", noted)
+    whole, parted = found(600), found(8)
+    want = {d: c for d, (_, c) in brute.classes(docs).items()}
+    assert whole == parted == {d: c for d, c in want.items() if d in parted} and all(c == d for d, c in want.items() if d not in parted)
+    one, many = dealt
+    assert [c.blocks for c in one] == [1] and len(many) > 20
+    met = sum(a.blocks * b.blocks for a in many for b in many if abs(a.range - b.range) <= N.RANGES)
+    assert met < 0.2 * sum(c.blocks for c in many) ** 2
+
+
 def test_near_dedup_edges(spark):
     assert N.classes(spark.createDataFrame([], SCHEMA)).collect() == [] and N.near_duplicates_removed(spark.createDataFrame([], SCHEMA)).collect() == []
     rows = spark.createDataFrame([(5, "a b c d e f", *MORE), (5, "a b c d e f", *MORE), (3, "A B C D E F", *MORE), (None, "a b c d e f", *MORE), (None, None, *MORE)], SCHEMA)
@@ -177,6 +223,17 @@ def test_posterior_bounds_prune_little_of_what_links():
     assert len(N.survivors(one, np.where(rng.random((4000, N.VALUES)) < 0.3, one, one + 1).astype(np.uint32), needed)) == 0
 
 
+def test_components_take_few_rounds(spark, monkeypatch):
+    """A chain of 3,000 ids in random order; with one more hop a round, and no more, it would take hundreds."""
+    order, rounds = list(range(3000)), []
+    random.Random(1).shuffle(order)
+    for name in ("checkpointed", "stored"):
+        keep = getattr(N, name)
+        monkeypatch.setattr(N, name, lambda *x, keep=keep: rounds.append(1) or keep(*x))
+    found = N.components(spark.createDataFrame(list(zip(order, order[1:], strict=False)), "a long, b long"))
+    assert {r.component for r in found.select("component").distinct().collect()} == {0} and len(rounds) < 22
+
+
 def test_components_follow_long_chains(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 102), (101, 102)], "a long, b long")
     found = {r.id: r.component for r in N.components(links).collect()}

@@ -15,11 +15,12 @@ connected components.
    Their links give first classes.
 5. Block round: buckets of three or more which still hold several classes have their remaining pairs
    compared, but those within the bucket's largest class, in blocks of `block` members (fewer if their
-   sets are large); a task holds two blocks at most, whatever a bucket's size. First signatures alone are
+   sets are large); a task holds two blocks at most, whatever a bucket's size. Buckets of many blocks are parted
+   by ranges of set sizes, and only blocks whose sizes can reach the threshold meet. First signatures alone are
    compared, which leaves the members that may link to another class; these are verified, and only links
    that join what hasn't yet been seen joined are emitted. A pair is looked at in the first band only that
    it shares. Small buckets share groups of about `GROUP_ROWS` rows, as many groups as that takes.
-6. Links of both rounds give the components, by least labels and pointer jumping.
+6. Links of both rounds give the components, by least labels, hooking and pointer jumping.
 
 Edge cases: null and empty texts and texts without words have empty sets, link with nothing and are kept;
 rows of one id are one document: repeated rows count once, what one of its texts links with all do, and each
@@ -31,7 +32,8 @@ no rows; columns of any other name, also of one used in here, are carried along
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import comb
+from itertools import count
+from math import comb, log
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +50,10 @@ VALUES = BANDS * ROWS
 MISS = 1e-6
 #: Members of a block, shingles of a block's sets, and rows of a group of small buckets, about.
 BLOCK, BLOCK_SHINGLES, GROUP_ROWS = 512, 500_000, 1000
+#: Buckets of more blocks than this are parted by ranges of set sizes; sets whose ranges are further apart than RANGES can't link.
+SLICED, RANGES = 4, 2
+#: After so many rounds of components the estimated sizes of their joins are forgotten.
+FORGET = 6
 #: Ids that may be broadcast at most; more are joined.
 BROADCAST_IDS = 2_000_000
 #: Buckets of so many members at most share groups.
@@ -227,14 +233,21 @@ def _verify_members(rows: pa.Table, needed: list[int]) -> pa.Table:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(id, component) of the ids in links (a, b): the least id reachable, by least labels of neighbours and pointer jumping."""
+    """(id, component) of the ids in links (a, b): the least id reachable.
+
+    Each round a node takes the least of its neighbours' labels and of its label's own, and the node that a label names the
+    least that any node with this label has found, so that the rounds grow as the logarithm of the longest chain.
+    """
     both = checkpointed(links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = checkpointed(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("a"), F.min("b")).alias("component")))
-    while True:
+    for rounds in count(1):
         near = both.join(labels.select(F.col("id").alias("b"), "component"), "b").groupBy(F.col("a").alias("id")).agg(F.min("component").alias("near"))
         lower = labels.join(near, "id").select("id", F.col("component").alias("before"), F.least("component", "near").alias("lower"))
+        hooks = lower.where("lower < before").groupBy(F.col("before").alias("id")).agg(F.min("lower").alias("hook"))
         jump = labels.select(F.col("id").alias("lower"), F.col("component").alias("component"))
-        new = checkpointed(lower.join(jump, "lower").select("id", "before", F.least("lower", "component").alias("component")))
+        new = lower.join(hooks, "id", "left").join(jump, "lower").select("id", "before", F.least("lower", "component", "hook").alias("component"))
+        # a checkpoint keeps the size that a join is estimated at, the product of its sides', whose digits double each round
+        new = checkpointed(new) if rounds % FORGET else stored(new, "labels")
         done = new.where("component <> before").isEmpty()
         labels = new.select("id", "component")
         if done:
@@ -248,6 +261,11 @@ def _of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     return texts.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted, key).dropDuplicates(key)
 
 
+def size_range(n):
+    """The range that a set size is in. Sizes of 3 to 4 are RANGES ranges apart at most, since ranges are a little wider than they need be."""
+    return F.floor(F.log(n) * (RANGES / log(100 / PERCENT * 1.0001))).cast("int")
+
+
 def _star_links(members: DataFrame, signatures: DataFrame, texts: DataFrame, needed: list[int]) -> DataFrame:
     """Links between each bucket's hub and its other members."""
     weights = members.groupBy("id").agg(F.sum("members").alias("weight"))
@@ -268,21 +286,27 @@ def _block_links(members: DataFrame, first: DataFrame, signatures: DataFrame, te
     of = members.where("members > 2").select(*key, "id", "n_shingles").join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
     of = stored(of, "large-buckets")
     by_class = of.groupBy(*key, "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("size"))
-    largest = by_class.groupBy(*key).agg(F.count("*").alias("classes"), F.sum("n").alias("n"), F.sum("size").alias("size"), F.max(F.struct("n", "size", "component")).alias("top"))
-    has_top = F.col("top.n") > 1
+    largest = by_class.groupBy(*key).agg(F.count("*").alias("classes"), F.sum("n").alias("all"), F.sum("size").alias("size"), F.max(F.struct("n", "size", "component")).alias("top"))
     blocks = lambda n, size: F.ceil(F.greatest(n / block, size / BLOCK_SHINGLES)).cast("int")
-    rest = lambda x: F.when(has_top, F.col(x) - F.col(f"top.{x}")).otherwise(F.col(x))
-    plan = largest.where("classes > 1").select(*key, F.col("n").alias("all"), F.when(has_top, F.col("top.component")).alias("top"), blocks(rest("n"), rest("size")).alias("rest_blocks"), F.when(has_top, blocks(F.col("top.n"), F.col("top.size"))).otherwise(0).alias("top_blocks"))
-    plan = stored(plan, "blocks")
-    placed = of.join(plan, key).withColumn("is_top", F.coalesce(F.col("component") == F.col("top"), F.lit(False)))
-    spread = F.xxhash64("id", F.lit(3))
-    # blocks of the largest class are numbered down from -1, the others up from 0
-    placed = placed.withColumn("block", F.when(F.col("is_top"), -1 - F.pmod(spread, F.col("top_blocks"))).otherwise(F.pmod(spread, F.col("rest_blocks"))).cast("int"))
-    rests, tops = F.sequence(F.lit(0), F.col("rest_blocks") - 1), F.when(F.col("top_blocks") > 0, F.sequence(-F.col("top_blocks"), F.lit(-1))).otherwise(F.array().cast("array<int>"))
-    partners = F.when(F.col("is_top"), F.transform(rests, lambda r: F.struct(r.alias("p"), F.col("block").alias("q")))).otherwise(
-        F.concat(F.transform(rests, lambda r: F.struct(F.least(r, F.col("block")).alias("p"), F.greatest(r, F.col("block")).alias("q"))), F.transform(tops, lambda t: F.struct(F.col("block").alias("p"), t.alias("q"))))
-    )
-    dealt = placed.select(*key, "block", "id", "component", "all", F.explode(partners).alias("pair")).select(*key, "pair.p", "pair.q", "block", "id", "component", "all")
+    largest = largest.where("classes > 1").select(*key, "all", F.when(F.col("top.n") > 1, F.col("top.component")).alias("top"), (blocks(F.col("all"), F.col("size")) > SLICED).alias("sliced"))
+    in_range = F.when(F.col("sliced"), size_range(F.col("n_shingles"))).otherwise(0)
+    placed = of.join(stored(largest, "blocks"), key).withColumn("is_top", F.coalesce(F.col("component") == F.col("top"), F.lit(False))).withColumn("range", in_range)
+    # a bucket's cells, of which there are two for each range of sizes at most
+    cells = placed.groupBy(*key, "all", "is_top", "range").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("size")).withColumn("blocks", blocks(F.col("n"), F.col("size")))
+    plan = stored(cells.groupBy(*key, "all").agg(F.collect_list(F.struct("is_top", "range", "blocks")).alias("cells")), "cells")
+
+    def number(is_top, at, k):
+        """Of the largest class's blocks down from -1, of the others up from 0."""
+        up = at.cast("long") * (1 << 32) + k
+        return F.when(is_top, -1 - up).otherwise(up)
+
+    placed = placed.drop("all").join(plan, key)
+    own = F.filter("cells", lambda c: (c["is_top"] == F.col("is_top")) & (c["range"] == F.col("range")))[0]["blocks"]
+    placed = placed.withColumn("block", number(F.col("is_top"), F.col("range"), F.pmod(F.xxhash64("id", F.lit(3)), own)))
+    near = F.filter("cells", lambda c: (F.abs(c["range"] - F.col("range")) <= RANGES) & ~(c["is_top"] & F.col("is_top")))
+    others = F.flatten(F.transform(near, lambda c: F.transform(F.sequence(F.lit(0), c["blocks"] - 1), lambda k: number(c["is_top"], c["range"], k))))
+    dealt = placed.select(*key, "block", "id", "component", "all", F.explode(others).alias("other"))
+    dealt = dealt.select(*key, F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "id", "component", "all")
 
     def group(groups: int):
         """Small buckets share groups, large ones have a group for each pair of blocks."""
@@ -290,7 +314,7 @@ def _block_links(members: DataFrame, first: DataFrame, signatures: DataFrame, te
 
     groups = max(1, -(-(plan.where(F.col("all") <= SMALL).agg(F.sum("all")).first()[0] or 0) // GROUP_ROWS))
     compared = dealt.join(signatures, "id").withColumn("group", group(groups)).select("group", "all", *PLACED, "signature")
-    columns = "bucket long, band int, p int, q int, block int, id long, text_hash long, component long"
+    columns = "bucket long, band int, p long, q long, block long, id long, text_hash long, component long"
     likely = stored(compared.select("group", *PLACED, "signature").groupBy("group").applyInArrow(lambda rows: _likely_members(rows, needed), columns), "likely-members")
     # with texts, groups are by the size of their sets too
     sized = likely.join(plan.select(*key, "all"), key).join(signatures.select("id", "text_hash", "n_shingles", "signature"), ["id", "text_hash"])
